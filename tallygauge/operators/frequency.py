@@ -8,6 +8,7 @@ per type family and exactly one of them is used in a row.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from itertools import chain
 
@@ -39,8 +40,8 @@ def frequency_states(inputs: Inputs) -> DataFrame | None:
     for i, name in enumerate(names):
         own = families.index(C.group_type(inputs.types[name]))
         sets.append([f"v{i}" if f == own else f"null{f}" for f in range(len(families))])
-    long = expand(inputs, cells, families, sets, [f"{VALUE}{f}" for f in range(len(families))])
-    values = [f"{VALUE}{i}" for i in range(len(families))]
+    values = [VALUE + type_tag(t) for t in families]
+    long = expand(inputs, cells, families, sets, values)
     counted = long.groupBy(*map(C.quoted, inputs.by), "__set", *values).agg(
         F.count(F.lit(1)).alias(COPIES)
     )
@@ -76,6 +77,11 @@ def expand(
     )
 
 
+def type_tag(group_type: str) -> str:
+    """A type as part of a column name, so that states of separate runs line up by type."""
+    return re.sub(r"\W+", "_", group_type).strip("_")
+
+
 def lookup(key: Column, names: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for x in chain.from_iterable(names.items())])[key]
 
@@ -106,16 +112,17 @@ def frequency_summary(states: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def frequency_results(summary: DataFrame, by: list[str], metrics: list[Metric]) -> DataFrame:
+def frequency_results(
+    summary: DataFrame, by: list[str], metrics: list[Metric], groups: DataFrame | None = None
+) -> DataFrame:
     """The requested metrics of every group and column as long result rows.
 
-    Without grouping columns a column of an empty input still gets its rows.
+    Groups listed in ``groups`` get their rows even if they have no data, and so does an
+    empty input without grouping columns.
     """
     wanted = [m for m in metrics if m.kind in FREQUENCY]
     names = list(dict.fromkeys(m.columns[0] for m in wanted))
-    if not by:
-        asked = summary.sparkSession.createDataFrame([(n,) for n in names], f"`{COLUMN}` string")
-        summary = asked.join(summary, COLUMN, "left")
+    summary = fill_groups(summary, by, COLUMN, names, groups)
     rows = F.coalesce(F.col("rows"), F.lit(0))
     distinct = F.coalesce(F.col("distinct"), F.lit(0))
     # -sum(c/N * ln(c/N)) with c/N taken apart, so that N is not needed while counting.
@@ -137,3 +144,17 @@ def frequency_results(summary: DataFrame, by: list[str], metrics: list[Metric])
     ).withColumn("instance", F.col("__column"))
     asked = F.concat_ws(":", "name", "__column").isin([f"{m.kind}:{m.columns[0]}" for m in wanted])
     return long.where(asked).drop("__column")
+
+
+def fill_groups(
+    summary: DataFrame, by: list[str], key: str, names: list[str], groups: DataFrame | None
+) -> DataFrame:
+    """Give every expected group one row for each name, with nulls where nothing was counted."""
+    if by and groups is None:
+        return summary
+    if not by:
+        asked = summary.sparkSession.createDataFrame([(n,) for n in names], f"`{key}` string")
+    else:
+        listed = F.explode(F.array(*map(F.lit, names))).alias(key)
+        asked = groups.select(*map(C.quoted, by), listed)
+    return asked.join(summary, [*by, key], "left")

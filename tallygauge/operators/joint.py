@@ -16,7 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygauge.functions import columns as C
-from tallygauge.operators.frequency import COPIES, expand, lookup, present, value_columns
+from tallygauge.operators.frequency import (
+    COPIES,
+    expand,
+    fill_groups,
+    lookup,
+    present,
+    type_tag,
+    value_columns,
+)
 from tallygauge.operators.inputs import Inputs, result_struct
 from tallygauge.spec import JOINT, Metric
 
@@ -41,7 +49,7 @@ def joint_states(inputs: Inputs) -> DataFrame | None:
         ]
 
     sets = [side(m.columns[0]) + side(m.columns[1]) for m in metrics]
-    outputs = [f"{s}_{f}" for s in ("a", "b") for f in range(len(families))]
+    outputs = [f"{s}_{type_tag(t)}" for s in ("a", "b") for t in families]
     long = expand(inputs, cells, families, sets, outputs)
     counted = long.groupBy(*map(C.quoted, inputs.by), "__set", *outputs).agg(
         F.count(F.lit(1)).alias(COPIES)
@@ -105,12 +113,11 @@ def joint_summary(states: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def joint_results(summary: DataFrame, by: list[str], metrics: list[Metric]) -> DataFrame:
+def joint_results(
+    summary: DataFrame, by: list[str], metrics: list[Metric], groups: DataFrame | None = None
+) -> DataFrame:
     wanted = [m for m in metrics if m.kind in JOINT]
-    if not by:
-        instances = [(m.instance,) for m in wanted]
-        asked = summary.sparkSession.createDataFrame(instances, f"{PAIR} string")
-        summary = asked.join(summary, PAIR, "left")
+    summary = fill_groups(summary, by, PAIR, [m.instance for m in wanted], groups)
     rows, both = F.col("rows"), F.col("both")
     value = F.when(both > 0, (F.col("term") + both * F.ln(rows)) / rows)
     reason = F.when(F.coalesce(rows, F.lit(0)) == 0, "empty").otherwise("no row has both values")

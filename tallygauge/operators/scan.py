@@ -163,8 +163,16 @@ def scan_results(
     metrics: list[Metric],
     refused: dict[Metric, str],
     mergeable: bool = False,
+    groups: DataFrame | None = None,
 ) -> DataFrame:
-    """States to long result rows; refused metrics appear once per group with their reason."""
+    """States to long result rows; refused metrics appear once per group with their reason.
+
+    Groups listed in ``groups`` but absent from the data come out as empty.
+    """
+    if by and groups is not None:
+        states = groups.select(*map(C.quoted, by)).join(states, by, "left")
+        zero = [n for n in states.columns if n == ROWS or n.startswith("estimate__")]
+        states = states.withColumns({n: F.coalesce(C.quoted(n), F.lit(0)) for n in zero})
     empty = F.col(ROWS) == 0
     structs = []
     for metric in metrics:

@@ -54,23 +54,40 @@ def profile(
     metrics: Iterable[Metric],
     by: Iterable[str | Column] = (),
     coerce_numeric: bool = False,
+    groups: DataFrame | None = None,
 ) -> Profile:
     """Compute ``metrics`` on ``df`` for every distinct value of the ``by`` columns.
 
     Numeric metrics refuse text columns unless ``coerce_numeric`` is set, in which case
-    text that is no number counts as null.
+    text that is no number counts as null. ``groups`` may list the groups to expect, one row
+    each with the ``by`` columns; those without data are reported as empty.
     """
-    return profile_inputs(prepare(df, metrics, by, coerce_numeric))
+    return profile_inputs(prepare(df, metrics, by, coerce_numeric), groups)
 
 
-def profile_inputs(inputs: Inputs) -> Profile:
-    by = inputs.by
-    parts = [scan_results(scan_states(inputs), by, inputs.metrics, inputs.refused)]
+def profile_inputs(
+    inputs: Inputs,
+    groups: DataFrame | None = None,
+    names: dict[str, Column] | None = None,
+) -> Profile:
+    """Profile prepared rows.
+
+    ``names`` replaces the grouping columns by expressions over them that tell the same groups
+    apart. They run on one row per group, where a grouping expression would run on every row.
+    """
+    by = list(names) if names else inputs.by
+
+    def renamed(table: DataFrame) -> DataFrame:
+        return table.withColumns(names).drop(*inputs.by) if names else table
+
+    states = renamed(scan_states(inputs))
+    parts = [scan_results(states, by, inputs.metrics, inputs.refused, groups=groups)]
     frequency = frequency_states(inputs)
     if frequency is not None:
-        summary = frequency_summary(frequency, by)
-        parts.append(frequency_results(summary, by, inputs.of(FREQUENCY)))
+        summary = renamed(frequency_summary(frequency, inputs.by))
+        parts.append(frequency_results(summary, by, inputs.of(FREQUENCY), groups))
     joint = joint_states(inputs)
     if joint is not None:
-        parts.append(joint_results(joint_summary(joint, by), by, inputs.of(JOINT)))
+        summary = renamed(joint_summary(joint, inputs.by))
+        parts.append(joint_results(summary, by, inputs.of(JOINT), groups))
     return Profile(reduce(DataFrame.unionByName, parts), by)
