@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygauge.functions.columns import quoted
+from tallygauge.spec import Metric
 
 LEVELS = ("Error", "Warning")
 
@@ -31,36 +32,44 @@ class Constraint:
             raise ValueError("a constraint needs a lower or an upper bound")
 
 
-def verify(results: DataFrame, constraints: Iterable[Constraint], by: Iterable[str] = ()) -> DataFrame:
+def verify(
+    results: DataFrame,
+    constraints: Iterable[Constraint],
+    by: Iterable[str] = (),
+    metrics: Iterable[Metric] | None = None,
+) -> DataFrame:
     """One row per group and constraint with ``constraint_status`` Success or Failure.
 
     ``status`` is what the constraint says about its group: Success, or its level when it
-    fails. Constraints on metrics nobody asked for come out once, with no group.
+    fails. Constraints on metrics nobody asked for come out once, with no group; they are
+    found from ``metrics`` if given, else by a second look at ``results``.
     """
-    by = list(by)
-    schema = "`check` string, instance string, name string, low double, high double, level string"
-    rows = [
-        (
-            c.check,
-            c.instance,
-            c.name,
-            None if c.low is None else float(c.low),
-            None if c.high is None else float(c.high),
-            c.level,
-        )
-        for c in constraints
-    ]
-    wanted = results.sparkSession.createDataFrame(rows, schema)
-    measured = results if "reason" in results.columns else results.withColumn(
-        "reason", F.lit(None).cast("string")
-    )
-    tested = wanted.join(measured, ["instance", "name"], "left")
+    by, constraints = list(by), list(constraints)
+    wanted = constraint_table(results.sparkSession, constraints)
+    if "reason" not in results.columns:
+        results = results.withColumn("reason", F.lit(None).cast("string"))
+    # The constraints are a literal table of known size, so Spark ships them to the results and
+    # the many rows of one metric stay where they are.
+    tested = results.join(wanted, ["instance", "name"])
+    if metrics is None:
+        seen = results.select("instance", "name").distinct()
+        unmeasured = wanted.join(seen, ["instance", "name"], "left_anti")
+    else:
+        asked = {(m.instance, m.name) for m in metrics}
+        bins = {m.instance for m in metrics if m.kind == "DataType"}
+        rest = [
+            c
+            for c in constraints
+            if (c.instance, c.name) not in asked
+            and not (c.instance in bins and c.name.startswith("Histogram."))
+        ]
+        unmeasured = constraint_table(results.sparkSession, rest) if rest else None
+    if unmeasured is not None:
+        tested = tested.unionByName(unmeasured, allowMissingColumns=True)
     value = F.col("value")
-    met = F.coalesce(
-        F.coalesce(value >= F.col("low"), F.col("low").isNull() & value.isNotNull())
-        & F.coalesce(value <= F.col("high"), F.col("high").isNull() & value.isNotNull()),
-        F.lit(False),
-    )
+    above = F.col("low").isNull() | (value >= F.col("low"))
+    below = F.col("high").isNull() | (value <= F.col("high"))
+    met = F.coalesce(value.isNotNull() & above & below, F.lit(False))
     return tested.select(
         *map(quoted, by),
         "check",
@@ -78,6 +87,22 @@ def verify(results: DataFrame, constraints: Iterable[Constraint], by: Iterable[s
     )
 
 
+def constraint_table(spark: SparkSession, constraints: Iterable[Constraint]) -> DataFrame:
+    schema = "`check` string, instance string, name string, low double, high double, level string"
+    rows = [
+        (
+            c.check,
+            c.instance,
+            c.name,
+            None if c.low is None else float(c.low),
+            None if c.high is None else float(c.high),
+            c.level,
+        )
+        for c in constraints
+    ]
+    return spark.createDataFrame(rows, schema)
+
+
 def check_status(verified: DataFrame, by: Iterable[str] = ()) -> DataFrame:
     """The worst status of each group and check."""
     rank = F.when(F.col("status") == "Error", 2).when(F.col("status") == "Warning", 1).otherwise(0)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygauge.operators.inputs import Inputs, prepare
-from tallygauge.plans.profile import profile_inputs
+from tallygauge.plans.profile import profile_inputs, successes
 from tallygauge.sources import files as files_source
 from tallygauge.sources.listing import bucket_of, file_name, list_files, relative_name
 from tallygauge.sources.manifest import (
@@ -21,7 +21,7 @@ from tallygauge.sources.manifest import (
     register,
     store_processed,
 )
-from tallygauge.sources.metric_table import export_csv, read_metrics, upsert_results
+from tallygauge.sources.metric_table import export_csv, read_version, upsert_results
 from tallygauge.spec import Metric, from_parameters
 
 # Files read together. Their names are planned on the driver, as Spark does with any list of
@@ -88,13 +88,13 @@ def process(spark: SparkSession, job: Job, names: list[str]) -> None:
         name = {"file_name": file_name(F.col(files_source.SOURCE_PATH), job.location)}
         parts = [profile_inputs(i, groups, name).results for i, groups in inputs]
         results = reduce(DataFrame.unionByName, parts)
-        upsert_results(results.withColumn("bucket_name", F.lit(job.bucket)), job.metrics_path)
+        results = results.withColumn("bucket_name", F.lit(job.bucket))
+        version = upsert_results(results, job.metrics_path)
     finally:
         for base in kept:
             base.unpersist()
     if job.export_path:
-        stored = read_metrics(spark, job.metrics_path)
-        export_csv(stored.join(batch, ["bucket_name", "file_name"], "left_semi"), job.export_path)
+        export_csv(successes(read_version(spark, job.metrics_path, version)), job.export_path)
     store_processed(job.manifest_path, batch)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 FORMATS = ("csv", "json", "parquet")
 TEXT_FORMATS = ("csv", "json")
-SOURCE_PATH = "source_path"
+SOURCE_PATH = "__source_path"
 
 
 def read_files(
@@ -22,7 +22,7 @@ def read_files(
     schema: T.StructType | str | None = None,
     options: Mapping[str, object] | None = None,
 ) -> DataFrame:
-    """One frame over all files, with the file of each row in ``source_path`` (written like a URL).
+    """One frame over all files, with the file of each row in ``__source_path`` (written like a URL).
 
     CSV has a header and its columns are text unless a schema is given; with a schema, a file
     whose header differs is an error rather than read by position. JSON types are inferred.

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tallygauge.operators.keyed import METRIC_COLUMNS, ROW_KEY, with_keys
 from tallygauge.plans.profile import failures, successes
-from tallygauge.sources.tables import latest_rows, read_versions, write_version
+from tallygauge.sources.tables import latest_rows, read_versions, version_folder, write_version
 
 RESULT_SCHEMA = T.StructType(
     [
@@ -28,6 +28,11 @@ def upsert_results(results: DataFrame, path: str, version: int | None = None) ->
     return write_version(results.select(*RESULT_SCHEMA.names), path, version)
 
 
+def read_version(spark: SparkSession, path: str, version: int) -> DataFrame:
+    """The rows of one batch, without the rest of the table."""
+    return spark.read.schema(RESULT_SCHEMA).parquet(version_folder(path, version))
+
+
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     return latest_rows(read_versions(spark, path, RESULT_SCHEMA), ROW_KEY)
 

@@ -22,9 +22,13 @@ def next_version() -> int:
     return time.time_ns() // 1_000_000
 
 
+def version_folder(path: str, version: int) -> str:
+    return f"{path.rstrip('/')}/{VERSION}={version}"
+
+
 def write_version(rows: DataFrame, path: str, version: int | None = None) -> int:
     version = next_version() if version is None else version
-    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{VERSION}={version}")
+    rows.write.mode("overwrite").parquet(version_folder(path, version))
     return version
 
 

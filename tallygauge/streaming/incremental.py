@@ -27,7 +27,7 @@ def file_stream(
     options: Mapping[str, object] | None = None,
     max_files: int | None = None,
 ) -> DataFrame:
-    """New files of a location as a stream with the file of each row in ``source_path``."""
+    """New files of a location as a stream with the file of each row in ``__source_path``."""
     reader = spark.readStream.format(file_format).schema(schema)
     if file_format == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
