@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallygauge.functions.columns import INTEGRAL
+from tallygauge.functions.columns import INTEGRAL, literal
 
 # The five classes in output order and the patterns that decide them.
 CLASSES = ("Unknown", "Fractional", "Integral", "Boolean", "String")
@@ -15,12 +13,12 @@ FRACTIONAL_PATTERN = r"^[-+]?(\d+\.\d*|\.\d+)\z"
 BOOLEAN_PATTERN = r"^(true|false)\z"
 
 
-def value_class(column: Column, dtype: T.DataType) -> Column:
-    """The position in ``CLASSES`` of each value's class.
+def value_class(cell: str, dtype: T.DataType) -> str:
+    """SQL for the position in ``CLASSES`` of each value's class.
 
     Types whose text form always falls into one class skip the patterns.
     """
-    code = {name: F.lit(i) for i, name in enumerate(CLASSES)}
+    code = {name: i for i, name in enumerate(CLASSES)}
     if isinstance(dtype, INTEGRAL):
         known = code["Integral"]
     elif isinstance(dtype, T.BooleanType):
@@ -29,15 +27,14 @@ def value_class(column: Column, dtype: T.DataType) -> Column:
         known = code["String"]
     elif isinstance(dtype, (T.FloatType, T.DoubleType)):
         # The text of a double is plain digits within this range, and has an exponent outside.
-        size = F.abs(column)
-        plain = (size == 0) | ((size >= 1e-3) & (size < 1e7))
-        known = F.when(plain, code["Fractional"]).otherwise(code["String"])
+        plain = f"{cell} = 0 OR (abs({cell}) >= 1e-3D AND abs({cell}) < 1e7D)"
+        known = f"CASE WHEN {plain} THEN {code['Fractional']} ELSE {code['String']} END"
     else:
-        text = column.cast("string")
+        text = f"CAST({cell} AS STRING)"
         known = (
-            F.when(text.rlike(INTEGRAL_PATTERN), code["Integral"])
-            .when(text.rlike(FRACTIONAL_PATTERN), code["Fractional"])
-            .when(text.rlike(BOOLEAN_PATTERN), code["Boolean"])
-            .otherwise(code["String"])
+            f"CASE WHEN {text} RLIKE {literal(INTEGRAL_PATTERN)} THEN {code['Integral']} "
+            f"WHEN {text} RLIKE {literal(FRACTIONAL_PATTERN)} THEN {code['Fractional']} "
+            f"WHEN {text} RLIKE {literal(BOOLEAN_PATTERN)} THEN {code['Boolean']} "
+            f"ELSE {code['String']} END"
         )
-    return F.when(column.isNull(), code["Unknown"]).otherwise(known)
+    return f"CASE WHEN {cell} IS NULL THEN {code['Unknown']} ELSE {known} END"

@@ -9,22 +9,21 @@ per type family and exactly one of them is used in a row.
 from __future__ import annotations
 
 import re
-from functools import reduce
-from itertools import chain
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygauge.functions import columns as C
-from tallygauge.operators.inputs import Inputs, result_struct
+from tallygauge.operators.inputs import Inputs, result_rows, result_struct
 from tallygauge.spec import FREQUENCY, Metric
 
-COLUMN, COPIES = "column", "copies"
-VALUE = "value_"
+# Names that grouping columns will not have.
+COLUMN, COPIES = "__column", "__copies"
+VALUE = "__value_"
 
 
 def frequency_states(inputs: Inputs) -> DataFrame | None:
-    """The frequency table: grouping columns, ``column``, typed values, ``copies``.
+    """The frequency table: grouping columns, the column's name, typed values, their copies.
 
     Nulls are counted as rows of their own, so the counts of a column add up to all rows.
     """
@@ -33,7 +32,7 @@ def frequency_states(inputs: Inputs) -> DataFrame | None:
         return None
     families = list(dict.fromkeys(C.group_type(inputs.types[n]) for n in names))
     cells = {
-        f"v{i}": C.group_value(inputs.column(name), inputs.types[name])
+        f"v{i}": C.group_value(inputs.cell(name), inputs.types[name])
         for i, name in enumerate(names)
     }
     sets = []
@@ -45,29 +44,31 @@ def frequency_states(inputs: Inputs) -> DataFrame | None:
     counted = long.groupBy(*map(C.quoted, inputs.by), "__set", *values).agg(
         F.count(F.lit(1)).alias(COPIES)
     )
-    return counted.select(
-        *map(C.quoted, inputs.by),
-        lookup(F.col("__set"), {str(i): n for i, n in enumerate(names)}).alias(COLUMN),
-        *values,
-        COPIES,
-    )
+    column = lookup("__set", {str(i): n for i, n in enumerate(names)})
+    return counted.selectExpr(*map(C.quoted, inputs.by), f"{column} AS {COLUMN}", *values, COPIES)
 
 
 def expand(
     inputs: Inputs,
-    cells: dict[str, Column],
+    cells: dict[str, str],
     families: list[str],
     sets: list[list[str]],
     outputs: list[str],
 ) -> DataFrame:
     """One row per input row and set, with the set's cells under ``outputs``.
 
+    ``cells`` are SQL values by name, the sets name them or ``null<i>`` for a null of family i.
     This is SQL UNPIVOT with several value columns, which Spark runs as one Expand inside the
     generated code of the scan.
     """
-    nulls = [F.lit(None).cast(t).alias(f"null{i}") for i, t in enumerate(families)]
-    narrow = inputs.base.select(
-        *map(C.quoted, inputs.by), *[c.alias(n) for n, c in cells.items()], *nulls
+    size = len(families)
+    nulls = {}
+    for cells_of_set in sets:
+        for position, name in enumerate(cells_of_set):
+            if not name.startswith("null"):
+                nulls[position % size] = f"IF(false, {cells[name]}, NULL) AS null{position % size}"
+    narrow = inputs.base.selectExpr(
+        *map(C.quoted, inputs.by), *[f"{sql} AS {n}" for n, sql in cells.items()], *nulls.values()
     )
     choices = ", ".join(f"({', '.join(s)}) AS `{i}`" for i, s in enumerate(sets))
     return narrow.sparkSession.sql(
@@ -82,16 +83,18 @@ def type_tag(group_type: str) -> str:
     return re.sub(r"\W+", "_", group_type).strip("_")
 
 
-def lookup(key: Column, names: dict[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for x in chain.from_iterable(names.items())])[key]
+def lookup(key: str, names: dict[str, str]) -> str:
+    """SQL that replaces a key by its name."""
+    entries = ", ".join(f"{C.literal(k)}, {C.literal(v)}" for k, v in names.items())
+    return f"map({entries})[{key}]"
 
 
-def present(names: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in names])
+def present(names: list[str]) -> str:
+    return "(" + " OR ".join(f"{n} IS NOT NULL" for n in names) + ")"
 
 
 def value_columns(states: DataFrame, prefix: str = VALUE) -> list[str]:
-    return [c for c in states.columns if c.startswith(prefix)]
+    return sorted(c for c in states.columns if c.startswith(prefix))
 
 
 def merge_frequency_states(states: DataFrame, by: list[str]) -> DataFrame:
@@ -102,13 +105,15 @@ def merge_frequency_states(states: DataFrame, by: list[str]) -> DataFrame:
 def frequency_summary(states: DataFrame, by: list[str]) -> DataFrame:
     """One row per group and column; the sums need no second look at the total row count."""
     filled = present(value_columns(states))
-    copies = F.col(COPIES)
+    sums = {
+        "__rows": f"sum({COPIES})",
+        "__present": f"sum(IF({filled}, {COPIES}, NULL))",
+        "__distinct": f"count_if({filled})",
+        "__once": f"count_if({filled} AND {COPIES} = 1)",
+        "__copies_ln": f"sum(IF({filled}, {COPIES} * ln({COPIES}), NULL))",
+    }
     return states.groupBy(*map(C.quoted, by), COLUMN).agg(
-        F.sum(copies).alias("rows"),
-        F.sum(F.when(filled, copies)).alias("present"),
-        F.count_if(filled).alias("distinct"),
-        F.count_if(filled & (copies == 1)).alias("once"),
-        F.sum(F.when(filled, copies * F.ln(copies))).alias("copies_ln"),
+        *[F.expr(f"{sql} AS `{name}`") for name, sql in sums.items()]
     )
 
 
@@ -123,27 +128,25 @@ def frequency_results(
     wanted = [m for m in metrics if m.kind in FREQUENCY]
     names = list(dict.fromkeys(m.columns[0] for m in wanted))
     summary = fill_groups(summary, by, COLUMN, names, groups)
-    rows = F.coalesce(F.col("rows"), F.lit(0))
-    distinct = F.coalesce(F.col("distinct"), F.lit(0))
-    # -sum(c/N * ln(c/N)) with c/N taken apart, so that N is not needed while counting.
-    entropy = (F.col("present") * F.ln(rows) - F.col("copies_ln")) / F.nullif(rows, F.lit(0))
+    rows, distinct = "coalesce(__rows, 0)", "coalesce(__distinct, 0)"
     values = {
         "CountDistinct": distinct,
-        "Distinctness": F.try_divide(distinct, rows),
-        "Entropy": entropy,
-        "UniqueValueRatio": F.try_divide(F.col("once"), distinct),
-        "Uniqueness": F.try_divide(F.col("once"), rows),
+        "Distinctness": f"try_divide({distinct}, {rows})",
+        # -sum(c/N * ln(c/N)) with c/N taken apart, so that N is not needed while counting.
+        "Entropy": "try_divide(__present * ln(__rows) - __copies_ln, __rows)",
+        "UniqueValueRatio": f"try_divide(__once, {distinct})",
+        "Uniqueness": f"try_divide(__once, {rows})",
     }
-    reason = F.when(rows == 0, "empty").otherwise("no non-null values")
+    reason = f"IF({rows} = 0, 'empty', 'no non-null values')"
     kinds = list(dict.fromkeys(m.kind for m in wanted))
     template = [result_struct(Metric(k, ("",)), k, values[k], reason) for k in kinds]
-    long = summary.select(
-        *map(C.quoted, by),
-        F.col(COLUMN).alias("__column"),
-        F.inline(F.array(*template)),
-    ).withColumn("instance", F.col("__column"))
-    asked = F.concat_ws(":", "name", "__column").isin([f"{m.kind}:{m.columns[0]}" for m in wanted])
-    return long.where(asked).drop("__column")
+    keys = [C.quoted(b) for b in by]
+    asked = ", ".join(C.literal(f"{m.kind}:{m.columns[0]}") for m in wanted)
+    return (
+        result_rows(summary, [*keys, COLUMN], template)
+        .where(f"concat(name, ':', {COLUMN}) IN ({asked})")
+        .selectExpr(*keys, "entity", f"{COLUMN} AS instance", "name", "value", "reason")
+    )
 
 
 def fill_groups(
@@ -153,7 +156,7 @@ def fill_groups(
     if by and groups is None:
         return summary
     if not by:
-        asked = summary.sparkSession.createDataFrame([(n,) for n in names], f"`{key}` string")
+        asked = summary.sparkSession.createDataFrame([(n,) for n in names], f"{key} string")
     else:
         listed = F.explode(F.array(*map(F.lit, names))).alias(key)
         asked = groups.select(*map(C.quoted, by), listed)

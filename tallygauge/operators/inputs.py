@@ -28,8 +28,9 @@ class Inputs:
     types: dict[str, T.DataType] = field(default_factory=dict)
     predicates: dict[str, str] = field(default_factory=dict)
 
-    def column(self, name: str) -> Column:
-        return F.col(self.columns[name])
+    def cell(self, name: str) -> str:
+        """The column of ``base`` that holds the cells of a measured column."""
+        return self.columns[name]
 
     def of(self, kinds: Iterable[str]) -> list[Metric]:
         return [m for m in self.metrics if m.kind in kinds and m not in self.refused]
@@ -105,13 +106,15 @@ def type_problem(metric: Metric, dtypes: list[T.DataType], coerce_numeric: bool)
     return None
 
 
-def result_struct(metric: Metric, name: str, value: Column, reason: Column) -> Column:
-    """One result row; ``reason`` is kept only where there is no value."""
-    return F.struct(
-        F.lit(metric.entity).alias("entity"),
-        F.lit(metric.instance).alias("instance"),
-        F.lit(name).alias("name"),
-        value.cast("double").alias("value"),
-        F.when(value.isNull(), reason).alias("reason"),
+def result_struct(metric: Metric, name: str, value: str, reason: str) -> str:
+    """SQL for one result row; ``reason`` is kept only where there is no value."""
+    return (
+        f"struct({C.literal(metric.entity)} AS entity, {C.literal(metric.instance)} AS instance, "
+        f"{C.literal(name)} AS name, CAST({value} AS DOUBLE) AS value, "
+        f"CASE WHEN ({value}) IS NULL THEN {reason} END AS reason)"
     )
 
+
+def result_rows(table: DataFrame, keep: list[str], structs: list[str]) -> DataFrame:
+    """Result rows of a table with one row per group; ``keep`` is SQL for the leading columns."""
+    return table.selectExpr(*keep, f"inline(array({', '.join(structs)}))")

@@ -25,45 +25,41 @@ from tallygauge.operators.frequency import (
     type_tag,
     value_columns,
 )
-from tallygauge.operators.inputs import Inputs, result_struct
+from tallygauge.operators.inputs import Inputs, result_rows, result_struct
 from tallygauge.spec import JOINT, Metric
 
-PAIR = "pair"
+PAIR, LEFT, RIGHT = "__pair", "__a_", "__b_"
 
 
 def joint_states(inputs: Inputs) -> DataFrame | None:
-    """The joint frequency table: grouping columns, ``pair``, typed a and b values, ``copies``."""
+    """The joint frequency table: grouping columns, the pair, typed a and b values, their copies."""
     metrics = inputs.of(JOINT)
     if not metrics:
         return None
     names = list(dict.fromkeys(n for m in metrics for n in m.columns))
     families = list(dict.fromkeys(C.group_type(inputs.types[n]) for n in names))
     cells = {
-        f"v{i}": C.group_value(inputs.column(n), inputs.types[n]) for i, n in enumerate(names)
+        f"v{i}": C.group_value(inputs.cell(n), inputs.types[n]) for i, n in enumerate(names)
     }
 
-    def side(name: str) -> list[str]:
+    def cells_of(name: str) -> list[str]:
         own = families.index(C.group_type(inputs.types[name]))
         return [
             f"v{names.index(name)}" if f == own else f"null{f}" for f in range(len(families))
         ]
 
-    sets = [side(m.columns[0]) + side(m.columns[1]) for m in metrics]
-    outputs = [f"{s}_{type_tag(t)}" for s in ("a", "b") for t in families]
+    sets = [cells_of(m.columns[0]) + cells_of(m.columns[1]) for m in metrics]
+    outputs = [side + type_tag(t) for side in (LEFT, RIGHT) for t in families]
     long = expand(inputs, cells, families, sets, outputs)
     counted = long.groupBy(*map(C.quoted, inputs.by), "__set", *outputs).agg(
         F.count(F.lit(1)).alias(COPIES)
     )
-    return counted.select(
-        *map(C.quoted, inputs.by),
-        lookup(F.col("__set"), {str(i): m.instance for i, m in enumerate(metrics)}).alias(PAIR),
-        *outputs,
-        COPIES,
-    )
+    pair = lookup("__set", {str(i): m.instance for i, m in enumerate(metrics)})
+    return counted.selectExpr(*map(C.quoted, inputs.by), f"{pair} AS {PAIR}", *outputs, COPIES)
 
 
 def merge_joint_states(states: DataFrame, by: list[str]) -> DataFrame:
-    values = value_columns(states, "a_") + value_columns(states, "b_")
+    values = value_columns(states, LEFT) + value_columns(states, RIGHT)
     keys = [*map(C.quoted, by), PAIR, *values]
     return states.groupBy(*keys).agg(F.sum(COPIES).alias(COPIES))
 
@@ -74,42 +70,39 @@ def joint_summary(states: DataFrame, by: list[str]) -> DataFrame:
     The table is read once: every joint count goes to both its marginals and, under the side
     ``ab`` with no value, to the totals of its pair.
     """
-    left, right = value_columns(states, "a_"), value_columns(states, "b_")
+    left, right = value_columns(states, LEFT), value_columns(states, RIGHT)
     keys = [*map(C.quoted, by), PAIR]
-    filled = present(left) & present(right)
-    copies = F.col(COPIES)
-    tagged = states.select(
+    filled = f"{present(left)} AND {present(right)}"
+    tagged = states.selectExpr(
         *keys,
         *left,
         *right,
-        *[F.lit(None).cast(states.schema[n].dataType).alias(f"n{n}") for n in left],
+        *[f"IF(false, {n}, NULL) AS {n}null" for n in left],
         COPIES,
-        F.when(filled, copies).otherwise(F.lit(0).cast("bigint")).alias("both"),
+        f"IF({filled}, {COPIES}, 0L) AS __both",
     )
-    values = [f"value_{i}" for i in range(len(left))]
+    values = [f"__value_{i}" for i in range(len(left))]
     sides = ", ".join(
         f"({', '.join(cells)}) AS {side}"
-        for side, cells in (("ab", [f"n{n}" for n in left]), ("a", left), ("b", right))
+        for side, cells in (("ab", [f"{n}null" for n in left]), ("a", left), ("b", right))
     )
     long = states.sparkSession.sql(
-        f"SELECT * FROM {{tagged}} UNPIVOT INCLUDE NULLS (({', '.join(values)}) FOR side IN ({sides}))",
+        f"SELECT * FROM {{tagged}} UNPIVOT INCLUDE NULLS (({', '.join(values)}) FOR __side IN ({sides}))",
         tagged=tagged,
     )
-    totals = F.col("side") == "ab"
-    both = F.col("both")
     marginals = (
-        long.where(totals | present(values))
-        .groupBy(*keys, "side", *values)
+        long.where(f"__side = 'ab' OR {present(values)}")
+        .groupBy(*keys, "__side", *values)
         .agg(
-            F.sum(copies).alias(COPIES),
-            F.sum(both).alias("both"),
-            F.sum(F.when(totals & (both > 0), both * F.ln(both))).alias("both_ln"),
+            F.expr(f"sum({COPIES}) AS {COPIES}"),
+            F.expr("sum(__both) AS __both"),
+            F.expr("sum(IF(__side = 'ab' AND __both > 0, __both * ln(__both), NULL)) AS __both_ln"),
         )
     )
     return marginals.groupBy(*keys).agg(
-        F.sum(F.when(totals, copies)).alias("rows"),
-        F.sum(F.when(totals, both)).alias("both"),
-        F.sum(F.when(totals, F.col("both_ln")).otherwise(-both * F.ln(copies))).alias("term"),
+        F.expr(f"sum(IF(__side = 'ab', {COPIES}, NULL)) AS __rows"),
+        F.expr("sum(IF(__side = 'ab', __both, NULL)) AS __both"),
+        F.expr(f"sum(IF(__side = 'ab', __both_ln, -__both * ln({COPIES}))) AS __term"),
     )
 
 
@@ -118,15 +111,10 @@ def joint_results(
 ) -> DataFrame:
     wanted = [m for m in metrics if m.kind in JOINT]
     summary = fill_groups(summary, by, PAIR, [m.instance for m in wanted], groups)
-    rows, both = F.col("rows"), F.col("both")
-    value = F.when(both > 0, (F.col("term") + both * F.ln(rows)) / rows)
-    reason = F.when(F.coalesce(rows, F.lit(0)) == 0, "empty").otherwise("no row has both values")
-    return (
-        summary.select(
-            *map(C.quoted, by),
-            F.col(PAIR).alias("__pair"),
-            F.inline(F.array(result_struct(wanted[0], wanted[0].name, value, reason))),
-        )
-        .withColumn("instance", F.col("__pair"))
-        .drop("__pair")
+    value = "IF(__both > 0, (__term + __both * ln(__rows)) / __rows, NULL)"
+    reason = "IF(coalesce(__rows, 0) = 0, 'empty', 'no row has both values')"
+    template = [result_struct(wanted[0], wanted[0].name, value, reason)]
+    keys = [C.quoted(b) for b in by]
+    return result_rows(summary, [*keys, PAIR], template).selectExpr(
+        *keys, "entity", f"{PAIR} AS instance", "name", "value", "reason"
     )

@@ -7,12 +7,12 @@ run on one row per group. States of separate runs can be stored and merged.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygauge.functions import columns as C
 from tallygauge.functions.datatype import CLASSES, value_class
-from tallygauge.operators.inputs import Inputs, result_struct
+from tallygauge.operators.inputs import Inputs, result_rows, result_struct
 from tallygauge.spec import SCAN, Metric
 
 # The relative standard deviation of ApproxCountDistinct.
@@ -28,132 +28,115 @@ def state(prefix: str, metric: Metric) -> str:
 
 
 def class_column(metric: Metric) -> str:
-    return state("__class", metric)
+    return C.quoted(state("__class", metric))
 
 
-def metric_states(metric: Metric, inputs: Inputs, mergeable: bool) -> dict[str, Column]:
-    """State name to aggregate; metrics that need the same state give it the same name."""
+def metric_states(metric: Metric, inputs: Inputs, mergeable: bool) -> dict[str, str]:
+    """State name to SQL aggregate; metrics that need the same state give it the same name."""
     kind = metric.kind
     if kind == "Size":
         return {}
     if kind == "Compliance":
-        return {state("hits", metric): F.count_if(F.col(inputs.predicates[metric.label]))}
-    cells = [inputs.column(name) for name in metric.columns]
+        return {state("hits", metric): f"count_if({inputs.predicates[metric.label]})"}
+    cells = [inputs.cell(name) for name in metric.columns]
     types = [inputs.types[name] for name in metric.columns]
-    column, dtype = cells[0], types[0]
-    number = C.as_number(column, dtype)
+    cell, dtype = cells[0], types[0]
+    number = C.as_number(cell, dtype)
     if kind == "Completeness":
-        return {state("non_null", metric): F.count(column)}
+        return {state("non_null", metric): f"count({cell})"}
     if kind == "Mean":
-        return {state("numbers", metric): F.count(number), state("total", metric): F.sum(number)}
+        return {state("numbers", metric): f"count({number})", state("total", metric): f"sum({number})"}
     if kind == "Sum":
-        return {state("total", metric): F.sum(number)}
+        return {state("total", metric): f"sum({number})"}
     if kind == "Maximum":
-        return {state("largest", metric): F.max(number)}
+        return {state("largest", metric): f"max({number})"}
     if kind == "Minimum":
-        return {state("smallest", metric): F.min(number)}
+        return {state("smallest", metric): f"min({number})"}
     if kind == "DataType":
-        found = F.col(C.quoted(class_column(metric)))
-        return {
-            state(f"class_{c}", metric): F.count_if(found == i) for i, c in enumerate(CLASSES)
-        }
+        found = class_column(metric)
+        return {state(f"class_{c}", metric): f"count_if({found} = {i})" for i, c in enumerate(CLASSES)}
     if kind == "PatternMatch":
-        hit = C.as_text(column).rlike(metric.expression)
-        return {state("matches", metric): F.count_if(hit)}
+        hit = f"CAST({cell} AS STRING) RLIKE {C.literal(metric.expression)}"
+        return {state("matches", metric): f"count_if({hit})"}
     if kind == "ApproxCountDistinct":
         if mergeable:
-            return {state("sketch", metric): F.hll_sketch_agg(C.sketch_value(column, dtype))}
-        return {state("estimate", metric): F.approx_count_distinct(column, DISTINCT_ERROR)}
+            return {state("sketch", metric): f"hll_sketch_agg({C.sketch_value(cell, dtype)})"}
+        return {state("estimate", metric): f"approx_count_distinct({cell}, {DISTINCT_ERROR}D)"}
     if kind == "ApproxQuantile":
         if mergeable:
-            return {state("ranks", metric): F.kll_sketch_agg_double(number)}
-        name = f"quantile_{metric.quantile}"
-        return {state(name, metric): F.percentile_approx(number, metric.quantile, QUANTILE_ACCURACY)}
+            return {state("ranks", metric): f"kll_sketch_agg_double({number})"}
+        name = state(f"quantile_{metric.quantile}", metric)
+        return {name: f"percentile_approx({number}, {metric.quantile}D, {QUANTILE_ACCURACY})"}
     other = C.as_number(cells[1], types[1])
     return {state("moments", metric): co_moments(number, other, with_means=mergeable)}
 
 
-def co_moments(a: Column, b: Column, with_means: bool) -> Column:
+def co_moments(a: str, b: str, with_means: bool) -> str:
     """Summed products of deviations over rows where both values are present.
 
     The built-in correlation divides inside the aggregate and raises on a constant column,
     so the division is left to the formula. The means are needed only for merging.
     """
-    parts = [
-        F.regr_sxy(b, a).alias("ab"),
-        F.regr_sxx(b, a).alias("aa"),
-        F.regr_syy(b, a).alias("bb"),
-    ]
+    parts = {"ab": "regr_sxy", "aa": "regr_sxx", "bb": "regr_syy"}
     if with_means:
-        parts += [
-            F.regr_count(b, a).alias("n"),
-            F.regr_avgx(b, a).alias("mean_a"),
-            F.regr_avgy(b, a).alias("mean_b"),
-        ]
-    return F.struct(*parts)
+        parts |= {"n": "regr_count", "mean_a": "regr_avgx", "mean_b": "regr_avgy"}
+    return f"struct({', '.join(f'{f}({b}, {a}) AS {name}' for name, f in parts.items())})"
 
 
-def metric_values(metric: Metric, mergeable: bool = False) -> list[tuple[str, Column, str]]:
-    """The output rows of a metric as ``(name, value, reason when null)`` over its states."""
+def metric_values(metric: Metric, mergeable: bool = False) -> list[tuple[str, str, str]]:
+    """The output rows of a metric as ``(name, SQL value, reason when null)`` over its states."""
 
-    def col(prefix: str) -> Column:
-        return F.col(C.quoted(state(prefix, metric)))
+    def col(prefix: str) -> str:
+        return C.quoted(state(prefix, metric))
 
-    rows = F.col(ROWS)
     kind = metric.kind
+    shares = {"Completeness": "non_null", "Compliance": "hits", "PatternMatch": "matches"}
+    numbers = {"Sum": "total", "Maximum": "largest", "Minimum": "smallest"}
     if kind == "Size":
-        return [("Size", rows, "empty")]
-    if kind == "Completeness":
-        return [(kind, F.try_divide(col("non_null"), rows), "empty")]
-    if kind == "Compliance":
-        return [(kind, F.try_divide(col("hits"), rows), "empty")]
-    if kind == "PatternMatch":
-        return [(kind, F.try_divide(col("matches"), rows), "empty")]
+        return [("Size", ROWS, "empty")]
+    if kind in shares:
+        return [(kind, f"try_divide({col(shares[kind])}, {ROWS})", "empty")]
     if kind == "Mean":
-        return [(kind, F.try_divide(col("total"), col("numbers")), "no numbers")]
-    if kind == "Sum":
-        return [(kind, col("total"), "no numbers")]
-    if kind == "Maximum":
-        return [(kind, col("largest"), "no numbers")]
-    if kind == "Minimum":
-        return [(kind, col("smallest"), "no numbers")]
+        return [(kind, f"try_divide({col('total')}, {col('numbers')})", "no numbers")]
+    if kind in numbers:
+        return [(kind, col(numbers[kind]), "no numbers")]
     if kind == "DataType":
-        shown = F.when(rows > 0, F.lit(1))
-        values = [("Histogram.bins", shown * len(CLASSES), "empty")]
+        values = [("Histogram.bins", f"IF({ROWS} > 0, {len(CLASSES)}, NULL)", "empty")]
         for c in CLASSES:
-            values.append((f"Histogram.abs.{c}", shown * col(f"class_{c}"), "empty"))
-            values.append((f"Histogram.ratio.{c}", F.try_divide(col(f"class_{c}"), rows), "empty"))
+            cases = col(f"class_{c}")
+            values.append((f"Histogram.abs.{c}", f"IF({ROWS} > 0, {cases}, NULL)", "empty"))
+            values.append((f"Histogram.ratio.{c}", f"try_divide({cases}, {ROWS})", "empty"))
         return values
     if kind == "ApproxCountDistinct":
         if mergeable:
-            return [(kind, F.coalesce(F.hll_sketch_estimate(col("sketch")), F.lit(0)), "empty")]
+            return [(kind, f"coalesce(hll_sketch_estimate({col('sketch')}), 0)", "empty")]
         return [(kind, col("estimate"), "empty")]
     if kind == "ApproxQuantile":
+        value = col(f"quantile_{metric.quantile}")
         if mergeable:
-            has = F.kll_sketch_get_n_double(col("ranks")) > 0
-            value = F.when(has, F.kll_sketch_get_quantile_double(col("ranks"), F.lit(metric.quantile)))
-        else:
-            value = col(f"quantile_{metric.quantile}")
+            ranks = col("ranks")
+            quantile = f"kll_sketch_get_quantile_double({ranks}, {metric.quantile}D)"
+            value = f"IF(kll_sketch_get_n_double({ranks}) > 0, {quantile}, NULL)"
         return [(metric.name, value, "no numbers")]
-    undefined = "needs two rows and two varying columns"
     m = col("moments")
-    spread = F.sqrt(m["aa"]) * F.sqrt(m["bb"])
-    return [(kind, F.when(spread > 0, m["ab"] / spread), undefined)]
+    spread = f"(sqrt({m}.aa) * sqrt({m}.bb))"
+    value = f"IF({spread} > 0, {m}.ab / {spread}, NULL)"
+    return [(kind, value, "needs two rows and two varying columns")]
 
 
 def scan_states(inputs: Inputs, mergeable: bool = False) -> DataFrame:
     """One row per group with every state of every shared-scan metric: the one full pass."""
     # The class is a column of its own so that its patterns run once per cell, not per class.
     classes = [
-        value_class(inputs.column(m.columns[0]), inputs.types[m.columns[0]]).alias(class_column(m))
+        f"{value_class(inputs.cell(m.columns[0]), inputs.types[m.columns[0]])} AS {class_column(m)}"
         for m in inputs.of(["DataType"])
     ]
-    base = inputs.base.select("*", *classes) if classes else inputs.base
-    states: dict[str, Column] = {ROWS: F.count(F.lit(1))}
+    base = inputs.base.selectExpr("*", *classes) if classes else inputs.base
+    states = {ROWS: "count(1)"}
     for metric in inputs.of(SCAN):
         for name, aggregate in metric_states(metric, inputs, mergeable).items():
             states.setdefault(name, aggregate)
-    aggregates = [a.alias(name) for name, a in states.items()]
+    aggregates = [F.expr(f"{sql} AS {C.quoted(name)}") for name, sql in states.items()]
     return base.groupBy(*map(C.quoted, inputs.by)).agg(*aggregates)
 
 
@@ -169,24 +152,24 @@ def scan_results(
 
     Groups listed in ``groups`` but absent from the data come out as empty.
     """
+    keys = [C.quoted(b) for b in by]
     if by and groups is not None:
-        states = groups.select(*map(C.quoted, by)).join(states, by, "left")
+        states = groups.select(*keys).join(states, by, "left")
         zero = [n for n in states.columns if n == ROWS or n.startswith("estimate__")]
-        states = states.withColumns({n: F.coalesce(C.quoted(n), F.lit(0)) for n in zero})
-    empty = F.col(ROWS) == 0
+        states = states.withColumns({n: F.expr(f"coalesce({C.quoted(n)}, 0)") for n in zero})
     structs = []
     for metric in metrics:
         if metric in refused:
-            missing = F.lit(None).cast("double")
-            structs.append(result_struct(metric, metric.name, missing, F.lit(refused[metric])))
+            reason = C.literal(refused[metric])
+            structs.append(result_struct(metric, metric.name, "CAST(NULL AS DOUBLE)", reason))
         elif metric.kind in SCAN:
-            for name, value, reason in metric_values(metric, mergeable=mergeable):
-                why = F.when(empty, "empty").otherwise(reason)
+            for name, value, reason in metric_values(metric, mergeable):
+                why = f"IF({ROWS} = 0, 'empty', {C.literal(reason)})"
                 structs.append(result_struct(metric, name, value, why))
     if not structs:
-        structs = [result_struct(Metric("Size"), "Size", F.col(ROWS), F.lit("empty"))]
-        return states.select(*map(C.quoted, by), F.inline(F.array(*structs))).where(F.lit(False))
-    return states.select(*map(C.quoted, by), F.inline(F.array(*structs)))
+        nothing = result_struct(Metric("Size"), "Size", ROWS, "'empty'")
+        return result_rows(states, keys, [nothing]).where("false")
+    return result_rows(states, keys, structs)
 
 
 MERGE = {

@@ -291,3 +291,13 @@ def test_approximate_metrics_stay_within_their_error(spark, values):
     found = values(profile(df, on("ApproxCountDistinct", "v") + approx_quantile("q", 0.25)).metrics)
     assert abs(found[("v", "ApproxCountDistinct")] - 20_000) <= 0.15 * 20_000
     assert abs(found[("q", "ApproxQuantile-0.25")] - 24.5) <= 1.5
+
+
+def test_grouping_columns_may_have_common_names(spark, values):
+    names = ["column", "pair", "copies", "rows", "both", "side", "value_x", "a_x", "b_x", "distinct"]
+    df = spark.createDataFrame([(*range(10), "u", "v")] * 3, [*names, "x", "y"])
+    spec = size() + frequency("x") + pairs("MutualInformation", "x", "y")
+    found = values(profile(df, spec, names).metrics, *names)
+    assert found[(*range(10), "x", "CountDistinct")] == 1
+    assert found[(*range(10), "x,y", "MutualInformation")] == 0
+    assert len(found) == 7
