@@ -35,11 +35,6 @@ class Inputs:
     def of(self, kinds: Iterable[str]) -> list[Metric]:
         return [m for m in self.metrics if m.kind in kinds and m not in self.refused]
 
-    @property
-    def families(self) -> int:
-        """How many passes over ``base`` the metrics take."""
-        return 1 + bool(self.of(FREQUENCY)) + bool(self.of(JOINT))
-
 
 def prepare(
     df: DataFrame,

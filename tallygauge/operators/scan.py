@@ -22,6 +22,12 @@ QUANTILE_ACCURACY = 10000
 
 ROWS = "rows__"
 
+SKETCHES = ("ApproxCountDistinct", "ApproxQuantile")
+# Partial-sum fields of a metric where it is not one, and how many a pass may have: Spark
+# generates code for rows of up to 100 fields.
+FIELDS = {"Mean": 2, "DataType": len(CLASSES), "Correlation": 10}
+FIELDS_PER_PASS = 80
+
 
 def state(prefix: str, metric: Metric) -> str:
     return f"{prefix}__{metric.instance}"
@@ -124,16 +130,46 @@ def metric_values(metric: Metric, mergeable: bool = False) -> list[tuple[str, st
     return [(kind, value, "needs two rows and two varying columns")]
 
 
-def scan_states(inputs: Inputs, mergeable: bool = False) -> DataFrame:
-    """One row per group with every state of every shared-scan metric: the one full pass."""
+def scan_passes(inputs: Inputs) -> list[list[Metric]]:
+    """The shared-scan metrics split so that each pass stays within generated code.
+
+    Nearly always this is one pass. A wide table takes several, each reading its own columns,
+    because Spark leaves generated code behind when a row of partial sums gets too wide.
+    """
+    by_column: dict[str, list[Metric]] = {}
+    sketches = []
+    for metric in inputs.of(SCAN):
+        if metric.kind in SKETCHES:
+            sketches.append(metric)
+        else:
+            by_column.setdefault(metric.columns[0] if metric.columns else "", []).append(metric)
+    passes, width = [[]], 0
+    for same_column in by_column.values():
+        added = sum(FIELDS.get(m.kind, 1) for m in same_column)
+        if passes[-1] and width + added > FIELDS_PER_PASS:
+            passes.append([])
+            width = 0
+        passes[-1] += same_column
+        width += added
+    # Sketches are never in generated code; they ride with the last and smallest pass.
+    passes[-1] += sketches
+    return passes
+
+
+def scan_states(
+    inputs: Inputs, mergeable: bool = False, metrics: list[Metric] | None = None
+) -> DataFrame:
+    """One row per group with every state of the given (by default all) shared-scan metrics."""
+    metrics = inputs.of(SCAN) if metrics is None else metrics
     # The class is a column of its own so that its patterns run once per cell, not per class.
     classes = [
         f"{value_class(inputs.cell(m.columns[0]), inputs.types[m.columns[0]])} AS {class_column(m)}"
-        for m in inputs.of(["DataType"])
+        for m in metrics
+        if m.kind == "DataType"
     ]
     base = inputs.base.selectExpr("*", *classes) if classes else inputs.base
     states = {ROWS: "count(1)"}
-    for metric in inputs.of(SCAN):
+    for metric in metrics:
         for name, aggregate in metric_states(metric, inputs, mergeable).items():
             states.setdefault(name, aggregate)
     aggregates = [F.expr(f"{sql} AS {C.quoted(name)}") for name, sql in states.items()]

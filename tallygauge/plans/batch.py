@@ -6,13 +6,14 @@ from collections import defaultdict
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
+from itertools import batched
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygauge.operators.inputs import Inputs, prepare
-from tallygauge.plans.profile import profile_inputs, successes
+from tallygauge.plans.profile import passes, profile_inputs, successes
 from tallygauge.sources import files as files_source
 from tallygauge.sources.listing import bucket_of, file_name, list_files, relative_name
 from tallygauge.sources.manifest import (
@@ -27,6 +28,13 @@ from tallygauge.spec import Metric, from_parameters
 # Files read together. Their names are planned on the driver, as Spark does with any list of
 # paths, so the list is bounded and a larger backlog takes several rounds.
 FILES_PER_ROUND = 10_000
+# Unlike layouts measured in one query; more of them take several, to keep plans small.
+LAYOUTS_PER_QUERY = 16
+# Shuffles get one partition for this much input. Adaptive execution merges those that turn out
+# small, but it does not split large ones, so too many is the safe side.
+BYTES_PER_PARTITION = 128 << 20
+MOST_PARTITIONS = 20_000
+PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 @dataclass
@@ -61,7 +69,8 @@ def run(spark: SparkSession, job: Job) -> int:
     Files are marked as processed after their metrics and export are stored. A run that stops
     earlier leaves them pending, and repeating them replaces their rows.
     """
-    register(spark, job.manifest_path, list_files(spark, job.location, job.bucket))
+    listed = list_files(spark, job.location, job.bucket)
+    register(spark, job.manifest_path, listed)
     done = 0
     while True:
         waiting = pending_files(read_manifest(spark, job.manifest_path))
@@ -72,16 +81,28 @@ def run(spark: SparkSession, job: Job) -> int:
         ]
         if not names:
             return done
-        process(spark, job, names)
+        batch = spark.createDataFrame(
+            [(job.bucket, n) for n in names], "bucket_name string, file_name string"
+        )
+        size = listed.join(batch, ["bucket_name", "file_name"], "left_semi").agg(F.sum("length"))
+        partitions = shuffle_partitions(size.first()[0] or 0, int(spark.conf.get(PARTITIONS)))
+        with files_source.scoped_settings(spark, {PARTITIONS: str(partitions)}):
+            for some in batched(layouts(spark, job, names), LAYOUTS_PER_QUERY):
+                process(spark, job, some)
+        store_processed(job.manifest_path, batch)
         done += len(names)
 
 
-def process(spark: SparkSession, job: Job, names: list[str]) -> None:
-    """Measure, store, export and mark one round of files."""
-    batch = spark.createDataFrame([(job.bucket, n) for n in names], "bucket_name string, file_name string")
-    inputs = [group_inputs(spark, job, same, schema) for same, schema in layouts(spark, job, names)]
+def shuffle_partitions(input_bytes: int, configured: int) -> int:
+    """Enough partitions for the input, and never fewer than configured."""
+    return max(configured, min(input_bytes // BYTES_PER_PARTITION, MOST_PARTITIONS))
+
+
+def process(spark: SparkSession, job: Job, some: Iterable[tuple[list[str], object]]) -> None:
+    """Measure, store and export the files of some layouts."""
+    inputs = [group_inputs(spark, job, names, schema) for names, schema in some]
     # Text is parsed again by every pass, so the few columns in use are kept after the first.
-    kept = [i.base for i, _ in inputs if job.file_format in files_source.TEXT_FORMATS and i.families > 1]
+    kept = [i.base for i, _ in inputs if job.file_format in files_source.TEXT_FORMATS and passes(i) > 1]
     for base in kept:
         base.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -95,7 +116,6 @@ def process(spark: SparkSession, job: Job, names: list[str]) -> None:
             base.unpersist()
     if job.export_path:
         export_csv(successes(read_version(spark, job.metrics_path, version)), job.export_path)
-    store_processed(job.manifest_path, batch)
 
 
 def layouts(spark: SparkSession, job: Job, names: list[str]) -> list[tuple[list[str], object]]:

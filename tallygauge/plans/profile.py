@@ -1,4 +1,4 @@
-"""All metrics of a DataFrame, for each group, in at most three passes."""
+"""All metrics of a DataFrame, for each group, in three passes or a few more if it is wide."""
 
 from __future__ import annotations
 
@@ -16,7 +16,7 @@ from tallygauge.operators.frequency import (
 )
 from tallygauge.operators.inputs import Inputs, prepare
 from tallygauge.operators.joint import joint_results, joint_states, joint_summary
-from tallygauge.operators.scan import scan_results, scan_states
+from tallygauge.operators.scan import scan_passes, scan_results, scan_states
 from tallygauge.spec import FREQUENCY, JOINT, Metric
 
 
@@ -65,6 +65,11 @@ def profile(
     return profile_inputs(prepare(df, metrics, by, coerce_numeric), groups)
 
 
+def passes(inputs: Inputs) -> int:
+    """How often a profile reads its prepared rows."""
+    return len(scan_passes(inputs)) + bool(inputs.of(FREQUENCY)) + bool(inputs.of(JOINT))
+
+
 def profile_inputs(
     inputs: Inputs,
     groups: DataFrame | None = None,
@@ -80,8 +85,11 @@ def profile_inputs(
     def renamed(table: DataFrame) -> DataFrame:
         return table.withColumns(names).drop(*inputs.by) if names else table
 
-    states = renamed(scan_states(inputs))
-    parts = [scan_results(states, by, inputs.metrics, inputs.refused, groups=groups)]
+    parts = []
+    for i, metrics in enumerate(scan_passes(inputs)):
+        states = renamed(scan_states(inputs, metrics=metrics))
+        metrics = [*metrics, *inputs.refused] if i == 0 else metrics
+        parts.append(scan_results(states, by, metrics, inputs.refused, groups=groups))
     frequency = frequency_states(inputs)
     if frequency is not None:
         summary = renamed(frequency_summary(frequency, inputs.by))

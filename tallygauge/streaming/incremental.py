@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallygauge.operators.inputs import prepare
 from tallygauge.operators.states import States, compute_states
-from tallygauge.plans.profile import profile_inputs
+from tallygauge.plans.profile import passes, profile_inputs
 from tallygauge.sources.files import SOURCE_PATH
 from tallygauge.sources.listing import bucket_of, file_name
 from tallygauge.sources.metric_table import upsert_results
@@ -57,7 +57,7 @@ def ingest_files(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         inputs = prepare(batch, metrics, [SOURCE_PATH], coerce_numeric)
-        if inputs.families > 1:
+        if passes(inputs) > 1:
             inputs.base.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             results = profile_inputs(inputs, names=name).results.withColumn("bucket_name", F.lit(bucket))

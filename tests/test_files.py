@@ -222,3 +222,21 @@ def test_compaction_keeps_the_latest_rows(spark, values, job, tmp_path):
     compact(spark, job.metrics_path, str(tmp_path / "fresh"))
     before = values(read_metrics(spark, job.metrics_path), "file_name")
     assert values(read_metrics(spark, str(tmp_path / "fresh")), "file_name") == before
+
+
+def test_many_layouts_take_several_queries(spark, values, job, monkeypatch):
+    monkeypatch.setattr(batch, "LAYOUTS_PER_QUERY", 2)
+    for i in range(5):
+        put(job, f"f{i}.csv", f"id,press,x{i}\n1,400,0\n")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert run(spark, job) == 5
+    found = values(read_metrics(spark, job.metrics_path), "file_name")
+    assert [found[(f"f{i}.csv", "p400", "Compliance")] for i in range(5)] == [1] * 5
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_shuffles_grow_with_the_input():
+    assert batch.shuffle_partitions(10 << 20, 8) == 8
+    assert batch.shuffle_partitions(1 << 40, 200) == 8192
+    assert batch.shuffle_partitions(100 << 40, 200) == batch.MOST_PARTITIONS
+    assert batch.shuffle_partitions(100 << 40, 50_000) == 50_000

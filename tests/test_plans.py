@@ -87,3 +87,17 @@ def test_long_texts_are_shuffled_as_digests(rows):
 def test_filters_before_a_profile_reach_the_scan(rows):
     plan = plan_of(profile(rows.where(F.col("d") > 10), on("Mean", "d"), ["k"]).metrics)
     assert "GreaterThan(d,10.0)" in plan
+
+
+def test_wide_tables_stay_in_generated_code(spark, tmp_path, values):
+    names = [f"c{i}" for i in range(60)]
+    path = str(tmp_path / "wide")
+    spark.range(50).selectExpr("id % 2 as g", *[f"id + {i} as {n}" for i, n in enumerate(names)]).write.parquet(path)
+    wide = spark.read.parquet(path)
+    spec = size() + [m for k in ("Completeness", "Mean", "Minimum", "Maximum") for m in on(k, names)]
+    result = profile(wide, spec + on("ApproxCountDistinct", "c0"), ["g"])
+    plan = plan_of(result.results)
+    assert plan.count("FileScan") == 4
+    found = values(result.results, "g")
+    assert len(found) == 2 * (1 + 4 * 60 + 1)
+    assert found[(0, "c7", "Mean")] == 24 + 7 and found[(1, "c59", "Maximum")] == 49 + 59
