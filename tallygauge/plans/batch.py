@@ -48,6 +48,7 @@ class Job:
     export_path: str | None = None
     file_format: str = "csv"
     bucket_name: str | None = None
+    pattern: str | None = None
     schema: object = None
     options: Mapping[str, object] | None = None
     coerce_numeric: bool = False
@@ -66,15 +67,16 @@ class Job:
 def run(spark: SparkSession, job: Job) -> int:
     """Process every pending file of the location; returns how many there were.
 
+    Files that were registered earlier but are gone now stay pending and are passed over.
     Files are marked as processed after their metrics and export are stored. A run that stops
     earlier leaves them pending, and repeating them replaces their rows.
     """
-    listed = list_files(spark, job.location, job.bucket)
+    listed = list_files(spark, job.location, job.bucket, job.pattern)
     register(spark, job.manifest_path, listed)
     done = 0
     while True:
         waiting = pending_files(read_manifest(spark, job.manifest_path))
-        waiting = waiting.where(F.col("bucket_name") == job.bucket)
+        waiting = waiting.join(listed, ["bucket_name", "file_name"], "left_semi")
         names = [
             row.file_name
             for row in waiting.orderBy("file_name").limit(job.files_per_round).collect()

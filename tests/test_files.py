@@ -240,3 +240,18 @@ def test_shuffles_grow_with_the_input():
     assert batch.shuffle_partitions(1 << 40, 200) == 8192
     assert batch.shuffle_partitions(100 << 40, 200) == batch.MOST_PARTITIONS
     assert batch.shuffle_partitions(100 << 40, 50_000) == 50_000
+
+
+def test_files_that_are_gone_or_not_asked_for_are_passed_over(spark, values, job):
+    from pathlib import Path
+
+    from tallygauge.sources.manifest import register
+
+    put(job, "gone.csv", "id,press\n1,400\n")
+    put(job, "one.csv", "id,press\n1,400\n")
+    register(spark, job.manifest_path, list_files(spark, job.location, job.bucket))
+    (Path(job.location) / "gone.csv").unlink()
+    put(job, "notes.txt", "not a table")
+    job.pattern = "*.csv"
+    assert run(spark, job) == 1
+    assert states(spark, job) == {"gone.csv": "N", "one.csv": "Y"}
