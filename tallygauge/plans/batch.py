@@ -71,28 +71,40 @@ def run(spark: SparkSession, job: Job) -> int:
     Files are marked as processed after their metrics and export are stored. A run that stops
     earlier leaves them pending, and repeating them replaces their rows.
     """
-    listed = list_files(spark, job.location, job.bucket, job.pattern)
-    register(spark, job.manifest_path, listed)
+    # A listing task asks for the status of each of its files, so it is done once, and in as many
+    # tasks as there are cores however large the files are.
+    listed = list_files(spark, job.location, job.bucket, job.pattern).persist()
+    try:
+        with files_source.scoped_settings(spark, {files_source.MAX_PARTITION_BYTES: str(1 << 50)}):
+            register(spark, job.manifest_path, listed)
+        return process_rounds(spark, job, listed)
+    finally:
+        listed.unpersist()
+
+
+def process_rounds(spark: SparkSession, job: Job, listed: DataFrame) -> int:
+    """Take the pending files that are listed, a bounded number at a time, until none is left."""
     done = 0
     while True:
         waiting = pending_files(read_manifest(spark, job.manifest_path))
-        waiting = waiting.join(listed, ["bucket_name", "file_name"], "left_semi")
-        names = [
-            row.file_name
-            for row in waiting.orderBy("file_name").limit(job.files_per_round).collect()
-        ]
-        if not names:
+        present = listed.select("bucket_name", "file_name", "length")
+        waiting = waiting.join(present, ["bucket_name", "file_name"])
+        files = waiting.orderBy("file_name").limit(job.files_per_round).collect()
+        if not files:
             return done
-        batch = spark.createDataFrame(
-            [(job.bucket, n) for n in names], "bucket_name string, file_name string"
-        )
-        size = listed.join(batch, ["bucket_name", "file_name"], "left_semi").agg(F.sum("length"))
-        partitions = shuffle_partitions(size.first()[0] or 0, int(spark.conf.get(PARTITIONS)))
+        names = [row.file_name for row in files]
+        size = sum(row.length for row in files)
+        partitions = shuffle_partitions(size, int(spark.conf.get(PARTITIONS)))
         with files_source.scoped_settings(spark, {PARTITIONS: str(partitions)}):
             for some in batched(layouts(spark, job, names), LAYOUTS_PER_QUERY):
                 process(spark, job, some)
+        batch = spark.createDataFrame(
+            [(job.bucket, n) for n in names], "bucket_name string, file_name string"
+        )
         store_processed(job.manifest_path, batch)
         done += len(names)
+        if len(names) < job.files_per_round:
+            return done
 
 
 def shuffle_partitions(input_bytes: int, configured: int) -> int:

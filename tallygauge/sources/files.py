@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 FORMATS = ("csv", "json", "parquet")
 TEXT_FORMATS = ("csv", "json")
 SOURCE_PATH = "__source_path"
+MAX_PARTITION_BYTES = "spark.sql.files.maxPartitionBytes"
 
 
 def read_files(
@@ -61,7 +62,7 @@ def first_lines(spark: SparkSession, paths: Iterable[str]) -> dict[str, str]:
                 return
 
     one_task_per_file = {
-        "spark.sql.files.maxPartitionBytes": str(1 << 50),
+        MAX_PARTITION_BYTES: str(1 << 50),
         "spark.sql.files.openCostInBytes": str(1 << 50),
     }
     with scoped_settings(spark, one_task_per_file):
