@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# A text longer than this many bytes is counted under its SHA-256 digest. The tagged
-# digest is 71 bytes long, so it cannot equal a text that is kept as it is.
-LONGEST_PLAIN_VALUE = 64
+# A text longer than this many bytes is counted under its SHA-256 digest. The tagged digest
+# in base 64 is 51 bytes long, so it cannot equal a text that is kept as it is.
+LONGEST_PLAIN_VALUE = 50
 DIGEST_TAG = "sha256:"
 
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -76,7 +76,8 @@ def group_value(cell: str, dtype: T.DataType) -> str:
     value = cell if dtype.simpleString() == target else f"CAST({cell} AS {target})"
     if target not in ("string", "binary"):
         return value
-    digest = f"CAST(concat('{DIGEST_TAG}', sha2(CAST({value} AS BINARY), 256)) AS {target})"
+    sha256 = f"base64(unhex(sha2(CAST({value} AS BINARY), 256)))"
+    digest = f"CAST(concat('{DIGEST_TAG}', {sha256}) AS {target})"
     return f"CASE WHEN octet_length({value}) > {LONGEST_PLAIN_VALUE} THEN {digest} ELSE {value} END"
 
 

@@ -6,7 +6,7 @@ Adding the states of new files to those already stored gives the metrics of ever
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -34,21 +34,15 @@ from tallygauge.spec import FREQUENCY, JOINT, Metric, distinct_metrics
 
 @dataclass
 class States:
-    """Mergeable states at the grain of their grouping columns."""
+    """Mergeable states at the grain of their grouping columns.
+
+    ``refused`` gives the reason by instance and name for metrics that have no state.
+    """
 
     scan: DataFrame
     frequency: DataFrame | None
     joint: DataFrame | None
-    refused: dict[Metric, str]
-
-    def map(self, change: Callable[[str, DataFrame], DataFrame]) -> States:
-        """Apply ``change(table name, frame)`` to the tables that exist."""
-        return States(
-            change("scan", self.scan),
-            None if self.frequency is None else change("frequency", self.frequency),
-            None if self.joint is None else change("joint", self.joint),
-            self.refused,
-        )
+    refused: dict[tuple[str, str], str]
 
 
 def compute_states(
@@ -62,16 +56,18 @@ def compute_states(
         scan_states(inputs, mergeable=True),
         frequency_states(inputs),
         joint_states(inputs),
-        inputs.refused,
+        {(m.instance, m.name): reason for m, reason in inputs.refused.items()},
     )
 
 
 def results_from_states(states: States, metrics: Iterable[Metric], by: Iterable[str] = ()) -> DataFrame:
     """Merge states to the grain of ``by`` and finish ``metrics`` as long result rows."""
     by, metrics = list(by), distinct_metrics(metrics)
-    kept = [m for m in metrics if m not in states.refused]
+    reasons = {m: states.refused.get((m.instance, m.name)) for m in metrics}
+    refused = {m: reason for m, reason in reasons.items() if reason}
+    kept = [m for m in metrics if m not in refused]
     scan = merge_scan_states(states.scan, by)
-    parts = [scan_results(scan, by, metrics, states.refused, mergeable=True)]
+    parts = [scan_results(scan, by, metrics, refused, mergeable=True)]
     columns = list(dict.fromkeys(m.columns[0] for m in kept if m.kind in FREQUENCY))
     if columns and states.frequency is not None:
         asked = states.frequency.where(F.col(COLUMN).isin(columns))

@@ -15,9 +15,11 @@ from tallygauge.plans.profile import passes, profile_inputs
 from tallygauge.sources.files import SOURCE_PATH
 from tallygauge.sources.listing import bucket_of, file_name
 from tallygauge.sources.metric_table import upsert_results
-from tallygauge.sources.tables import read_versions, write_version
+from tallygauge.sources.tables import next_version, read_versions, write_version
 from tallygauge.spec import Metric
 
+REFUSED_SCHEMA = "instance string, name string, reason string"
+
 
 def file_stream(
     spark: SparkSession,
@@ -99,13 +101,26 @@ def run_once(stream: DataFrame, store, checkpoint: str) -> StreamingQuery:
 
 def write_states(states: States, path: str, version: int | None = None) -> None:
     """Store one version of each state table below ``path``."""
+    version = next_version() if version is None else version
+    path = path.rstrip("/")
     for name in ("scan", "frequency", "joint"):
         table = getattr(states, name)
         if table is not None:
-            write_version(table, f"{path.rstrip('/')}/{name}", version)
+            write_version(table, f"{path}/{name}", version)
+    rows = [(*key, reason) for key, reason in states.refused.items()]
+    refused = states.scan.sparkSession.createDataFrame(rows, REFUSED_SCHEMA)
+    write_version(refused, f"{path}/refused", version)
 
 
 def read_states(spark: SparkSession, path: str, states: Iterable[str]) -> States:
-    """All stored versions of the named state tables, ready to merge."""
-    tables = {n: read_versions(spark, f"{path.rstrip('/')}/{n}") for n in states}
-    return States(tables["scan"], tables.get("frequency"), tables.get("joint"), {})
+    """All stored versions of the named state tables, ready to merge.
+
+    A metric that was refused in any version is refused, since rows are missing from its state.
+    """
+    path = path.rstrip("/")
+    tables = {n: read_versions(spark, f"{path}/{n}") for n in states}
+    refused = spark.read.schema(REFUSED_SCHEMA).parquet(f"{path}/refused")
+    # At most one row per metric of the specification.
+    rows = refused.groupBy("instance", "name").agg(F.min("reason").alias("reason")).collect()
+    reasons = {(r.instance, r.name): r.reason for r in rows}
+    return States(tables["scan"], tables.get("frequency"), tables.get("joint"), reasons)

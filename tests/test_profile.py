@@ -1,8 +1,11 @@
+import base64
+import hashlib
 import math
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallygauge.functions.columns import group_value
 from tallygauge import (
     approx_quantile,
     compliance,
@@ -187,12 +190,14 @@ def test_nested_columns_fail_where_they_must(spark, values, reasons):
 
 def test_long_texts_are_counted_whole(spark, values):
     long = "x" * 5000
-    digest_like = "sha256:" + "0" * 64
-    rows = [(long + "a",), (long + "b",), (long + "a",), ("x" * 64,), ("x" * 65,), (digest_like,)]
-    df = spark.createDataFrame(rows, "t string")
+    digest = base64.b64encode(hashlib.sha256((long + "a").encode()).digest()).decode()
+    rows = [long + "a", long + "b", long + "a", "x" * 50, "x" * 51, "é" * 25, "é" * 26, "sha256:" + digest]
+    df = spark.createDataFrame([(r,) for r in rows], "t string")
     found = values(profile(df, frequency("t")).metrics)
-    assert found[("t", "CountDistinct")] == 5
-    assert found[("t", "Uniqueness")] == pytest.approx(4 / 6)
+    assert found[("t", "CountDistinct")] == 7
+    assert found[("t", "Uniqueness")] == pytest.approx(6 / 8)
+    (row,) = df.where("t = repeat('x', 51)").selectExpr(f"octet_length({group_value('t', df.schema['t'].dataType)}) AS n").collect()
+    assert row.n == 51
     binary = df.select(F.col("t").cast("binary").alias("t"))
     assert values(profile(binary, frequency("t")).metrics) == found
 

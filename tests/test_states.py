@@ -73,9 +73,14 @@ def test_sketches_of_all_null_columns(spark, values):
     assert merged == {("d", "ApproxCountDistinct"): 0, ("d", "ApproxQuantile-0.5"): None}
 
 
-def test_refused_metrics_stay_refused(spark, data, reasons):
-    spec = size() + on("Mean", "s") + on("Entropy", "nothing")
-    failed = results_from_states(compute_states(data, spec, ["file"]), spec).where("value is null")
+@pytest.mark.parametrize("stored", [False, True])
+def test_refused_metrics_stay_refused(spark, data, reasons, tmp_path, stored):
+    spec = size() + on("Mean", "s") + on("Entropy", "nothing,s")
+    states = compute_states(data, spec, ["file"])
+    if stored:
+        write_states(states, str(tmp_path / "s"))
+        states = read_states(spark, str(tmp_path / "s"), ("scan", "frequency"))
+    failed = results_from_states(states, spec).where("value is null")
     assert reasons(failed) == {
         ("s", "Mean"): "column s is string, not numeric",
         ("nothing", "Entropy"): "unknown column nothing",
