@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygauge.functions.columns import quoted
+from tallygauge.functions.local import local_table
 from tallygauge.spec import Metric
 
 LEVELS = ("Error", "Warning")
@@ -48,7 +49,7 @@ def verify(
     wanted = constraint_table(results.sparkSession, constraints)
     if "reason" not in results.columns:
         results = results.withColumn("reason", F.lit(None).cast("string"))
-    # The constraints are a literal table of known size, so Spark ships them to the results and
+    # The constraints are a local table of known size, so Spark ships them to the results and
     # the many rows of one metric stay where they are.
     tested = results.join(wanted, ["instance", "name"])
     if metrics is None:
@@ -100,7 +101,7 @@ def constraint_table(spark: SparkSession, constraints: Iterable[Constraint]) ->
         )
         for c in constraints
     ]
-    return spark.createDataFrame(rows, schema)
+    return local_table(spark, schema, rows)
 
 
 def check_status(verified: DataFrame, by: Iterable[str] = ()) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygauge.functions import columns as C
+from tallygauge.functions.local import local_table
 from tallygauge.operators.inputs import Inputs, result_rows, result_struct
 from tallygauge.spec import FREQUENCY, Metric
 
@@ -156,7 +157,7 @@ def fill_groups(
     if by and groups is None:
         return summary
     if not by:
-        asked = summary.sparkSession.createDataFrame([(n,) for n in names], f"{key} string")
+        asked = local_table(summary.sparkSession, f"{key} string", [(n,) for n in names])
     else:
         listed = F.explode(F.array(*map(F.lit, names))).alias(key)
         asked = groups.select(*map(C.quoted, by), listed)

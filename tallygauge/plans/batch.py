@@ -12,6 +12,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallygauge.functions.local import local_table
 from tallygauge.operators.inputs import Inputs, prepare
 from tallygauge.plans.profile import passes, profile_inputs, successes
 from tallygauge.sources import files as files_source
@@ -98,8 +99,8 @@ def process_rounds(spark: SparkSession, job: Job, listed: DataFrame) -> int:
         with files_source.scoped_settings(spark, {PARTITIONS: str(partitions)}):
             for some in batched(layouts(spark, job, names), LAYOUTS_PER_QUERY):
                 process(spark, job, some)
-        batch = spark.createDataFrame(
-            [(job.bucket, n) for n in names], "bucket_name string, file_name string"
+        batch = local_table(
+            spark, "bucket_name string, file_name string", [(job.bucket, n) for n in names]
         )
         store_processed(job.manifest_path, batch)
         done += len(names)
@@ -163,6 +164,6 @@ def group_inputs(
 ) -> tuple[Inputs, DataFrame]:
     """The prepared rows of files with one layout, and the list of these files."""
     data = files_source.read_files(spark, paths_of(job, names), job.file_format, schema, job.options)
-    groups = spark.createDataFrame([(n,) for n in names], "file_name string")
+    groups = local_table(spark, "file_name string", [(n,) for n in names])
     by = [files_source.SOURCE_PATH]
     return prepare(data, job.metrics, by, job.coerce_numeric), groups

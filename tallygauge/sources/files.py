@@ -103,4 +103,4 @@ def struct_of(variant_schema: str) -> str:
     """The schema of a parsed document as the type a reader takes."""
     schema = variant_schema.replace("OBJECT<", "STRUCT<")
     schema = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE", schema)
-    return re.sub(r"\b(VOID|VARIANT)\b", "STRING", schema)
+    return re.sub(r"\b(VOID|VARIANT)\b(?!`?:)", "STRING", schema)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tallygauge.functions.local import local_table
 from tallygauge.operators.inputs import prepare
 from tallygauge.operators.states import States, compute_states
 from tallygauge.plans.profile import passes, profile_inputs
@@ -108,7 +109,7 @@ def write_states(states: States, path: str, version: int | None = None) -> None:
         if table is not None:
             write_version(table, f"{path}/{name}", version)
     rows = [(*key, reason) for key, reason in states.refused.items()]
-    refused = states.scan.sparkSession.createDataFrame(rows, REFUSED_SCHEMA)
+    refused = local_table(states.scan.sparkSession, REFUSED_SCHEMA, rows)
     write_version(refused, f"{path}/refused", version)
 
 

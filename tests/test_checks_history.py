@@ -59,3 +59,10 @@ def test_history_keeps_runs_and_shows_changes(spark, tmp_path):
         ("2024-01-02", 20, 10, 10, 2),
         ("2024-01-03", 0, 20, -20, 0),
     ]
+
+
+def test_constraints_travel_to_the_results(results):
+    frame, spec = results
+    found = verify(frame, [Constraint("*", "Size", low=2)], ["g"], spec)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

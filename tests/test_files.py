@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from tallygauge import compliance, on, pairs, size
 from tallygauge.plans import batch
 from tallygauge.plans.batch import Job, run
-from tallygauge.sources.files import first_lines, json_schemas, read_files
+from tallygauge.sources.files import first_lines, json_schemas, read_files, struct_of
 from tallygauge.sources.listing import bucket_of, list_files, relative_name
 from tallygauge.sources.manifest import read_manifest
 from tallygauge.sources.metric_table import compact, read_failures, read_metrics
@@ -209,6 +209,7 @@ def test_first_lines_of_large_and_small_files(spark, tmp_path):
 def test_json_schema_covers_all_lines(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"x":1}\n{"x":1.5,"y":null}\n{"x":2,"z":{"q":"t"}}\nnot json\n')
     (schema,) = json_schemas(spark, [str(tmp_path / "a.json")]).values()
+    assert struct_of("OBJECT<VOID: VOID, d: DECIMAL(2,1)>") == "STRUCT<VOID: STRING, d: DOUBLE>"
     assert "x: DOUBLE" in schema and "z: STRUCT<q: STRING>" in schema
     data = read_files(spark, str(tmp_path), "json", schema)
     assert data.agg(F.sum("x")).first()[0] == 4.5
