@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallygauge.llm import language_id, packing, quality, simhash
+from tallygauge.llm import language_id, packing, quality, simhash, toxicity
 from tallygauge.llm.storage import table
 
 
@@ -18,6 +18,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
@@ -30,6 +34,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
         "op2_best_fit_packing": op2_best_fit_packing,
+        "op3_toxicity": op3_toxicity,
         "op5_quality_rules": op5_quality_rules,
         "op10_simhash": op10_simhash,
     }
