@@ -41,7 +41,9 @@ LEAST_TEXTS = 4
 #: Letters of the beginnings of words.
 BEGINNINGS = (4, 5, 6)
 #: Strengths of the penalties on weights and on counterfactual changes, and rounds of fitting.
-SPARSITY, FAIRNESS, ROUNDS = 3e-4, 1.0, 500
+SPARSITY, FAIRNESS, ROUNDS = 1e-4, 1.0, 600
+#: How far a feature's share of toxic texts must be from what chance gives it, in shares of the sample.
+LEAST_GAIN = 5e-4
 #: Names of groups by what they name; a name is swapped for the others in its row.
 IDENTITIES = (
     ("women", "men", "girls", "boys", "nonbinary"),
@@ -112,7 +114,7 @@ def chosen_features(rows: DataFrame, toxic_share: float, total: int) -> list[str
     parts = rows.select("toxic", "text").mapInArrow(count, "feature string, n bigint, n_toxic bigint")
     sums = parts.groupBy("feature").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic"))
     gain = F.abs(F.col("n_toxic") - F.col("n") * toxic_share) / total
-    top = sums.where((F.col("n") >= LEAST_TEXTS) & (gain > SPARSITY)).orderBy(F.desc(gain), "feature").limit(MOST_FEATURES)
+    top = sums.where((F.col("n") >= LEAST_TEXTS) & (gain > LEAST_GAIN)).orderBy(F.desc(gain), "feature").limit(MOST_FEATURES)
     return [r["feature"] for r in top.select("feature").collect()]
 
 
