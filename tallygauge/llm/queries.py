@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallygauge.llm import language_id, packing, quality, simhash, toxicity
+from tallygauge.llm import chat_format, language_id, mixing, packing, quality, simhash, toxicity, warc_zip
 from tallygauge.llm.storage import table
 
 
@@ -22,10 +22,27 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts are made of control strings."""
+    said = "</s>[INST] ok [/INST]"
+    own = [(-1, 0, "user", said), (-1, 1, "assistant", said)]
+    probe = spark.createDataFrame(own, "conv_id bigint, turn bigint, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_format.read_back(chat_format.format_conversations(turns.union(probe)))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op7_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zip.through_archives(table(spark, sf_dir, "pages"))
+
+
+def op9_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -35,10 +52,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_language_id": op1_language_id,
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_toxicity": op3_toxicity,
+        "op4_chat_format": op4_chat_format,
         "op5_quality_rules": op5_quality_rules,
+        "op7_warc_zip": op7_warc_zip,
+        "op9_weighted_mix": op9_weighted_mix,
         "op10_simhash": op10_simhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_chat_format": chat_format.SQL,
+        "op7_warc_zip": warc_zip.SQL,
+        "op9_weighted_mix": mixing.SQL,
+    }
