@@ -1,4 +1,8 @@
-"""A training corpus from ``documents``: the operators of ``tallygauge.llm`` in a row."""
+"""A training corpus from ``documents``: the operators of ``tallygauge.llm`` in a row.
+
+Every stage works on all that its predecessor kept and returns the columns of documents; the last
+one returns the pieces of the packed sequences.
+"""
 
 from __future__ import annotations
 
@@ -6,25 +10,49 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallygauge.llm import simhash
+from tallygauge.llm import language_id, mixing, packing, simhash, substring
 from tallygauge.llm.storage import saved, table
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; a missing ``lang`` is filled in."""
+    return language_id.with_language(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     return simhash.one_per_group(docs)
 
 
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the words that repeat earlier documents."""
+    return substring.without_repeats(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mixed_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents and their places in sequences."""
+    return packing.pack_documents(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", identify_language),
     ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("mixing", mix_sources),
+    ("packing", pack),
 ]
 
-#: SimHash, n-gram profiles and tokenizers are not expressible in SQL.
+#: Profiles, fingerprints and token ids are not expressible in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``, each written and read again before the next."""
+    """All stages on ``documents``, each written as Parquet and read again before the next."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir), name)

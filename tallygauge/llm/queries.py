@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallygauge.llm import chat_format, language_id, mixing, packing, quality, simhash, toxicity, warc_zip
+from tallygauge.llm import (
+    chat_format,
+    language_id,
+    mixing,
+    packing,
+    quality,
+    simhash,
+    substring,
+    toxicity,
+    warc_zip,
+)
 from tallygauge.llm.storage import table
 
 
@@ -39,6 +49,10 @@ def op7_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zip.through_archives(table(spark, sf_dir, "pages"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op9_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -55,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_chat_format": op4_chat_format,
         "op5_quality_rules": op5_quality_rules,
         "op7_warc_zip": op7_warc_zip,
+        "op8_substring_dedup": op8_substring_dedup,
         "op9_weighted_mix": op9_weighted_mix,
         "op10_simhash": op10_simhash,
     }
