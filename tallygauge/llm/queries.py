@@ -13,6 +13,7 @@ from tallygauge.llm import (
     packing,
     quality,
     simhash,
+    spotsigs,
     substring,
     toxicity,
     warc_zip,
@@ -45,6 +46,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.compared(table(spark, sf_dir, "documents"))
+
+
 def op7_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zip.through_archives(table(spark, sf_dir, "pages"))
 
@@ -68,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_toxicity": op3_toxicity,
         "op4_chat_format": op4_chat_format,
         "op5_quality_rules": op5_quality_rules,
+        "op6_spotsigs": op6_spotsigs,
         "op7_warc_zip": op7_warc_zip,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_weighted_mix": op9_weighted_mix,
