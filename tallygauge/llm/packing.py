@@ -131,7 +131,8 @@ def best_two_fit(lengths: np.ndarray, sequence: int) -> list[list[int]]:
             unpacked.take(length)
             own.append(length)
             gap -= length
-        while gap:
+        # The piece that opens a bin stays: it is the longest there is, and would need a bin again.
+        while gap and len(own) > 1:
             smallest = own[-1]
             better = unpacked.pair(gap + smallest, smallest + 1)
             if better is None:
