@@ -191,3 +191,49 @@ def kept_documents(docs: DataFrame) -> DataFrame:
     figures = judged(docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("own")), "own")
     passed = figures.where("kept").select("row.*", F.col("cleaned").alias("__cleaned"))
     return passed.withColumn("text", F.col("__cleaned")).select(docs.columns)
+
+
+WORDS_SQL = "[^\\x20\\x09-\\x0D]+"
+
+
+def sql_text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def count_sql(text: str, characters: str) -> str:
+    return f"len(regexp_extract_all({text}, {sql_text(f'[{characters}]')}))"
+
+
+PHRASES_SQL = " OR ".join(f"contains(lower(line), {sql_text(p)})" for p in BOILERPLATE)
+SQL = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORDS_SQL}') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{WORDS_SQL}')) AS lines
+  FROM documents
+), positions AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM d
+), windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i], words[i + 1], words[i + 2]) AS n FROM positions
+), repeats AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM windows, (VALUES (0), (1), (2)) v(k) WHERE n > 1 GROUP BY doc_id
+), every_line AS (
+  SELECT doc_id, unnest(lines) AS line FROM d
+), judged AS (
+  SELECT doc_id, len(regexp_extract_all(line, '{WORDS_SQL}')) AS n_words,
+         NOT regexp_matches(line, {sql_text(SENTENCE_END)}) AND regexp_matches(line, '{MANY_WORDS}')
+         OR {count_sql("line", SYMBOLS)} > {MOST_SYMBOLS}::DOUBLE * len(regexp_extract_all(line, '{WORDS_SQL}'))
+         OR {count_sql("line", SEPARATORS)} > {MOST_SEPARATORS}
+         OR regexp_matches(line, {sql_text(NAVIGATION)}) OR {PHRASES_SQL} AS fails
+  FROM every_line
+), remaining AS (
+  SELECT doc_id, sum(n_words) AS n FROM judged WHERE NOT fails GROUP BY doc_id
+), figures AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST({count_sql("text", SYMBOLS)} AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(l.n, 0) AS BIGINT) AS n_words_left,
+         len(words) < {LEAST_WORDS} OR 100 * coalesce(r.n, 0) > {MOST_REPEATED} * len(words) AS base_failed
+  FROM d LEFT JOIN repeats r USING (doc_id) LEFT JOIN remaining l USING (doc_id)
+)
+SELECT *, NOT base_failed AND n_words_left >= {LEAST_LEFT}::DOUBLE * n_words AS kept FROM figures
+"""

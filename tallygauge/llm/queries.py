@@ -84,6 +84,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_chat_format": chat_format.SQL,
+        "op5_quality_rules": quality.SQL,
         "op7_warc_zip": warc_zip.SQL,
+        "op8_substring_dedup": substring.SQL,
         "op9_weighted_mix": mixing.SQL,
     }

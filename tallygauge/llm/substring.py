@@ -313,3 +313,25 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     n_chars = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("rest.n_chars") if "n_chars" in docs.columns else None)
     changed = {"text": F.col("text"), "n_chars": n_chars}
     return own.select(*((changed[c] if c in changed else F.col("rest")[c]).alias(c) for c in docs.columns))
+
+
+WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+SQL = f"""
+WITH d AS (
+  SELECT doc_id, {WORDS} AS words FROM documents
+), starts AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - {WINDOW - 2})) AS i FROM d
+), windows AS (
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY array_to_string(words[i:i + {WINDOW - 1}], ' ')) AS first FROM starts
+), gone AS (
+  SELECT DISTINCT doc_id, i + k AS i FROM windows, range({WINDOW}) v(k) WHERE first < doc_id
+), kept AS (
+  SELECT w.doc_id, w.i, w.word FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM d) w
+  ANTI JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i
+), texts AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM kept GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(t.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t.text, '')) AS kept_sha256
+FROM d LEFT JOIN texts t USING (doc_id)
+"""
