@@ -309,8 +309,9 @@ def q_spec_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
             "MeanCol": "o_orderkey",
             "EntropyCol": "false",
             "CountDistinctCol": "",
-            "ComplianceCol": "urgent,pricey",
-            "ComplianceLogic": "o_orderpriority IN ('1-URGENT','2-HIGH'),o_totalprice>=100000",
+            "ComplianceCol": "urgent,pricey,either",
+            "ComplianceLogic": "o_orderpriority IN ('1-URGENT','2-HIGH'),o_totalprice>=100000,"
+            "coalesce(o_custkey, abs(o_totalprice)) > 100",
             "CorrelationCol": "o_custkey",
             "CorrelationCol2": "o_totalprice",
             "MutualInformationCol": "o_custkey",
@@ -329,7 +330,8 @@ def mixed_spec() -> list:
         size()
         + on("Maximum", "l_quantity,l_returnflag")
         + on("Completeness", "l_tax,l_nothing")
-        + compliance("odd", "l_nothing > 1")
+        + compliance(["odd", "first"], ["l_nothing > 1", "row_number() OVER (ORDER BY l_tax) < 5"])
+        + pattern_match("l_returnflag", "[")
         + pairs("Correlation", "l_quantity", "l_extendedprice")
     )
 
@@ -452,8 +454,10 @@ def q_file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def state_spec() -> list:
+    """One metric on a constant column, which has no correlation with anything."""
     return (
         size()
+        + pairs("Correlation", "l_quantity", "constant")
         + on("Completeness", "l_quantity")
         + on("Mean", "l_partkey")
         + on("Sum", "l_quantity")
@@ -470,7 +474,7 @@ def state_spec() -> list:
 
 def q_state_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store states by month and flag, then get the metrics of each flag from them alone."""
-    df = table(spark, sf_dir, "lineitem")
+    df = table(spark, sf_dir, "lineitem").withColumn("constant", F.lit(0.1))
     by = [month("l_shipdate").alias("month"), F.col("l_returnflag").alias("part")]
     path = new_folder(spark, "states")
     write_states(compute_states(df, state_spec(), by), path, 1)
@@ -515,6 +519,33 @@ def q_state_merge_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.unionByName(ranks)
 
 
+def q_estimates_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether estimates are the same directly and through stored states of the same rows."""
+    df = table(spark, sf_dir, "lineitem")
+    spec = on("ApproxCountDistinct", "l_partkey,l_suppkey") + approx_quantile("l_quantity", 0.5)
+    direct = profile(df, spec, [F.col("l_returnflag").alias("part")]).metrics.withColumnRenamed("value", "direct")
+    by = [F.col("l_linenumber"), F.col("l_returnflag").alias("part")]
+    path = new_folder(spark, "states")
+    write_states(compute_states(df, spec, by), path)
+    merged = successes(results_from_states(read_states(spark, path, ["scan"]), spec, ["part"]))
+    same = F.abs(F.col("value") - F.col("direct")) <= F.when(F.col("instance") == "l_quantity", 1.0).otherwise(
+        0.001 * F.col("direct")
+    )
+    return merged.join(direct, ["part", "entity", "instance", "name"]).select(
+        "part", "instance", "name", same.alias("same")
+    )
+
+
+def q_profile_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event types with a null group, some listed as expected and some not, one listed twice."""
+    events = events_with_gaps(spark, sf_dir).withColumn("part", F.col("event_type"))
+    listed = events.select("part").where("part > 'p'").union(
+        events.agg(F.max(F.lit("no such type")).alias("part"))
+    )
+    spec = size() + on("CountDistinct", "user_id")
+    return rounded(profile(events, spec, ["part"], groups=listed).metrics)
+
+
 def constraints() -> list[Constraint]:
     return [
         Constraint("*", "Size", low=1),
@@ -727,6 +758,8 @@ def metric_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "metrics_export": q_metrics_export,
         "file_manifest": q_file_manifest,
         "state_merge": q_state_merge,
+        "estimates_agree": q_estimates_agree,
+        "profile_groups": q_profile_groups,
         "state_merge_sketches": q_state_merge_sketches,
         "verify_checks": q_verify_checks,
         "check_status": q_check_status,

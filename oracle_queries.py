@@ -186,6 +186,7 @@ def spec_expand() -> list[str]:
         + s.each("Mean", "o_orderkey", "avg($)")
         + s.share("Compliance", "urgent", "o_orderpriority IN ('1-URGENT','2-HIGH')")
         + s.share("Compliance", "pricey", "o_totalprice >= 100000")
+        + s.share("Compliance", "either", "coalesce(o_custkey, abs(o_totalprice)) > 100")
         + s.correlation("o_custkey", "o_totalprice")
         + s.mutual_information("o_custkey", "o_orderpriority")
         + s.frequency("Uniqueness", "o_custkey,o_totalprice")
@@ -205,10 +206,25 @@ SELECT part, 'Column', 'l_nothing', 'Completeness', 'unknown column l_nothing' F
 UNION ALL
 SELECT part, 'Column', 'odd', 'Compliance', 'predicate refused: UNRESOLVED_COLUMN.WITH_SUGGESTION' FROM g
 UNION ALL
+SELECT part, 'Column', 'first', 'Compliance', 'predicate looks beyond its row' FROM g
+UNION ALL
+SELECT part, 'Column', 'l_returnflag', 'PatternMatch', 'pattern refused: INVALID_PARAMETER_VALUE.PATTERN' FROM g
+UNION ALL
 SELECT part, 'Multicolumn', 'l_quantity,l_extendedprice', 'Correlation',
        'needs two rows and two varying columns' FROM g WHERE NOT varies
 """
 
+GROUPS = """
+WITH e AS (
+  SELECT nullif(event_type, 'error') AS part, nullif(user_id, 1) AS user_id FROM events
+  UNION ALL SELECT 'no such type', NULL),
+g AS (
+  SELECT part, count(*) FILTER (WHERE part IS DISTINCT FROM 'no such type')::DOUBLE AS rows,
+         count(DISTINCT user_id)::DOUBLE AS users FROM e GROUP BY part)
+SELECT part, 'Dataset' AS entity, '*' AS instance, 'Size' AS name, rows AS value FROM g
+UNION ALL SELECT part, 'Column', 'user_id', 'CountDistinct', users FROM g
+"""
+
 KNOWN = """
 known AS (
   SELECT source AS bucket_name, CAST(d.doc_id AS VARCHAR) AS file_name,
@@ -434,6 +450,15 @@ def statements() -> dict[str, str]:
                 ("l_extendedprice", "ApproxQuantile-0.5"),
             )
         ),
+        "estimates_agree": union(
+            f"SELECT DISTINCT l_returnflag AS part, '{c}' AS instance, '{n}' AS name, true AS same FROM lineitem"
+            for c, n in (
+                ("l_partkey", "ApproxCountDistinct"),
+                ("l_suppkey", "ApproxCountDistinct"),
+                ("l_quantity", "ApproxQuantile-0.5"),
+            )
+        ),
+        "profile_groups": GROUPS,
         "verify_checks": VERIFY,
         "check_status": CHECK_STATUS,
         "metric_history": HISTORY,

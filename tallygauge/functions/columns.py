@@ -8,11 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# A text longer than this many bytes is counted under its SHA-256 digest. The tagged digest
-# in base 64 is 51 bytes long, so it cannot equal a text that is kept as it is.
-LONGEST_PLAIN_VALUE = 50
-DIGEST_TAG = "sha256:"
-
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -59,13 +54,14 @@ def as_number(cell: str, dtype: T.DataType) -> str:
 def group_type(dtype: T.DataType) -> str:
     """The type under which values are compared when they are counted.
 
-    Widening integers to bigint and float to double maps distinct values to distinct values.
+    Widening integers to bigint and float to double maps distinct values to distinct values. A text
+    with a collation keeps it: what is equal there is one value.
     """
     if isinstance(dtype, INTEGRAL):
         return "bigint"
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return "double"
-    if isinstance(dtype, (T.StringType, T.CharType, T.VarcharType, T.NullType)):
+    if isinstance(dtype, (T.CharType, T.VarcharType, T.NullType)):
         return "string"
     return dtype.simpleString()
 
@@ -73,12 +69,7 @@ def group_type(dtype: T.DataType) -> str:
 def group_value(cell: str, dtype: T.DataType) -> str:
     """The value that stands for a cell in a frequency table."""
     target = group_type(dtype)
-    value = cell if dtype.simpleString() == target else f"CAST({cell} AS {target})"
-    if target not in ("string", "binary"):
-        return value
-    sha256 = f"base64(unhex(sha2(CAST({value} AS BINARY), 256)))"
-    digest = f"CAST(concat('{DIGEST_TAG}', {sha256}) AS {target})"
-    return f"CASE WHEN octet_length({value}) > {LONGEST_PLAIN_VALUE} THEN {digest} ELSE {value} END"
+    return cell if dtype.simpleString() == target else f"CAST({cell} AS {target})"
 
 
 def sketch_value(cell: str, dtype: T.DataType) -> str:
@@ -89,4 +80,4 @@ def sketch_value(cell: str, dtype: T.DataType) -> str:
     if target == "double":
         # Adding zero turns -0.0 into 0.0.
         return f"CAST(CAST({cell} AS DOUBLE) + 0.0D AS STRING)"
-    return cell if target in ("string", "binary") else f"CAST({cell} AS STRING)"
+    return cell if target == "binary" or isinstance(dtype, T.StringType) else f"CAST({cell} AS STRING)"

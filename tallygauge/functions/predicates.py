@@ -9,7 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallygauge.functions.columns import literal
+
 ANSI = "spark.sql.ansi.enabled"
+# What an analyzed plan shows of expressions that need other rows than their own.
+BEYOND_A_ROW = ("windowspecdefinition(", "scalar-subquery#", "exists#", "list#", "Generate ")
 
 
 @contextmanager
@@ -39,16 +43,34 @@ def add_predicates(
         for name, predicate in predicates.items():
             try:
                 column = F.expr(predicate).alias(name)
-                dtype = df.select("*", column).schema[name].dataType
+                tested = df.select("*", column)
+                dtype = tested.schema[name].dataType
             except (ParseException, AnalysisException) as error:
                 refused[name] = f"predicate refused: {error_class(error)}"
                 continue
-            if isinstance(dtype, T.BooleanType):
+            if beyond_a_row(df, tested):
+                refused[name] = "predicate looks beyond its row"
+            elif isinstance(dtype, T.BooleanType):
                 accepted.append(column)
             else:
                 refused[name] = f"predicate is {dtype.simpleString()}, not boolean"
         return (df.select("*", *accepted) if accepted else df), refused
 
 
+def beyond_a_row(df: DataFrame, tested: DataFrame) -> bool:
+    """Whether a column was added that needs other rows: a window, a subquery, a generator."""
+    plans = [frame._jdf.queryExecution().analyzed().toString() for frame in (df, tested)]
+    return any(plans[1].count(mark) > plans[0].count(mark) for mark in BEYOND_A_ROW)
+
+
+def pattern_problem(spark: SparkSession, pattern: str) -> str | None:
+    """Why a regular expression is refused, or None; it is tried on one literal, in no task."""
+    try:
+        spark.sql(f"SELECT '' RLIKE {literal(pattern)}").collect()
+    except PySparkException as error:
+        return f"pattern refused: {error_class(error)}"
+    return None
+
+
 def error_class(error: PySparkException) -> str:
     return error.getCondition() or "invalid expression"

@@ -68,9 +68,11 @@ def verify(
     if unmeasured is not None:
         tested = tested.unionByName(unmeasured, allowMissingColumns=True)
     value = F.col("value")
+    # NaN is above every number for Spark, and within no bounds.
+    number = value.isNotNull() & ~F.isnan(value)
     above = F.col("low").isNull() | (value >= F.col("low"))
     below = F.col("high").isNull() | (value <= F.col("high"))
-    met = F.coalesce(value.isNotNull() & above & below, F.lit(False))
+    met = F.coalesce(number & above & below, F.lit(False))
     return tested.select(
         *map(quoted, by),
         "check",

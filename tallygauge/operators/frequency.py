@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tallygauge.functions import columns as C
 from tallygauge.functions.local import local_table
 from tallygauge.operators.inputs import Inputs, result_rows, result_struct
+from tallygauge.operators.scan import without_rows
 from tallygauge.spec import FREQUENCY, Metric
 
 # Names that grouping columns will not have.
@@ -153,12 +154,12 @@ def frequency_results(
 def fill_groups(
     summary: DataFrame, by: list[str], key: str, names: list[str], groups: DataFrame | None
 ) -> DataFrame:
-    """Give every expected group one row for each name, with nulls where nothing was counted."""
+    """Give every expected group one row for each name too, with nulls where nothing was counted."""
     if by and groups is None:
         return summary
     if not by:
         asked = local_table(summary.sparkSession, f"{key} string", [(n,) for n in names])
-    else:
-        listed = F.explode(F.array(*map(F.lit, names))).alias(key)
-        asked = groups.select(*map(C.quoted, by), listed)
-    return asked.join(summary, [*by, key], "left")
+        return asked.join(summary, key, "left")
+    listed = F.explode(F.array(*map(F.lit, names))).alias(key)
+    asked = groups.select(*map(C.quoted, by)).distinct().select(*map(C.quoted, by), listed)
+    return summary.unionByName(without_rows(asked, summary, [*by, key]), allowMissingColumns=True)

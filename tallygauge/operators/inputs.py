@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallygauge.functions import columns as C
-from tallygauge.functions.predicates import add_predicates
+from tallygauge.functions.predicates import add_predicates, pattern_problem
 from tallygauge.spec import FREQUENCY, JOINT, NUMERIC, Metric, distinct_metrics
 
 RESULT_COLUMNS = ("entity", "instance", "name", "value", "reason")
@@ -65,6 +65,8 @@ def prepare(
                 fields[name] = found
         if metric not in refused:
             reason = type_problem(metric, [fields[n].dataType for n in metric.columns], coerce_numeric)
+            if not reason and metric.kind == "PatternMatch":
+                reason = pattern_problem(df.sparkSession, metric.expression)
             if reason:
                 refused[metric] = reason
 

@@ -7,7 +7,7 @@ run on one row per group. States of separate runs can be stored and merged.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygauge.functions import columns as C
@@ -15,10 +15,8 @@ from tallygauge.functions.datatype import CLASSES, value_class
 from tallygauge.operators.inputs import Inputs, result_rows, result_struct
 from tallygauge.spec import SCAN, Metric
 
-# The relative standard deviation of ApproxCountDistinct.
-DISTINCT_ERROR = 0.05
-# Percentile accuracy: the rank error of ApproxQuantile is at most 1 / accuracy.
-QUANTILE_ACCURACY = 10000
+# Size of the quantile sketch: ranks are off by about 0.2 %, directly and after any merging.
+RANKS_KEPT = 1600
 
 ROWS = "rows__"
 
@@ -65,14 +63,9 @@ def metric_states(metric: Metric, inputs: Inputs, mergeable: bool) -> dict[str,
         hit = f"CAST({cell} AS STRING) RLIKE {C.literal(metric.expression)}"
         return {state("matches", metric): f"count_if({hit})"}
     if kind == "ApproxCountDistinct":
-        if mergeable:
-            return {state("sketch", metric): f"hll_sketch_agg({C.sketch_value(cell, dtype)})"}
-        return {state("estimate", metric): f"approx_count_distinct({cell}, {DISTINCT_ERROR}D)"}
+        return {state("sketch", metric): f"hll_sketch_agg({C.sketch_value(cell, dtype)})"}
     if kind == "ApproxQuantile":
-        if mergeable:
-            return {state("ranks", metric): f"kll_sketch_agg_double({number})"}
-        name = state(f"quantile_{metric.quantile}", metric)
-        return {name: f"percentile_approx({number}, {metric.quantile}D, {QUANTILE_ACCURACY})"}
+        return {state("ranks", metric): f"kll_sketch_agg_double({number}, {RANKS_KEPT})"}
     other = C.as_number(cells[1], types[1])
     return {state("moments", metric): co_moments(number, other, with_means=mergeable)}
 
@@ -81,15 +74,27 @@ def co_moments(a: str, b: str, with_means: bool) -> str:
     """Summed products of deviations over rows where both values are present.
 
     The built-in correlation divides inside the aggregate and raises on a constant column,
-    so the division is left to the formula. The means are needed only for merging.
+    so the division is left to the formula. Means and extremes are needed only for merging:
+    the mean of equal numbers can be off by a bit, and the extremes tell that they are equal.
     """
     parts = {"ab": "regr_sxy", "aa": "regr_sxx", "bb": "regr_syy"}
     if with_means:
         parts |= {"n": "regr_count", "mean_a": "regr_avgx", "mean_b": "regr_avgy"}
-    return f"struct({', '.join(f'{f}({b}, {a}) AS {name}' for name, f in parts.items())})"
+    values = [f"{f}({b}, {a}) AS {name}" for name, f in parts.items()]
+    if with_means:
+        for side, own, other in (("a", a, b), ("b", b, a)):
+            both = f"IF(({other}) IS NOT NULL, {own}, NULL)"
+            values += [f"min({both}) AS low_{side}", f"max({both}) AS high_{side}"]
+    return f"struct({', '.join(values)})"
+
 
+def exact_mean(moments: Column, side: str) -> Column:
+    """The mean of a state; where all numbers are equal, that number."""
+    low = moments[f"low_{side}"]
+    return F.when(low == moments[f"high_{side}"], low).otherwise(moments[f"mean_{side}"])
 
-def metric_values(metric: Metric, mergeable: bool = False) -> list[tuple[str, str, str]]:
+
+def metric_values(metric: Metric) -> list[tuple[str, str, str]]:
     """The output rows of a metric as ``(name, SQL value, reason when null)`` over its states."""
 
     def col(prefix: str) -> str:
@@ -114,15 +119,11 @@ def metric_values(metric: Metric, mergeable: bool = False) -> list[tuple[str, st
             values.append((f"Histogram.ratio.{c}", f"try_divide({cases}, {ROWS})", "empty"))
         return values
     if kind == "ApproxCountDistinct":
-        if mergeable:
-            return [(kind, f"coalesce(hll_sketch_estimate({col('sketch')}), 0)", "empty")]
-        return [(kind, col("estimate"), "empty")]
+        return [(kind, f"coalesce(hll_sketch_estimate({col('sketch')}), 0)", "empty")]
     if kind == "ApproxQuantile":
-        value = col(f"quantile_{metric.quantile}")
-        if mergeable:
-            ranks = col("ranks")
-            quantile = f"kll_sketch_get_quantile_double({ranks}, {metric.quantile}D)"
-            value = f"IF(kll_sketch_get_n_double({ranks}) > 0, {quantile}, NULL)"
+        ranks = col("ranks")
+        quantile = f"kll_sketch_get_quantile_double({ranks}, {metric.quantile}D)"
+        value = f"IF(kll_sketch_get_n_double({ranks}) > 0, {quantile}, NULL)"
         return [(metric.name, value, "no numbers")]
     m = col("moments")
     spread = f"(sqrt({m}.aa) * sqrt({m}.bb))"
@@ -181,25 +182,23 @@ def scan_results(
     by: list[str],
     metrics: list[Metric],
     refused: dict[Metric, str],
-    mergeable: bool = False,
     groups: DataFrame | None = None,
 ) -> DataFrame:
     """States to long result rows; refused metrics appear once per group with their reason.
 
-    Groups listed in ``groups`` but absent from the data come out as empty.
+    Groups listed in ``groups`` but absent from the data come out as empty as well.
     """
     keys = [C.quoted(b) for b in by]
     if by and groups is not None:
-        states = groups.select(*keys).join(states, by, "left")
-        zero = [n for n in states.columns if n == ROWS or n.startswith("estimate__")]
-        states = states.withColumns({n: F.expr(f"coalesce({C.quoted(n)}, 0)") for n in zero})
+        missing = without_rows(groups.select(*keys).distinct(), states, by)
+        states = states.unionByName(missing.withColumn(ROWS, F.lit(0).cast("bigint")), allowMissingColumns=True)
     structs = []
     for metric in metrics:
         if metric in refused:
             reason = C.literal(refused[metric])
             structs.append(result_struct(metric, metric.name, "CAST(NULL AS DOUBLE)", reason))
         elif metric.kind in SCAN:
-            for name, value, reason in metric_values(metric, mergeable):
+            for name, value, reason in metric_values(metric):
                 why = f"IF({ROWS} = 0, 'empty', {C.literal(reason)})"
                 structs.append(result_struct(metric, name, value, why))
     if not structs:
@@ -208,6 +207,16 @@ def scan_results(
     return result_rows(states, keys, structs)
 
 
+def without_rows(listed: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """The listed keys that ``table`` has no row for; null is a key like any other."""
+    seen = table.select(*[F.col(C.quoted(k)).alias(f"__seen{i}") for i, k in enumerate(keys)]).distinct()
+    same = F.lit(True)
+    for i, key in enumerate(keys):
+        same = same & listed[C.quoted(key)].eqNullSafe(seen[f"__seen{i}"])
+    return listed.join(seen, same, "left_anti")
+
+
+EXTREMES = ((F.min, "low_a"), (F.max, "high_a"), (F.min, "low_b"), (F.max, "high_b"))
 MERGE = {
     "rows": F.sum,
     "non_null": F.sum,
@@ -230,7 +239,8 @@ def merge_scan_states(states: DataFrame, by: list[str]) -> DataFrame:
     if not moments:
         return states.groupBy(*map(C.quoted, by)).agg(*aggregates)
 
-    # Deviations are taken from the merged means, so large means do not cancel digits.
+    # Deviations are taken from the merged means, so large means do not cancel digits. Equal means
+    # are merged as they are, so a constant column has no deviation at all.
     # Both sides of the join hold one row per stored group, not per data row.
     keyed = states.withColumn("__all", F.lit(1))
     keys = [*by, "__all"]
@@ -238,8 +248,10 @@ def merge_scan_states(states: DataFrame, by: list[str]) -> DataFrame:
     for i, name in enumerate(moments):
         m = F.col(C.quoted(name))
         n = F.sum(m["n"])
-        means.append(F.try_divide(F.sum(m["n"] * m["mean_a"]), n).alias(f"__a{i}"))
-        means.append(F.try_divide(F.sum(m["n"] * m["mean_b"]), n).alias(f"__b{i}"))
+        for side in "ab":
+            mean = exact_mean(m, side)
+            whole = F.try_divide(F.sum(m["n"] * mean), n)
+            means.append(F.when(F.min(mean) == F.max(mean), F.min(mean)).otherwise(whole).alias(f"__{side}{i}"))
     merged = keyed.groupBy(*[F.col(C.quoted(k)).alias(f"__k{i}") for i, k in enumerate(keys)])
     merged = merged.agg(*means)
     same = F.lit(True)
@@ -247,7 +259,7 @@ def merge_scan_states(states: DataFrame, by: list[str]) -> DataFrame:
         same = same & keyed[C.quoted(key)].eqNullSafe(merged[f"__k{i}"])
     for i, name in enumerate(moments):
         m, mean_a, mean_b = F.col(C.quoted(name)), F.col(f"__a{i}"), F.col(f"__b{i}")
-        da, db = m["mean_a"] - mean_a, m["mean_b"] - mean_b
+        da, db = exact_mean(m, "a") - mean_a, exact_mean(m, "b") - mean_b
         aggregates.append(
             F.struct(
                 F.sum(m["ab"] + m["n"] * da * db).alias("ab"),
@@ -256,6 +268,7 @@ def merge_scan_states(states: DataFrame, by: list[str]) -> DataFrame:
                 F.sum(m["n"]).alias("n"),
                 F.max(mean_a).alias("mean_a"),
                 F.max(mean_b).alias("mean_b"),
+                *(f(m[n]).alias(n) for f, n in EXTREMES),
             ).alias(name)
         )
     whole = keyed.join(merged, same).groupBy(*map(C.quoted, keys)).agg(*aggregates)

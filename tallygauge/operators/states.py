@@ -67,7 +67,7 @@ def results_from_states(states: States, metrics: Iterable[Metric], by: Iterable[
     refused = {m: reason for m, reason in reasons.items() if reason}
     kept = [m for m in metrics if m not in refused]
     scan = merge_scan_states(states.scan, by)
-    parts = [scan_results(scan, by, metrics, refused, mergeable=True)]
+    parts = [scan_results(scan, by, metrics, refused)]
     columns = list(dict.fromkeys(m.columns[0] for m in kept if m.kind in FREQUENCY))
     if columns and states.frequency is not None:
         asked = states.frequency.where(F.col(COLUMN).isin(columns))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
@@ -75,8 +74,8 @@ class Metric:
             raise ValueError("Compliance needs a label and a predicate")
         if self.kind == "PatternMatch" and not self.expression:
             raise ValueError("PatternMatch needs a pattern")
-        if self.kind == "ApproxQuantile" and not 0.0 <= (self.quantile or 0.0) <= 1.0:
-            raise ValueError("a quantile lies between 0 and 1")
+        if self.kind == "ApproxQuantile" and (self.quantile is None or not 0.0 <= self.quantile <= 1.0):
+            raise ValueError("ApproxQuantile needs a quantile between 0 and 1")
 
     @property
     def entity(self) -> str:
@@ -128,14 +127,37 @@ def approx_quantile(columns: str | Iterable[str], quantile: float) -> list[Metri
 def split_list(value: str | Iterable[str]) -> list[str]:
     """A comma list or a sequence as trimmed, non-empty items.
 
-    Commas inside parentheses or single quotes do not split, so a predicate such as
-    ``kind IN ('a', 'b')`` stays whole.
+    Commas inside parentheses, brackets or quotes do not split, so predicates such as
+    ``kind IN ('a', 'b')`` and ``coalesce(a, abs(b)) > 1`` stay whole.
     """
     if isinstance(value, str):
-        value = re.split(r",(?=(?:[^']*'[^']*')*[^']*$)(?![^()]*\))", value)
+        value = cut_at_commas(value)
     return [item.strip() for item in value if item and item.strip()]
 
 
+def cut_at_commas(text: str) -> list[str]:
+    """The parts of a text between the commas that stand outside of every bracket and quote."""
+    parts, depth, quote, start, i = [], 0, "", 0, 0
+    while i < len(text):
+        c = text[i]
+        if quote:
+            if c == "\\" and quote != "`":
+                i += 1
+            elif c == quote:
+                quote = ""
+        elif c in "'\"`":
+            quote = c
+        elif c in "([{":
+            depth += 1
+        elif c in ")]}":
+            depth = max(0, depth - 1)
+        elif c == "," and not depth:
+            parts.append(text[start:i])
+            start = i + 1
+        i += 1
+    return [*parts, text[start:]]
+
+
 def zip_lists(kind: str, first, second) -> list[tuple[str, str]]:
     left, right = split_list(first), split_list(second)
     if len(left) != len(right):

@@ -66,3 +66,9 @@ def test_constraints_travel_to_the_results(results):
     found = verify(frame, [Constraint("*", "Size", low=2)], ["g"], spec)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_nan_is_within_no_bounds(spark):
+    results = spark.createDataFrame([("x", "Mean", float("nan"))], "instance string, name string, value double")
+    found = verify(results, [Constraint("x", "Mean", low=0)]).first()
+    assert (found.constraint_status, found.message) == ("Failure", "value out of bounds")

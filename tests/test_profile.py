@@ -306,3 +306,35 @@ def test_grouping_columns_may_have_common_names(spark, values):
     assert found[(*range(10), "x", "CountDistinct")] == 1
     assert found[(*range(10), "x,y", "MutualInformation")] == 0
     assert len(found) == 7
+
+
+def test_refused_patterns_and_predicates_stop_nothing(spark, reasons, values):
+    df = spark.createDataFrame([("a", 1.0), (None, 3.0)], "t string, v double")
+    rules = {
+        "window": "row_number() OVER (ORDER BY v) < 5",
+        "subquery": "v > (SELECT 1)",
+        "in": "v IN (SELECT 1)",
+        "sum": "sum(v) > 1",
+        "ok": "v > 1",
+    }
+    spec = pattern_match("t", "[") + compliance(list(rules), list(rules.values())) + size()
+    found = profile(df, spec)
+    assert values(found.metrics) == {("*", "Size"): 2.0, ("ok", "Compliance"): 0.5}
+    why = reasons(found.failures)
+    assert why[("t", "PatternMatch")].startswith("pattern refused")
+    assert {why[(k, "Compliance")] for k in ("window", "subquery", "in")} == {"predicate looks beyond its row"}
+
+
+def test_listed_groups_only_add(spark, values):
+    df = spark.createDataFrame([("a", 1), (None, 2), (None, None), ("b", 1)], "t string, v bigint")
+    listed = spark.createDataFrame([("a",), ("z",), ("z",), (None,)], "t string")
+    spec = size() + on("CountDistinct", "v")
+    found = values(profile(df, spec, ["t"], groups=listed).metrics, "t")
+    assert {k[0]: v for k, v in found.items() if k[2] == "Size"} == {"a": 1, "b": 1, None: 2, "z": 0}
+    assert {k[0]: v for k, v in found.items() if k[2] != "Size"} == {"a": 1, "b": 1, None: 1, "z": 0}
+
+
+def test_collated_texts_are_one_value_where_they_are_equal(spark, values):
+    df = spark.createDataFrame([("a",), ("A",), ("b",)], "t string").selectExpr("t COLLATE UTF8_LCASE AS t")
+    found = values(profile(df, on("CountDistinct", "t") + on("ApproxCountDistinct", "t")).metrics)
+    assert found == {("t", "CountDistinct"): 2.0, ("t", "ApproxCountDistinct"): 2.0}

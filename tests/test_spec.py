@@ -74,3 +74,13 @@ def test_repeated_metrics_collapse_and_clashes_are_errors():
     assert len(distinct_metrics(on("Mean", "a,a"))) == 1
     with pytest.raises(ValueError, match="share the key"):
         distinct_metrics(compliance("r", "a=1") + compliance("r", "a=2"))
+
+
+def test_commas_inside_calls_and_quotes_do_not_split():
+    text = """coalesce(a, abs(b)) > 1, c > 2, d = "x,y", `e,f` = 'it''s, so', g[1, 2]"""
+    assert split_list(text) == ["coalesce(a, abs(b)) > 1", "c > 2", 'd = "x,y"', "`e,f` = 'it''s, so'", "g[1, 2]"]
+
+
+def test_a_quantile_must_be_given():
+    with pytest.raises(ValueError, match="quantile"):
+        Metric("ApproxQuantile", ("a",))

@@ -85,3 +85,17 @@ def test_refused_metrics_stay_refused(spark, data, reasons, tmp_path, stored):
         ("s", "Mean"): "column s is string, not numeric",
         ("nothing", "Entropy"): "unknown column nothing",
     }
+
+
+def test_merged_correlation_of_constants_has_no_value(spark, tmp_path):
+    sizes = {"a": 3, "b": 7, "c": 11, "d": 13, "e": 1}
+    rows = [(g, float(i), c) for c in (0.1, 0.7, 1.1, 123.456) for g, n in sizes.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, x double, c double")
+    spec = pairs("Correlation", "x", "c")
+    states = compute_states(df, spec, ["c", "g"])
+    found = results_from_states(states, spec, []).collect()
+    assert found[0].value is not None
+    for c in (0.1, 0.7, 1.1, 123.456):
+        part = compute_states(df.where(F.col("c") == c), spec, ["g"])
+        row = results_from_states(part, spec, []).first()
+        assert (row.value, row.reason) == (None, "needs two rows and two varying columns")
