@@ -42,9 +42,9 @@ from tallygauge.sources.manifest import (
     read_manifest,
     register,
     store_processed,
+    write_manifest,
 )
 from tallygauge.sources.metric_table import export_csv, read_metrics, upsert_results
-from tallygauge.sources.tables import write_version
 from tallygauge.sources.workspace import new_folder
 from tallygauge.streaming.incremental import (
     file_stream,
@@ -375,9 +375,9 @@ def labelled_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_manifest_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Register every document twice in a stored manifest that already knows the labelled ones."""
     path = new_folder(spark, "manifest")
-    write_version(labelled_files(spark, sf_dir), path, 1)
-    register(spark, path, document_files(spark, sf_dir), 2)
-    register(spark, path, document_files(spark, sf_dir), 3)
+    write_manifest(labelled_files(spark, sf_dir), path)
+    register(spark, path, document_files(spark, sf_dir))
+    register(spark, path, document_files(spark, sf_dir))
     return read_manifest(spark, path)
 
 
@@ -398,9 +398,9 @@ def q_manifest_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Register, process the English documents, register again: nothing falls back to pending."""
     path = new_folder(spark, "manifest")
     files = document_files(spark, sf_dir)
-    register(spark, path, files, 1)
-    store_processed(path, files.where(F.col("lang") == "en"), 2)
-    register(spark, path, files, 3)
+    register(spark, path, files)
+    store_processed(path, files.where(F.col("lang") == "en"))
+    register(spark, path, files)
     return read_manifest(spark, path)
 
 
@@ -416,8 +416,8 @@ def customer_results(spark: SparkSession, sf_dir: str, finished_only: bool) -> D
 def q_metrics_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two stored versions of the metrics of every customer; the later one wins."""
     path = new_folder(spark, "metrics")
-    upsert_results(customer_results(spark, sf_dir, finished_only=False), path, 1)
-    upsert_results(customer_results(spark, sf_dir, finished_only=True), path, 2)
+    upsert_results(customer_results(spark, sf_dir, finished_only=False), path)
+    upsert_results(customer_results(spark, sf_dir, finished_only=True), path)
     return rounded(read_metrics(spark, path))
 
 
@@ -477,7 +477,7 @@ def q_state_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = table(spark, sf_dir, "lineitem").withColumn("constant", F.lit(0.1))
     by = [month("l_shipdate").alias("month"), F.col("l_returnflag").alias("part")]
     path = new_folder(spark, "states")
-    write_states(compute_states(df, state_spec(), by), path, 1)
+    write_states(compute_states(df, state_spec(), by), path)
     states = read_states(spark, path, ("scan", "frequency", "joint"))
     return rounded(successes(results_from_states(states, state_spec(), ["part"])))
 
@@ -488,7 +488,7 @@ def q_state_merge_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     by = [month("l_shipdate").alias("month"), F.col("l_returnflag").alias("part")]
     spec = on("ApproxCountDistinct", "l_orderkey,l_extendedprice") + approx_quantile("l_extendedprice", 0.5)
     path = new_folder(spark, "states")
-    write_states(compute_states(df, spec, by), path, 1)
+    write_states(compute_states(df, spec, by), path)
     merged = successes(results_from_states(read_states(spark, path, ["scan"]), spec, ["part"]))
     estimates = stored(merged).select("part", "instance", "name", F.col("value").alias("estimate"))
     part = F.col("l_returnflag").alias("part")

@@ -6,9 +6,11 @@ from collections import defaultdict
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
-from itertools import batched
+from itertools import accumulate, batched
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,29 +20,35 @@ from tallygauge.plans.profile import passes, profile_inputs, successes
 from tallygauge.sources import files as files_source
 from tallygauge.sources.listing import bucket_of, file_name, list_files, relative_name
 from tallygauge.sources.manifest import (
+    KEYS,
     pending_files,
-    read_manifest,
+    read_log,
     register,
     store_processed,
 )
-from tallygauge.sources.metric_table import export_csv, read_version, upsert_results
-from tallygauge.spec import Metric, from_parameters
+from tallygauge.sources.metric_table import RESULT_DDL, export_csv, read_commit, upsert_results
+from tallygauge.sources.workspace import new_folder
+from tallygauge.spec import Metric, distinct_metrics, from_parameters
 
-# Files read together. Their names are planned on the driver, as Spark does with any list of
-# paths, so the list is bounded and a larger backlog takes several rounds.
+# Files read together, and their bytes. Their names are planned on the driver, as Spark does with any
+# list of paths, so the list is bounded and a larger backlog takes several rounds.
 FILES_PER_ROUND = 10_000
+BYTES_PER_ROUND = 1 << 42
 # Unlike layouts measured in one query; more of them take several, to keep plans small.
 LAYOUTS_PER_QUERY = 16
 # Shuffles get one partition for this much input. Adaptive execution merges those that turn out
 # small, but it does not split large ones, so too many is the safe side.
 BYTES_PER_PARTITION = 128 << 20
-MOST_PARTITIONS = 20_000
 PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 @dataclass
 class Job:
-    """Where the input is, what to measure on it and where the results go."""
+    """Where the input is, what to measure on it and where the results go.
+
+    ``listing`` may give the files in place of listing the location, for example from an inventory:
+    ``bucket_name``, ``file_name``, ``length`` and ``modified``.
+    """
 
     location: str
     metrics: list[Metric]
@@ -54,6 +62,8 @@ class Job:
     options: Mapping[str, object] | None = None
     coerce_numeric: bool = False
     files_per_round: int = FILES_PER_ROUND
+    bytes_per_round: int = BYTES_PER_ROUND
+    listing: DataFrame | None = None
 
     @classmethod
     def from_parameters(cls, parameters: Mapping[str, object], **settings) -> Job:
@@ -66,51 +76,98 @@ class Job:
 
 
 def run(spark: SparkSession, job: Job) -> int:
-    """Process every pending file of the location; returns how many there were.
+    """Process every pending file of the location; returns how many were measured.
 
-    Files that were registered earlier but are gone now stay pending and are passed over.
+    Files that were registered earlier but are gone now stay pending and are passed over; so does a
+    file that cannot be read, with the reason among the failures, while the others go on.
     Files are marked as processed after their metrics and export are stored. A run that stops
     earlier leaves them pending, and repeating them replaces their rows.
     """
-    # A listing task asks for the status of each of its files, so it is done once, and in as many
-    # tasks as there are cores however large the files are.
-    listed = list_files(spark, job.location, job.bucket, job.pattern).persist()
-    try:
-        with files_source.scoped_settings(spark, {files_source.MAX_PARTITION_BYTES: str(1 << 50)}):
-            register(spark, job.manifest_path, listed)
-        return process_rounds(spark, job, listed)
-    finally:
-        listed.unpersist()
-
-
-def process_rounds(spark: SparkSession, job: Job, listed: DataFrame) -> int:
-    """Take the pending files that are listed, a bounded number at a time, until none is left."""
-    done = 0
+    listed = job.listing or list_files(spark, job.location, job.bucket, job.pattern)
+    register(spark, job.manifest_path, listed)
+    waiting = pending_files(read_log(spark, job.manifest_path)).drop("processed", "length", "modified")
+    waiting = waiting.join(listed.select(*KEYS, "length", "modified"), KEYS)
+    place = new_folder(spark, "waiting")
+    waiting.write.parquet(place)
+    return process_rounds(spark, job, spark.read.schema(waiting.schema).parquet(place))
+
+
+def process_rounds(spark: SparkSession, job: Job, waiting: DataFrame) -> int:
+    """Take the waiting files by name, a bounded number and size at a time, until none is left."""
+    done, last = 0, None
     while True:
-        waiting = pending_files(read_manifest(spark, job.manifest_path))
-        present = listed.select("bucket_name", "file_name", "length")
-        waiting = waiting.join(present, ["bucket_name", "file_name"])
-        files = waiting.orderBy("file_name").limit(job.files_per_round).collect()
-        if not files:
+        rest = waiting if last is None else waiting.where(F.col("file_name") > last)
+        found = rest.orderBy("file_name").limit(job.files_per_round).collect()
+        if not found:
             return done
-        names = [row.file_name for row in files]
-        size = sum(row.length for row in files)
+        upto = accumulate(row.length or 0 for row in found)
+        files = [row for row, total in zip(found, upto) if total <= job.bytes_per_round] or found[:1]
+        last = files[-1].file_name
+        size = sum(row.length or 0 for row in files)
         partitions = shuffle_partitions(size, int(spark.conf.get(PARTITIONS)))
         with files_source.scoped_settings(spark, {PARTITIONS: str(partitions)}):
-            for some in batched(layouts(spark, job, names), LAYOUTS_PER_QUERY):
-                process(spark, job, some)
-        batch = local_table(
-            spark, "bucket_name string, file_name string", [(job.bucket, n) for n in names]
-        )
-        store_processed(job.manifest_path, batch)
-        done += len(names)
-        if len(names) < job.files_per_round:
-            return done
+            failed = process_files(spark, job, {row.file_name: row.length for row in files})
+        measured = [row for row in files if row.file_name not in failed]
+        if measured:
+            rows = [(job.bucket, row.file_name) for row in measured]
+            batch = local_table(spark, "bucket_name string, file_name string", rows)
+            store_processed(job.manifest_path, batch.join(waiting, KEYS))
+        done += len(measured)
+
+
+def process_files(spark: SparkSession, job: Job, sizes: dict[str, int]) -> dict[str, str]:
+    """Measure some files; the names and reasons of those that cannot be read."""
+    empty = [name for name, size in sizes.items() if size == 0]
+    hidden = [n for n in sizes if n not in empty and n.rsplit("/", 1)[-1][0] in "._"]
+    failed = dict.fromkeys(hidden, "cannot be read: Spark passes over names that begin with a dot or underscore")
+    readable = [name for name in sizes if name not in empty and name not in failed]
+    if empty:
+        store(spark, job, empty_results(spark, job, empty))
+    failed |= process_or_split(spark, job, readable)
+    if failed:
+        rows = [(job.bucket, n, "Dataset", "*", "Size", None, reason) for n, reason in failed.items()]
+        upsert_results(local_table(spark, RESULT_DDL, rows), job.metrics_path)
+    return failed
+
+
+def process_or_split(spark: SparkSession, job: Job, names: list[str]) -> dict[str, str]:
+    """Measure files together; where that fails, each half by itself, down to the files that fail."""
+    if not names:
+        return {}
+    try:
+        for some in batched(layouts(spark, job, names), LAYOUTS_PER_QUERY):
+            process(spark, job, some)
+        return {}
+    except (PySparkException, Py4JJavaError) as error:
+        if len(names) == 1:
+            return {names[0]: f"cannot be read: {problem(error)}"}
+        half = len(names) // 2
+        return process_or_split(spark, job, names[:half]) | process_or_split(spark, job, names[half:])
+
+
+def problem(error: Exception) -> str:
+    """A short reason, alike in every run."""
+    condition = error.getCondition() if isinstance(error, PySparkException) else None
+    return condition or type(error).__name__
+
+
+def empty_results(spark: SparkSession, job: Job, names: list[str]) -> DataFrame:
+    """What is known of files of no bytes: they have no rows."""
+    zero = ("Size", "CountDistinct", "ApproxCountDistinct")
+    metrics = distinct_metrics(job.metrics)
+    rows = [
+        (m.entity, m.instance, m.name, 0.0 if m.kind in zero else None, None if m.kind in zero else "empty")
+        for m in metrics
+    ]
+    kinds = local_table(spark, "entity string, instance string, name string, value double, reason string", rows)
+    # One row per file of a round and metric asked for: both are bounded lists.
+    files = local_table(spark, "file_name string", [(n,) for n in names])
+    return files.withColumn("m", F.lit(1)).join(kinds.withColumn("m", F.lit(1)), "m").drop("m")
 
 
 def shuffle_partitions(input_bytes: int, configured: int) -> int:
     """Enough partitions for the input, and never fewer than configured."""
-    return max(configured, min(input_bytes // BYTES_PER_PARTITION, MOST_PARTITIONS))
+    return max(configured, input_bytes // BYTES_PER_PARTITION)
 
 
 def process(spark: SparkSession, job: Job, some: Iterable[tuple[list[str], object]]) -> None:
@@ -123,14 +180,17 @@ def process(spark: SparkSession, job: Job, some: Iterable[tuple[list[str], objec
     try:
         name = {"file_name": file_name(F.col(files_source.SOURCE_PATH), job.location)}
         parts = [profile_inputs(i, groups, name).results for i, groups in inputs]
-        results = reduce(DataFrame.unionByName, parts)
-        results = results.withColumn("bucket_name", F.lit(job.bucket))
-        version = upsert_results(results, job.metrics_path)
+        store(spark, job, reduce(DataFrame.unionByName, parts))
     finally:
         for base in kept:
             base.unpersist()
+
+
+def store(spark: SparkSession, job: Job, results: DataFrame) -> None:
+    """Keep and export the results of some files."""
+    commit = upsert_results(results.withColumn("bucket_name", F.lit(job.bucket)), job.metrics_path)
     if job.export_path:
-        export_csv(successes(read_version(spark, job.metrics_path, version)), job.export_path)
+        export_csv(successes(read_commit(spark, job.metrics_path, commit)), job.export_path)
 
 
 def layouts(spark: SparkSession, job: Job, names: list[str]) -> list[tuple[list[str], object]]:
@@ -139,8 +199,12 @@ def layouts(spark: SparkSession, job: Job, names: list[str]) -> list[tuple[list[
     CSV files go together when their header lines are equal, JSON files when all their fields
     and types are. Files whose first line is blank are read one by one.
     """
-    if job.schema is not None or job.file_format not in files_source.TEXT_FORMATS:
+    if job.schema is not None:
         return [(names, job.schema)]
+    if job.file_format not in files_source.TEXT_FORMATS:
+        return parquet_layouts(spark, job, names)
+    if str(dict(job.options or {}).get("header", True)).lower() == "false" and job.file_format == "csv":
+        return [(names, None)]
     csv = job.file_format == "csv"
     discover = files_source.first_lines if csv else files_source.json_schemas
     found = discover(spark, paths_of(job, names))
@@ -155,6 +219,16 @@ def layouts(spark: SparkSession, job: Job, names: list[str]) -> list[tuple[list[
     ]
 
 
+def parquet_layouts(spark: SparkSession, job: Job, names: list[str]) -> list[tuple[list[str], object]]:
+    """The files by the schema of their footers, which tasks read."""
+    found = files_source.parquet_schemas(spark, paths_of(job, names))
+    known = {relative_name(path, job.location): key for path, key in found.items()}
+    groups: dict[str, list[str]] = defaultdict(list)
+    for name in names:
+        groups[known.get(name) or f"\0{name}"].append(name)
+    return [(same, None) for same in groups.values()]
+
+
 def paths_of(job: Job, names: Iterable[str]) -> list[str]:
     return [f"{job.location.rstrip('/')}/{name}" for name in names]
 

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterable, Mapping
 from contextlib import contextmanager
 
+import pyarrow as pa
+from pyarrow import fs, parquet
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallygauge.functions.local import local_table
+
 FORMATS = ("csv", "json", "parquet")
 TEXT_FORMATS = ("csv", "json")
 SOURCE_PATH = "__source_path"
@@ -72,6 +77,25 @@ def first_lines(spark: SparkSession, paths: Iterable[str]) -> dict[str, str]:
         return {row[SOURCE_PATH]: row.value for row in first.collect()}
 
 
+def parquet_schemas(spark: SparkSession, paths: Iterable[str]) -> dict[str, str]:
+    """A digest of the schema of every Parquet file, from its footer, which a task reads."""
+
+    def footers(batches):
+        for batch in batches:
+            digests = []
+            for path in batch.column(0).to_pylist():
+                system, at = fs.FileSystem.from_uri(path)
+                with system.open_input_file(at) as file:
+                    schema = parquet.read_schema(file).remove_metadata()
+                fields = "\n".join(f"{f.name} {f.type}" for f in schema)
+                digests.append(hashlib.sha256(fields.encode()).hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests)], ["path", "digest"])
+
+    rows = local_table(spark, "path string", [(p,) for p in paths])
+    tasks = spark.sparkContext.defaultParallelism
+    return {r.path: r.digest for r in rows.repartition(tasks).mapInArrow(footers, "path string, digest string").collect()}
+
+
 @contextmanager
 def scoped_settings(spark: SparkSession, settings: Mapping[str, str]):
     """Session settings for jobs that run inside the block."""

@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from functools import reduce
 from urllib.parse import unquote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallygauge.sources.workspace import new_folder
+
 SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:/+"
 
 
@@ -38,22 +44,61 @@ def file_name(path: Column, location: str, encoded: bool = True) -> Column:
     return F.substring(plain, F.locate(root, plain) + len(root), F.length(plain))
 
 
+LISTED = "path string, length bigint, modified timestamp, folder boolean"
+
+
 def list_files(
     spark: SparkSession, location: str, bucket_name: str | None = None, pattern: str | None = None
 ) -> DataFrame:
     """All files below ``location`` as manifest rows, plus path, length and time.
 
-    The content column of the source is never selected, so no file is read. ``pattern`` is
-    a glob on file names.
+    Empty files and names that begin with a dot or underscore are files like others. Folders are
+    listed by tasks, level by level, through Arrow's file systems; what is found stays in
+    tables in the shared folder. ``pattern`` is a glob on file names.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    folders = spark.createDataFrame([(location.rstrip("/"),)], "path string")
+    levels = []
+    while True:
+        found = folders.repartition("path").mapInArrow(children, LISTED)
+        place = new_folder(spark, "listing")
+        found.write.parquet(place)
+        level = spark.read.schema(found.schema).parquet(place)
+        levels.append(level.where("not folder"))
+        folders = level.where("folder").select("path")
+        if folders.isEmpty():
+            break
+    files = reduce(DataFrame.union, levels)
     if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(location).select(
+        chosen = F.regexp_extract("path", "([^/]*)$", 1).rlike(glob_pattern(pattern))
+        files = files.where(chosen)
+    return files.select(
         F.lit(bucket_name or bucket_of(location)).alias("bucket_name"),
         file_name(F.col("path"), location, encoded=False).alias("file_name"),
         F.lit("N").alias("processed"),
         "path",
         "length",
-        F.col("modificationTime").alias("modified"),
+        "modified",
     )
+
+
+def glob_pattern(pattern: str) -> str:
+    """A glob as a regular expression over whole names."""
+    parts = {"*": ".*", "?": ".", "{": "(?:", "}": ")", ",": "|"}
+    return f"^{''.join(parts.get(c, c if c in '[]-' else re.escape(c)) for c in pattern)}$"
+
+
+def children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What is in each folder; paths keep the scheme of their folder's."""
+    for batch in batches:
+        for folder in batch.column(0).to_pylist():
+            system, at = fs.FileSystem.from_uri(folder if "://" in folder or not folder.startswith("file:") else folder[5:])
+            scheme = folder[: len(folder) - len(at)] if folder.endswith(at) else ""
+            found = system.get_file_info(fs.FileSelector(at))
+            folders = [i.type == fs.FileType.Directory for i in found]
+            columns = [
+                pa.array([f"{scheme}{i.path}" for i in found], pa.string()),
+                pa.array([i.size for i in found], pa.int64()),
+                pa.array([i.mtime_ns and i.mtime_ns // 1000 for i in found], pa.timestamp("us", "UTC")),
+                pa.array(folders, pa.bool_()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["path", "length", "modified", "folder"])

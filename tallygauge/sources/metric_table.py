@@ -8,7 +8,15 @@ from pyspark.sql import types as T
 
 from tallygauge.operators.keyed import METRIC_COLUMNS, ROW_KEY, with_keys
 from tallygauge.plans.profile import failures, successes
-from tallygauge.sources.tables import latest_rows, read_versions, version_folder, write_version
+from tallygauge.sources.tables import (
+    ROWS,
+    Commit,
+    compact_tables,
+    latest_rows,
+    read_commits,
+    read_rows,
+    write_rows,
+)
 
 RESULT_SCHEMA = T.StructType(
     [
@@ -22,19 +30,26 @@ RESULT_SCHEMA = T.StructType(
     ]
 )
 
+RESULT_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RESULT_SCHEMA)
+
 
-def upsert_results(results: DataFrame, path: str, version: int | None = None) -> int:
-    """Store one batch of results; they replace earlier rows with the same file and metric."""
-    return write_version(results.select(*RESULT_SCHEMA.names), path, version)
+def upsert_results(
+    results: DataFrame, path: str, writer: str | None = None, batch: int | None = None
+) -> Commit | None:
+    """Store one batch of results; they replace earlier rows with the same file and metric.
+
+    A batch that its ``writer`` has stored before is not stored again, and there is no commit.
+    """
+    return write_rows(results.select(*RESULT_SCHEMA.names), path, writer, batch)
 
 
-def read_version(spark: SparkSession, path: str, version: int) -> DataFrame:
+def read_commit(spark: SparkSession, path: str, commit: Commit) -> DataFrame:
     """The rows of one batch, without the rest of the table."""
-    return spark.read.schema(RESULT_SCHEMA).parquet(version_folder(path, version))
+    return read_commits(spark, path, [commit]).select(*RESULT_SCHEMA.names)
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    return latest_rows(read_versions(spark, path, RESULT_SCHEMA), ROW_KEY)
+    return latest_rows(read_rows(spark, path, RESULT_SCHEMA), ROW_KEY)
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
@@ -46,9 +61,9 @@ def read_failures(spark: SparkSession, path: str) -> DataFrame:
     return failures(read_results(spark, path))
 
 
-def compact(spark: SparkSession, path: str, target: str) -> None:
-    """Write the current rows as a fresh table; the caller then switches to ``target``."""
-    write_version(read_results(spark, path), target)
+def compact_metrics(spark: SparkSession, path: str) -> None:
+    """The current rows in place of all batches."""
+    compact_tables(spark, path, {ROWS: lambda rows: latest_rows(rows, ROW_KEY)})
 
 
 def export_csv(metrics: DataFrame, path: str) -> None:

@@ -1,49 +1,186 @@
-"""Keyed Parquet tables: each write adds a version folder, readers take the latest row per key.
+"""Append-only Parquet tables with commits.
 
-Nothing that was written is changed in place, so a job that dies half way leaves the table as
-it was, and writing the same version again replaces it. One writer at a time.
+A write puts its rows into a folder of its own and then creates one small commit file, whose name is
+the next version. Creating it fails if another writer took the version, who then takes the one
+after, so versions are unique and grow. Readers read what is committed and nothing else; several
+tables that belong together are in one commit. A batch that says who writes it is stored once,
+however often it is replayed. A compaction is a commit that stands for all up to a version.
 """
 
 from __future__ import annotations
 
-import time
-from collections.abc import Iterable
+import json
+import uuid
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass, field
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-VERSION = "version"
+from tallygauge.functions.local import local_table
 
+# Names that stored rows may not use.
+VERSION, WRITE = "__version", "__write"
+COMMITS = "_commits"
+ROWS = "rows"
 
-def next_version() -> int:
-    """Versions grow with the clock unless the caller numbers them."""
-    return time.time_ns() // 1_000_000
 
+@dataclass(frozen=True)
+class Commit:
+    """``tables`` has the folder and schema per table; ``upto`` the last version it replaces.
+
+    ``batches`` is the last batch of every writer that it or what it replaces has stored.
+    """
+
+    version: int
+    tables: dict[str, list[str]]
+    upto: int = 0
+    batches: dict[str, int] = field(default_factory=dict)
+
+    @property
+    def order(self) -> int:
+        """Where its rows stand: a compaction's stand before what was committed meanwhile."""
+        return self.upto or self.version
 
-def version_folder(path: str, version: int) -> str:
-    return f"{path.rstrip('/')}/{VERSION}={version}"
 
+def hadoop(spark: SparkSession, path: str):
+    """The path and its file system, of any scheme Spark knows."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
-def write_version(rows: DataFrame, path: str, version: int | None = None) -> int:
-    version = next_version() if version is None else version
-    rows.write.mode("overwrite").parquet(version_folder(path, version))
-    return version
+
+def read_text(spark: SparkSession, path: str) -> str:
+    place, system = hadoop(spark, path)
+    stream = system.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
-def read_versions(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """All rows of all versions; an empty frame of ``schema`` if the table was never written."""
-    reader = spark.read
-    if schema is None:
-        return reader.option("mergeSchema", True).parquet(path)
-    full = T.StructType([*schema.fields, T.StructField(VERSION, T.LongType())])
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file that must not exist yet; False if it does."""
+    place, system = hadoop(spark, path)
     try:
-        return reader.schema(full).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], full)
+        stream = system.create(place, False)
+    except Py4JJavaError:
+        if system.exists(place):
+            return False
+        raise
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True
+
+
+def committed(spark: SparkSession, path: str) -> list[Commit]:
+    """The commits that count, in order. A table is compacted long before these are many."""
+    place, system = hadoop(spark, f"{path.rstrip('/')}/{COMMITS}")
+    if not system.exists(place):
+        return []
+    files = [s.getPath() for s in system.listStatus(place)]
+    found = []
+    for file in sorted((f for f in files if f.getName().isdigit()), key=lambda f: int(f.getName()), reverse=True):
+        text = read_text(spark, file.toString())
+        if not text.endswith("\n"):
+            continue  # its writer has not ended yet
+        commit = Commit(version=int(file.getName()), **json.loads(text))
+        if not any(commit.version <= newer.upto for newer in found):
+            found.append(commit)
+    return sorted(found, key=lambda c: (c.order, c.version))
+
+
+def stored_batches(commits: Iterable[Commit]) -> dict[str, int]:
+    last: dict[str, int] = {}
+    for commit in commits:
+        for writer, batch in commit.batches.items():
+            last[writer] = max(batch, last.get(writer, batch))
+    return last
+
+
+def commit_tables(
+    path: str,
+    tables: Mapping[str, DataFrame],
+    writer: str | None = None,
+    batch: int | None = None,
+    replaced: list[Commit] | None = None,
+) -> Commit | None:
+    """Store rows of one or more tables at once; None if ``writer`` has stored the batch before.
+
+    Batches of a writer come in order. The tables are written side by side.
+    """
+    path = path.rstrip("/")
+    spark = next(iter(tables.values())).sparkSession
+    for df in tables.values():
+        if clash := {VERSION, WRITE} & {c.lower() for c in df.columns}:
+            raise ValueError(f"stored rows cannot have a column {sorted(clash)}")
+    if batch is not None and batch <= stored_batches(committed(spark, path)).get(writer, -1):
+        return None
+    name = uuid.uuid4().hex
+
+    def write(table: str) -> list[str]:
+        tables[table].write.parquet(f"{path}/{table}/{WRITE}={name}")
+        return [name, tables[table].schema.json()]
+
+    with ThreadPoolExecutor(len(tables)) as pool:
+        written = dict(zip(tables, pool.map(write, tables), strict=True))
+    batches = stored_batches(replaced or [])
+    if batch is not None:
+        batches[writer] = batch
+    upto = max((c.version for c in replaced or []), default=0)
+    while True:
+        commit = Commit(next_version(spark, path), written, upto, batches)
+        content = {k: v for k, v in asdict(commit).items() if k != "version"}
+        if create_text(spark, f"{path}/{COMMITS}/{commit.version:012d}", json.dumps(content) + "\n"):
+            return commit
+
+
+def next_version(spark: SparkSession, path: str) -> int:
+    place, system = hadoop(spark, f"{path}/{COMMITS}")
+    names = [s.getPath().getName() for s in system.listStatus(place)] if system.exists(place) else []
+    return max((int(n) for n in names if n.isdigit()), default=0) + 1
+
+
+def read_commits(
+    spark: SparkSession, path: str, commits: list[Commit], table: str = ROWS, schema: T.StructType | None = None
+) -> DataFrame:
+    """The rows of some commits with their ``__version``; an empty frame of ``schema`` if there are none."""
+    have = [c for c in commits if table in c.tables]
+    fields: dict[str, T.StructField] = {f.name: f for f in schema.fields} if schema else {}
+    for commit in have:
+        for own in T.StructType.fromJson(json.loads(commit.tables[table][1])).fields:
+            fields.setdefault(own.name, T.StructField(own.name, own.dataType))
+    full = T.StructType([*fields.values(), T.StructField(WRITE, T.StringType())])
+    if not have:
+        if schema is None:
+            raise ValueError(f"nothing is stored in {table} of {path}")
+        return spark.createDataFrame([], full).withColumn(VERSION, F.lit(0).cast("bigint")).drop(WRITE)
+    base = f"{path.rstrip('/')}/{table}"
+    folders = [f"{base}/{WRITE}={c.tables[table][0]}" for c in have]
+    rows = spark.read.schema(full).option("basePath", base).parquet(*folders)
+    orders = local_table(spark, f"{WRITE} string, {VERSION} bigint", [(c.tables[table][0], c.order) for c in have])
+    return rows.join(orders, WRITE).drop(WRITE)
+
+
+def write_rows(rows: DataFrame, path: str, writer: str | None = None, batch: int | None = None) -> Commit | None:
+    return commit_tables(path, {ROWS: rows}, writer, batch)
+
+
+def read_rows(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    return read_commits(spark, path, committed(spark, path), schema=schema)
+
+
+def compact_tables(spark: SparkSession, path: str, reduced: Mapping[str, Callable[[DataFrame], DataFrame]]) -> None:
+    """Replace all that is committed by one commit with the reduced rows of every table."""
+    commits = committed(spark, path)
+    have = {t for c in commits for t in c.tables}
+    tables = {t: f(read_commits(spark, path, commits, t)).drop(VERSION) for t, f in reduced.items() if t in have}
+    if len(commits) > 1:
+        commit_tables(path, tables, replaced=commits)
 
 
 def latest_rows(rows: DataFrame, keys: Iterable[str], version: str = VERSION) -> DataFrame:

@@ -7,7 +7,9 @@ from tallygauge.plans.batch import Job, run
 from tallygauge.sources.files import first_lines, json_schemas, read_files, struct_of
 from tallygauge.sources.listing import bucket_of, list_files, relative_name
 from tallygauge.sources.manifest import read_manifest
-from tallygauge.sources.metric_table import compact, read_failures, read_metrics
+from tallygauge.sources.manifest import compact_manifest
+from tallygauge.sources.metric_table import compact_metrics, read_failures, read_metrics
+from tallygauge.sources.tables import commit_tables, committed, read_rows, write_rows
 
 
 @pytest.fixture
@@ -220,9 +222,15 @@ def test_compaction_keeps_the_latest_rows(spark, values, job, tmp_path):
     run(spark, job)
     put(job, "two.csv", "id,press\n1,400\n")
     run(spark, job)
-    compact(spark, job.metrics_path, str(tmp_path / "fresh"))
-    before = values(read_metrics(spark, job.metrics_path), "file_name")
-    assert values(read_metrics(spark, str(tmp_path / "fresh")), "file_name") == before
+    before, files = values(read_metrics(spark, job.metrics_path), "file_name"), states(spark, job)
+    compact_metrics(spark, job.metrics_path)
+    compact_manifest(spark, job.manifest_path)
+    assert values(read_metrics(spark, job.metrics_path), "file_name") == before
+    assert states(spark, job) == files == {"one.csv": "Y", "two.csv": "Y"}
+    assert len(committed(spark, job.metrics_path)) == len(committed(spark, job.manifest_path)) == 1
+    put(job, "two.csv", "id,press\n1,400\n2,400\n")
+    assert run(spark, job) == 1
+    assert values(read_metrics(spark, job.metrics_path), "file_name")[("two.csv", "*", "Size")] == 2
 
 
 def test_many_layouts_take_several_queries(spark, values, job, monkeypatch):
@@ -239,8 +247,8 @@ def test_many_layouts_take_several_queries(spark, values, job, monkeypatch):
 def test_shuffles_grow_with_the_input():
     assert batch.shuffle_partitions(10 << 20, 8) == 8
     assert batch.shuffle_partitions(1 << 40, 200) == 8192
-    assert batch.shuffle_partitions(100 << 40, 200) == batch.MOST_PARTITIONS
-    assert batch.shuffle_partitions(100 << 40, 50_000) == 50_000
+    assert batch.shuffle_partitions(100 << 40, 200) == 819_200
+    assert batch.shuffle_partitions(1 << 40, 50_000) == 50_000
 
 
 def test_files_that_are_gone_or_not_asked_for_are_passed_over(spark, values, job):
@@ -256,3 +264,116 @@ def test_files_that_are_gone_or_not_asked_for_are_passed_over(spark, values, job
     job.pattern = "*.csv"
     assert run(spark, job) == 1
     assert states(spark, job) == {"gone.csv": "N", "one.csv": "Y"}
+
+
+def test_every_file_is_listed(spark, values, reasons, job):
+    put(job, "ok.csv", "id,press\n1,400\n")
+    put(job, "deep/zero.csv", "")
+    put(job, "_under.csv", "id,press\n1,400\n")
+    put(job, ".dot.csv", "id,press\n1,400\n")
+    listed = {r.file_name: r.length for r in list_files(spark, job.location).collect()}
+    assert listed == {"ok.csv": 15, "deep/zero.csv": 0, "_under.csv": 15, ".dot.csv": 15}
+    assert {r.file_name for r in list_files(spark, job.location, pattern="[o_]*.{csv,txt}").collect()} == {"ok.csv", "_under.csv"}
+    assert run(spark, job) == 2
+    assert states(spark, job) == {"ok.csv": "Y", "deep/zero.csv": "Y", "_under.csv": "N", ".dot.csv": "N"}
+    found = values(read_metrics(spark, job.metrics_path), "file_name")
+    assert found[("deep/zero.csv", "*", "Size")] == found[("deep/zero.csv", "press", "CountDistinct")] == 0
+    why = reasons(read_failures(spark, job.metrics_path), "file_name")
+    assert why[("deep/zero.csv", "press", "Completeness")] == "empty"
+    assert why[("_under.csv", "*", "Size")].startswith("cannot be read")
+
+
+def test_one_bad_file_stops_no_other(spark, values, reasons, job):
+    from pathlib import Path
+
+    for i in range(5):
+        put(job, f"ok{i}.csv", "id,press\n1,400\n")
+    (Path(job.location) / "bad.csv.gz").write_bytes(b"not compressed at all")
+    assert run(spark, job) == 5
+    assert states(spark, job) == {**{f"ok{i}.csv": "Y" for i in range(5)}, "bad.csv.gz": "N"}
+    why = reasons(read_failures(spark, job.metrics_path), "file_name")
+    assert why[("bad.csv.gz", "*", "Size")].startswith("cannot be read")
+    assert run(spark, job) == 0
+
+
+def test_a_changed_file_is_measured_again(spark, values, job):
+    put(job, "a.csv", "id,press\n1,400\n")
+    put(job, "b.csv", "id,press\n1,400\n")
+    assert run(spark, job) == 2
+    put(job, "a.csv", "id,press\n1,400\n2,400\n")
+    assert run(spark, job) == 1
+    assert values(read_metrics(spark, job.metrics_path), "file_name")[("a.csv", "*", "Size")] == 2
+    assert run(spark, job) == 0
+
+
+def test_rounds_are_bounded_by_bytes(spark, job):
+    for i in range(5):
+        put(job, f"f{i}.csv", "id,press\n1,400\n")
+    job.bytes_per_round = 20
+    assert run(spark, job) == 5
+    assert set(states(spark, job).values()) == {"Y"}
+
+
+def test_a_listing_can_be_given(spark, values, job):
+    put(job, "a.csv", "id,press\n1,400\n")
+    put(job, "b.csv", "id,press\n1,400\n")
+    job.listing = list_files(spark, job.location, job.bucket).where("file_name = 'b.csv'")
+    assert run(spark, job) == 1
+    assert states(spark, job) == {"b.csv": "Y"}
+
+
+def test_parquet_files_of_unlike_schema(spark, values, reasons, job):
+    job.file_format, job.export_path, job.pattern = "parquet", None, "*.parquet"
+    spark.range(3).selectExpr("id", "id AS press").write.parquet(f"{job.location}/a")
+    spark.range(2).write.parquet(f"{job.location}/b")
+    spark.range(2).selectExpr("id", "'x' AS press").write.parquet(f"{job.location}/c")
+    run(spark, job)
+    found = values(read_metrics(spark, job.metrics_path), "file_name")
+    sizes = {}
+    for (name, _, metric), value in found.items():
+        if metric == "Size":
+            sizes[name[0]] = sizes.get(name[0], 0) + value
+    assert sizes == {"a": 3, "b": 2, "c": 2}
+    why = reasons(read_failures(spark, job.metrics_path), "file_name")
+    assert {v for k, v in why.items() if k[0][0] == "b" and k[1] == "press"} == {"unknown column press"}
+    assert {v for k, v in found.items() if k[0][0] == "c" and k[2] == "Completeness"} == {1.0}
+
+
+def test_csv_without_header_needs_no_discovery(spark, values, job, monkeypatch):
+    monkeypatch.setattr(batch.files_source, "first_lines", None)
+    put(job, "a.csv", "1,400\n2,7\n")
+    put(job, "b.csv", "3,400\n")
+    job.options, job.metrics, job.export_path = {"header": False}, size() + on("Completeness", "_c1"), None
+    assert run(spark, job) == 2
+    assert values(read_metrics(spark, job.metrics_path), "file_name")[("a.csv", "_c1", "Completeness")] == 1
+
+
+def test_commits(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = lambda n: spark.createDataFrame([(n, "x")], "n bigint, version string")
+    assert read_rows(spark, path, rows(1).schema).count() == 0
+    # Two writers that both begin with batch 0, one of them replaying its batch.
+    assert write_rows(rows(1), path, "a", 0).version == 1
+    assert write_rows(rows(2), path, "b", 0).version == 2
+    assert write_rows(rows(3), path, "a", 0) is None
+    assert write_rows(rows(4), path, "a", 1).version == 3
+    # Rows without a commit, and a commit that is not whole, are not there.
+    rows(9).write.parquet(f"{path}/rows/__write=lost")
+    (tmp_path / "t" / "_commits" / "000000000099").write_text('{"tables"')
+    found = {(r.n, r.version, r["__version"]) for r in read_rows(spark, path).collect()}
+    assert found == {(1, "x", 1), (2, "x", 2), (4, "x", 3)}
+    assert write_rows(rows(5), path).version == 100
+    with pytest.raises(ValueError, match="__version"):
+        write_rows(rows(1).withColumn("__version", F.lit(1)), path)
+
+
+def test_compaction_stands_before_what_came_meanwhile(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = lambda n: spark.createDataFrame([(1, n)], "k bigint, n bigint")
+    write_rows(rows(1), path, "w", 0)
+    write_rows(rows(2), path, "w", 1)
+    old = committed(spark, path)
+    write_rows(rows(3), path, "w", 2)
+    commit_tables(path, {"rows": rows(2)}, replaced=old)
+    assert [(r.n, r["__version"]) for r in read_rows(spark, path).orderBy("__version").collect()] == [(2, 2), (3, 3)]
+    assert write_rows(rows(9), path, "w", 1) is None

@@ -44,9 +44,9 @@ def test_stored_states_grow_file_by_file(spark, values, data, tmp_path):
     path = str(tmp_path / "states")
     for file in range(4):
         part = data.where(F.col("file") == file)
-        write_states(compute_states(part, SPEC, ["file"]), path, file)
-    # A replayed batch replaces its own version.
-    write_states(compute_states(data.where(F.col("file") == 3), SPEC, ["file"]), path, 3)
+        write_states(compute_states(part, SPEC, ["file"]), path, "w", file)
+    # A replayed batch is known and not stored again.
+    write_states(compute_states(data.where(F.col("file") == 3), SPEC, ["file"]), path, "w", 3)
     stored = read_states(spark, path, ("scan", "frequency", "joint"))
     merged = values(results_from_states(stored, SPEC))
     assert merged == pytest.approx(values(profile(data, SPEC).results), abs=1e-9)

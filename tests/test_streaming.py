@@ -3,11 +3,13 @@ import pytest
 from tallygauge import compliance, on, pairs, size
 from tallygauge.operators.states import results_from_states
 from tallygauge.plans.profile import profile
+from tallygauge.sources.tables import committed
 from tallygauge.sources.metric_table import read_metrics
 from tallygauge.streaming.incremental import (
     file_stream,
     ingest_files,
     ingest_states,
+    compact_states,
     read_states,
 )
 
@@ -35,8 +37,7 @@ def test_only_new_files_are_measured(spark, values, tmp_path):
     assert first[("a.csv", "*", "Size")] == 2
     assert first[("a.csv", "p", "Compliance")] == 0.5
     assert first[("b c.csv", "id", "Mean")] == 5
-    versions = {p.name for p in (tmp_path / "m").iterdir() if p.name.startswith("version=")}
-    assert versions == {"version=0", "version=1"}
+    assert [c.version for c in committed(spark, str(tmp_path / "m"))] == [1, 2]
 
     put(source, "c.csv", "id,press\n7,\n")
     second = ingest()
@@ -47,8 +48,7 @@ def test_only_new_files_are_measured(spark, values, tmp_path):
         ("c.csv", "p", "Compliance"),
     }
     assert ingest() == second
-    versions = {p.name for p in (tmp_path / "m").iterdir() if p.name.startswith("version=")}
-    assert versions == {"version=0", "version=1", "version=2"}
+    assert [c.version for c in committed(spark, str(tmp_path / "m"))] == [1, 2, 3]
 
 
 def test_states_of_a_stream_add_up(spark, values, tmp_path):
@@ -67,3 +67,26 @@ def test_states_of_a_stream_add_up(spark, values, tmp_path):
     found = ingest()
     whole = spark.read.schema(SCHEMA).option("header", True).csv(str(source))
     assert found == pytest.approx(values(profile(whole, spec).results), abs=1e-9)
+
+
+def test_streams_share_a_table(spark, values, tmp_path):
+    spec = size() + on("Mean", "id")
+    for name, rows in (("a", "1,400\n"), ("b", "1,400\n2,7\n")):
+        put(tmp_path / name, f"{name}.csv", f"id,press\n{rows}")
+        for target, start in (("m", ingest_files), ("s", ingest_states)):
+            stream = file_stream(spark, str(tmp_path / name), "csv", SCHEMA)
+            where = (str(tmp_path / target), str(tmp_path / f"c-{target}-{name}"))
+            query = start(stream, str(tmp_path / name), spec, *where) if target == "m" else start(stream, spec, [], *where)
+            query.awaitTermination()
+    found = values(read_metrics(spark, str(tmp_path / "m")), "file_name")
+    assert {k: v for k, v in found.items() if k[2] == "Size"} == {("a.csv", "*", "Size"): 1, ("b.csv", "*", "Size"): 2}
+    states = str(tmp_path / "s")
+    assert values(results_from_states(read_states(spark, states, ["scan"]), spec))[("*", "Size")] == 3
+    before = values(results_from_states(read_states(spark, states, ["scan"]), spec))
+    compact_states(spark, states, [])
+    assert values(results_from_states(read_states(spark, states, ["scan"]), spec)) == before
+    # A fresh checkpoint is another stream, whose batches begin at 0 again.
+    put(tmp_path / "c", "c.csv", "id,press\n1,400\n")
+    stream = file_stream(spark, str(tmp_path / "c"), "csv", SCHEMA)
+    ingest_states(stream, spec, [], states, str(tmp_path / "c-new")).awaitTermination()
+    assert values(results_from_states(read_states(spark, states, ["scan"]), spec))[("*", "Size")] == 4
