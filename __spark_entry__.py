@@ -34,8 +34,10 @@ from tallygauge.operators.keyed import METRIC_COLUMNS, with_keys
 from tallygauge.operators.states import compute_states, results_from_states
 from tallygauge.plans.batch import Job, run
 from tallygauge.plans.profile import successes
-from tallygauge.sources.listing import list_files
+from tallygauge.sources.files import SOURCE_PATH, read_files
+from tallygauge.sources.listing import file_name, list_files
 from tallygauge.sources.manifest import (
+    compact_manifest,
     mark_processed,
     new_files,
     pending_files,
@@ -44,9 +46,16 @@ from tallygauge.sources.manifest import (
     store_processed,
     write_manifest,
 )
-from tallygauge.sources.metric_table import export_csv, read_metrics, upsert_results
+from tallygauge.sources.metric_table import (
+    compact_metrics,
+    export_csv,
+    read_metrics,
+    read_results,
+    upsert_results,
+)
 from tallygauge.sources.workspace import new_folder
 from tallygauge.streaming.incremental import (
+    compact_states,
     file_stream,
     ingest_files,
     ingest_states,
@@ -447,7 +456,43 @@ def q_metrics_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return list_files(spark, sf_dir).select("bucket_name", "file_name", "processed")
+    """Orders as a file per status, listed and then read together from the listed names."""
+    root = new_folder(spark, "files")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    orders.repartition("o_orderstatus").write.partitionBy("o_orderstatus").json(root)
+    listed = list_files(spark, root, "orders", "*.json")
+    paths = [r.path for r in listed.select("path").collect()]
+    rows = read_files(spark, paths, "json", "o_orderkey bigint")
+    sizes = rows.groupBy(file_name(F.col(SOURCE_PATH), root).alias("file_name")).agg(F.count("*").alias("orders"))
+    status = F.regexp_extract("file_name", "o_orderstatus=([^/]+)/", 1).alias("part")
+    return listed.join(sizes, "file_name").select("bucket_name", status, "processed", "orders", (F.col("length") > 0).alias("has_bytes"))
+
+
+def q_manifest_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """English documents are processed; those of one source change and are pending again."""
+    path = new_folder(spark, "manifest")
+    files = table(spark, sf_dir, "documents").select(
+        F.col("source").alias("bucket_name"),
+        F.col("doc_id").cast("string").alias("file_name"),
+        "lang",
+        F.col("n_chars").alias("length"),
+        F.lit(None).cast("timestamp").alias("modified"),
+    )
+    register(spark, path, files)
+    store_processed(path, files.where(F.col("lang") == "en"))
+    changed = F.when(F.col("bucket_name") == "src1", F.col("length") + 1).otherwise(F.col("length"))
+    register(spark, path, files.withColumn("length", changed))
+    compact_manifest(spark, path)
+    return read_manifest(spark, path)
+
+
+def q_metrics_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two versions of ``metrics_upsert`` after a compaction."""
+    path = new_folder(spark, "metrics")
+    upsert_results(customer_results(spark, sf_dir, finished_only=False), path)
+    upsert_results(customer_results(spark, sf_dir, finished_only=True), path)
+    compact_metrics(spark, path)
+    return rounded(read_metrics(spark, path))
 
 
 # --- states, checks, history ------------------------------------------------------------
@@ -623,6 +668,7 @@ def q_run_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         metrics_path=f"{root}/metrics",
         export_path=f"{root}/out",
         bucket_name="orders",
+        pattern="*.csv",
         coerce_numeric=True,
     )
     run(spark, job)
@@ -685,6 +731,95 @@ def q_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(successes(results_from_states(states, spec, ["part"])))
 
 
+def q_run_job_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every metric of every file of orders, a CSV file per status, from the export of the job."""
+    root = new_folder(spark, "job")
+    orders = table(spark, sf_dir, "orders").repartition("o_orderstatus")
+    orders.write.partitionBy("o_orderstatus").option("header", True).csv(f"{root}/in")
+    job = Job.from_parameters(
+        {
+            "CompletenessCol": "o_custkey",
+            "MeanCol": "o_orderkey",
+            "SumCol": "o_custkey",
+            "CountDistinctCol": "o_custkey,o_orderpriority",
+            "EntropyCol": "o_orderpriority",
+            "UniquenessCol": "o_custkey",
+            "DataTypeCol": "o_orderpriority",
+            "ComplianceCol": "pricey",
+            "ComplianceLogic": "o_totalprice >= 100000",
+            "MutualInformationCol": "o_custkey",
+            "MutualInformationOtheCol": "o_orderpriority",
+        },
+        location=f"{root}/in",
+        manifest_path=f"{root}/manifest",
+        metrics_path=f"{root}/metrics",
+        export_path=f"{root}/out",
+        pattern="*.csv",
+        coerce_numeric=True,
+    )
+    run(spark, job)
+    exported = spark.read.option("header", True).csv(f"{root}/out").join(
+        read_manifest(spark, job.manifest_path), ["bucket_name", "file_name"]
+    )
+    part = F.regexp_extract("file_name", "o_orderstatus=([^/]+)/", 1).alias("part")
+    kept = exported.where("name not like 'Histogram.abs%'").withColumn("value", F.col("value").cast("double"))
+    return rounded(kept.select(part, "entity", "instance", "name", "value", "processed"))
+
+
+def q_unlike_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON and Parquet files of unlike columns; an absent column is a failure in both."""
+    events = table(spark, sf_dir, "events")
+    parts = []
+    for file_format in ("json", "parquet"):
+        root = new_folder(spark, "unlike")
+        is_view = F.col("event_type") == "view"
+        for kind, some in (("with", events.where(is_view)), ("without", events.where(~is_view).drop("value"))):
+            some.drop("ts", "props").write.format(file_format).save(f"{root}/in/{kind}")
+        job = Job(
+            location=f"{root}/in",
+            metrics=size() + on("Completeness", "value,user_id"),
+            manifest_path=f"{root}/manifest",
+            metrics_path=f"{root}/metrics",
+            file_format=file_format,
+            pattern=f"*.{file_format}",
+        )
+        run(spark, job)
+        rows = read_results(spark, job.metrics_path).withColumn("part", F.element_at(F.split("file_name", "/"), 1))
+        parts.append(
+            rows.groupBy("part", "instance", "name")
+            .agg(
+                F.sum(F.when(F.col("name") == "Size", F.col("value"))).alias("total"),
+                F.min(F.when(F.col("name") != "Size", F.col("value"))).alias("least"),
+                F.max("reason").alias("reason"),
+            )
+            .withColumn("file_format", F.lit(file_format))
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_two_streams_one_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events and orders, each a stream of its own, into one metric table and one state table."""
+    root = new_folder(spark, "streams")
+    keys = {"events": "event_id", "orders": "o_orderkey"}
+    spec = size() + on("Sum", "id")
+    for name, key in keys.items():
+        rows = table(spark, sf_dir, name).select(F.col(key).alias("id"), F.lit(name).alias("part"))
+        rows.write.json(f"{root}/{name}")
+        for target in ("metrics", "states"):
+            stream = file_stream(spark, f"{root}/{name}", "json", "id bigint, part string")
+            checkpoint = f"{root}/checkpoint-{target}-{name}"
+            if target == "metrics":
+                query = ingest_files(stream, f"{root}/{name}", spec, f"{root}/metrics", checkpoint)
+            else:
+                query = ingest_states(stream, spec, ["part"], f"{root}/states", checkpoint)
+            query.awaitTermination()
+    files = read_metrics(spark, f"{root}/metrics").groupBy(F.col("bucket_name").alias("part"), "instance", "name")
+    files = files.agg(F.sum("value").alias("value")).withColumn("stored", F.lit("metrics"))
+    compact_states(spark, f"{root}/states", ["part"])
+    states = successes(results_from_states(read_states(spark, f"{root}/states", ["scan"]), spec, ["part"]))
+    return files.unionByName(states.drop("entity").withColumn("stored", F.lit("states")))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: every metric family on all lineitem columns, per ship month, in three passes."""
     return flagship(spark, SMOKE_DIR)
@@ -757,6 +892,8 @@ def metric_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "metrics_upsert": q_metrics_upsert,
         "metrics_export": q_metrics_export,
         "file_manifest": q_file_manifest,
+        "manifest_changed": q_manifest_changed,
+        "metrics_compacted": q_metrics_compacted,
         "state_merge": q_state_merge,
         "estimates_agree": q_estimates_agree,
         "profile_groups": q_profile_groups,
@@ -766,6 +903,9 @@ def metric_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "metric_history": q_metric_history,
         "run_history": q_run_history,
         "run_job": q_run_job,
+        "run_job_files": q_run_job_files,
+        "unlike_files": q_unlike_files,
+        "two_streams_one_table": q_two_streams_one_table,
         "ingest_files": q_ingest_files,
         "incremental_ingest": q_incremental_ingest,
     }

@@ -214,6 +214,46 @@ SELECT part, 'Multicolumn', 'l_quantity,l_extendedprice', 'Correlation',
        'needs two rows and two varying columns' FROM g WHERE NOT varies
 """
 
+def job_files() -> list[str]:
+    s = Source(STATUS)
+    return (
+        s.size()
+        + s.completeness("o_custkey")
+        + s.each("Mean", "o_orderkey", "avg($)")
+        + s.each("Sum", "o_custkey", "sum($)")
+        + s.frequency("CountDistinct", "o_custkey,o_orderpriority")
+        + s.frequency("Entropy", "o_orderpriority")
+        + s.frequency("Uniqueness", "o_custkey")
+        + s.scan("Column", "o_orderpriority", "Histogram.bins", "5")
+        + [
+            row
+            for c in ("Unknown", "Fractional", "Integral", "Boolean", "String")
+            for row in s.scan("Column", "o_orderpriority", f"Histogram.ratio.{c}", "1" if c == "String" else "0")
+        ]
+        + s.share("Compliance", "pricey", "o_totalprice >= 100000")
+        + s.mutual_information("o_custkey", "o_orderpriority")
+    )
+
+
+UNLIKE = """
+WITH e AS (SELECT CASE event_type WHEN 'view' THEN 'with' ELSE 'without' END AS part, count(*)::DOUBLE AS n
+           FROM events GROUP BY 1),
+f AS (SELECT unnest(['json', 'parquet']) AS file_format)
+SELECT part, '*' AS instance, 'Size' AS name, n AS total, NULL::DOUBLE AS least, NULL AS reason, file_format FROM e, f
+UNION ALL SELECT part, 'user_id', 'Completeness', NULL, 1.0, NULL, file_format FROM e, f
+UNION ALL SELECT part, 'value', 'Completeness', NULL, CASE part WHEN 'with' THEN 1.0 END,
+                 CASE part WHEN 'without' THEN 'unknown column value' END, file_format FROM e, f
+"""
+
+TWO_STREAMS = """
+WITH r AS (
+  SELECT 'events' AS part, count(*)::DOUBLE AS n, sum(event_id)::DOUBLE AS total FROM events
+  UNION ALL SELECT 'orders', count(*)::DOUBLE, sum(o_orderkey)::DOUBLE FROM orders),
+s AS (SELECT unnest(['metrics', 'states']) AS stored)
+SELECT part, '*' AS instance, 'Size' AS name, n AS value, stored FROM r, s
+UNION ALL SELECT part, 'id', 'Sum', total, stored FROM r, s
+"""
+
 GROUPS = """
 WITH e AS (
   SELECT nullif(event_type, 'error') AS part, nullif(user_id, 1) AS user_id FROM events
@@ -440,6 +480,18 @@ def statements() -> dict[str, str]:
         "metrics_export": (
             f"SELECT 'events' AS bucket_name, part AS file_name, entity, instance, name, value FROM ({daily_rows}) d"
         ),
+        "file_manifest": (
+            "SELECT 'orders' AS bucket_name, o_orderstatus AS part, 'N' AS processed, count(*) AS orders, "
+            "true AS has_bytes FROM orders GROUP BY o_orderstatus"
+        ),
+        "manifest_changed": (
+            "SELECT source AS bucket_name, CAST(doc_id AS VARCHAR) AS file_name, "
+            "CASE WHEN lang = 'en' AND source <> 'src1' THEN 'Y' ELSE 'N' END AS processed FROM documents"
+        ),
+        "metrics_compacted": UPSERT,
+        "run_job_files": f"SELECT *, 'Y' AS processed FROM ({union(job_files())}) j",
+        "unlike_files": UNLIKE,
+        "two_streams_one_table": TWO_STREAMS,
         "state_merge": union(state_metrics()),
         "state_merge_sketches": union(
             f"SELECT DISTINCT l_returnflag AS part, '{c}' AS instance, '{n}' AS name, "
