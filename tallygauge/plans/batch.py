@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 from itertools import accumulate, batched
 
@@ -13,10 +13,12 @@ from pyspark import StorageLevel
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallygauge.functions.local import local_table
 from tallygauge.operators.inputs import Inputs, prepare
 from tallygauge.plans.profile import passes, profile_inputs, successes
+from tallygauge.plans.unlike import Layout, compatible, csv_columns, read_together, with_absent
 from tallygauge.sources import files as files_source
 from tallygauge.sources.listing import bucket_of, file_name, list_files, relative_name
 from tallygauge.sources.manifest import (
@@ -34,8 +36,8 @@ from tallygauge.spec import Metric, distinct_metrics, from_parameters
 # list of paths, so the list is bounded and a larger backlog takes several rounds.
 FILES_PER_ROUND = 10_000
 BYTES_PER_ROUND = 1 << 42
-# Unlike layouts measured in one query; more of them take several, to keep plans small.
-LAYOUTS_PER_QUERY = 16
+# Groups of files measured in one query; more of them take several, to keep plans small.
+GROUPS_PER_QUERY = 16
 # Shuffles get one partition for this much input. Adaptive execution merges those that turn out
 # small, but it does not split large ones, so too many is the safe side.
 BYTES_PER_PARTITION = 128 << 20
@@ -135,7 +137,7 @@ def process_or_split(spark: SparkSession, job: Job, names: list[str]) -> dict[st
     if not names:
         return {}
     try:
-        for some in batched(layouts(spark, job, names), LAYOUTS_PER_QUERY):
+        for some in batched(groups_of(spark, job, names), GROUPS_PER_QUERY):
             process(spark, job, some)
         return {}
     except (PySparkException, Py4JJavaError) as error:
@@ -170,16 +172,20 @@ def shuffle_partitions(input_bytes: int, configured: int) -> int:
     return max(configured, input_bytes // BYTES_PER_PARTITION)
 
 
-def process(spark: SparkSession, job: Job, some: Iterable[tuple[list[str], object]]) -> None:
-    """Measure, store and export the files of some layouts."""
-    inputs = [group_inputs(spark, job, names, schema) for names, schema in some]
+def process(spark: SparkSession, job: Job, some: Iterable[Group]) -> None:
+    """Measure, store and export the files of some groups."""
+    read = [group_inputs(spark, job, group) for group in some]
     # Text is parsed again by every pass, so the few columns in use are kept after the first.
-    kept = [i.base for i, _ in inputs if job.file_format in files_source.TEXT_FORMATS and passes(i) > 1]
+    kept = [i.base for _, _, i in read if job.file_format in files_source.TEXT_FORMATS and passes(i) > 1]
     for base in kept:
         base.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         name = {"file_name": file_name(F.col(files_source.SOURCE_PATH), job.location)}
-        parts = [profile_inputs(i, groups, name).results for i, groups in inputs]
+        parts = []
+        for group, data, inputs in read:
+            listed = local_table(spark, "file_name string", [(n,) for n in group.names])
+            results = profile_inputs(inputs, listed, name).results
+            parts.append(with_absent(results, data, inputs, group.layouts) if group.layouts else results)
         store(spark, job, reduce(DataFrame.unionByName, parts))
     finally:
         for base in kept:
@@ -193,51 +199,76 @@ def store(spark: SparkSession, job: Job, results: DataFrame) -> None:
         export_csv(successes(read_commit(spark, job.metrics_path, commit)), job.export_path)
 
 
-def layouts(spark: SparkSession, job: Job, names: list[str]) -> list[tuple[list[str], object]]:
-    """The files split into groups that can be read as one table, each with its schema if known.
+@dataclass
+class Group:
+    """Files that are read as one table: of one schema, or of several compatible layouts."""
+
+    names: list[str]
+    schema: object = None
+    layouts: list[Layout] = field(default_factory=list)
 
-    CSV files go together when their header lines are equal, JSON files when all their fields
-    and types are. Files whose first line is blank are read one by one.
+
+def groups_of(spark: SparkSession, job: Job, names: list[str]) -> list[Group]:
+    """The files in groups that can be read as one table.
+
+    JSON and CSV files go together unless a column has two types or spellings. CSV files whose header
+    needs the reader's own rules go with those of the same header, files whose first line is blank alone.
     """
     if job.schema is not None:
-        return [(names, job.schema)]
+        return [Group(names, job.schema)]
     if job.file_format not in files_source.TEXT_FORMATS:
-        return parquet_layouts(spark, job, names)
-    if str(dict(job.options or {}).get("header", True)).lower() == "false" and job.file_format == "csv":
-        return [(names, None)]
-    csv = job.file_format == "csv"
-    discover = files_source.first_lines if csv else files_source.json_schemas
+        return parquet_groups(spark, job, names)
+    options = dict(job.options or {})
+    is_csv = job.file_format == "csv"
+    if is_csv and str(options.get("header", True)).lower() == "false":
+        return [Group(names)]
+    discover = files_source.first_lines if is_csv else files_source.json_schemas
     found = discover(spark, paths_of(job, names))
-    known = {relative_name(path, job.location): key for path, key in found.items()}
-    groups: dict[str, list[str]] = defaultdict(list)
-    for name in names:
-        key = known.get(name)
-        groups[key if key and key.strip() else f"\0{name}"].append(name)
-    return [
-        (same, None if csv or not key.startswith("STRUCT<") else key)
-        for key, same in groups.items()
-    ]
-
-
-def parquet_layouts(spark: SparkSession, job: Job, names: list[str]) -> list[tuple[list[str], object]]:
+    by_key: dict[str, dict[str, str]] = defaultdict(dict)
+    for path, key in found.items():
+        if key and key.strip():
+            by_key[key][relative_name(path, job.location)] = path
+    layouts, groups = [], []
+    for key, paths in by_key.items():
+        columns = csv_columns(key, options) if is_csv else json_columns(key)
+        if columns is None:
+            groups.append(Group(list(paths), None if is_csv or not key.startswith("STRUCT<") else key))
+        else:
+            layouts.append(Layout(paths, columns))
+    for members in compatible(layouts):
+        own = [n for layout in members for n in layout.paths]
+        groups.append(Group(own, layouts=members))
+    known = {n for paths in by_key.values() for n in paths}
+    return [*groups, *(Group([n]) for n in names if n not in known)]
+
+
+def json_columns(schema: str) -> T.StructType | None:
+    """The fields of a JSON layout, if they are told apart without regard to case."""
+    if not schema.startswith("STRUCT<"):
+        return None
+    columns = T.DataType.fromDDL(schema)
+    return columns if len({n.lower() for n in columns.names}) == len(columns.names) else None
+
+
+def parquet_groups(spark: SparkSession, job: Job, names: list[str]) -> list[Group]:
     """The files by the schema of their footers, which tasks read."""
     found = files_source.parquet_schemas(spark, paths_of(job, names))
     known = {relative_name(path, job.location): key for path, key in found.items()}
     groups: dict[str, list[str]] = defaultdict(list)
     for name in names:
         groups[known.get(name) or f"\0{name}"].append(name)
-    return [(same, None) for same in groups.values()]
+    return [Group(same) for same in groups.values()]
 
 
 def paths_of(job: Job, names: Iterable[str]) -> list[str]:
     return [f"{job.location.rstrip('/')}/{name}" for name in names]
 
 
-def group_inputs(
-    spark: SparkSession, job: Job, names: list[str], schema: object
-) -> tuple[Inputs, DataFrame]:
-    """The prepared rows of files with one layout, and the list of these files."""
-    data = files_source.read_files(spark, paths_of(job, names), job.file_format, schema, job.options)
-    groups = local_table(spark, "file_name string", [(n,) for n in names])
-    by = [files_source.SOURCE_PATH]
-    return prepare(data, job.metrics, by, job.coerce_numeric), groups
+def group_inputs(spark: SparkSession, job: Job, group: Group) -> tuple[Group, DataFrame, Inputs]:
+    """The rows of a group's files, and what its metrics need of them."""
+    paths = paths_of(job, group.names)
+    if group.layouts:
+        data = read_together(spark, group.layouts, paths, job.file_format, job.options or {})
+    else:
+        data = files_source.read_files(spark, paths, job.file_format, group.schema, job.options)
+    return group, data, prepare(data, job.metrics, [files_source.SOURCE_PATH], job.coerce_numeric)

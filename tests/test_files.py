@@ -8,7 +8,7 @@ from tallygauge.sources.files import first_lines, json_schemas, read_files, stru
 from tallygauge.sources.listing import bucket_of, list_files, relative_name
 from tallygauge.sources.manifest import read_manifest
 from tallygauge.sources.manifest import compact_manifest
-from tallygauge.sources.metric_table import compact_metrics, read_failures, read_metrics
+from tallygauge.sources.metric_table import compact_metrics, read_failures, read_metrics, read_results
 from tallygauge.sources.tables import commit_tables, committed, read_rows, write_rows
 
 
@@ -234,7 +234,8 @@ def test_compaction_keeps_the_latest_rows(spark, values, job, tmp_path):
 
 
 def test_many_layouts_take_several_queries(spark, values, job, monkeypatch):
-    monkeypatch.setattr(batch, "LAYOUTS_PER_QUERY", 2)
+    monkeypatch.setattr(batch, "GROUPS_PER_QUERY", 2)
+    job.options = {"comment": "#"}  # an option that leaves headers to the reader
     for i in range(5):
         put(job, f"f{i}.csv", f"id,press,x{i}\n1,400,0\n")
     before = spark.conf.get("spark.sql.shuffle.partitions")
@@ -377,3 +378,40 @@ def test_compaction_stands_before_what_came_meanwhile(spark, tmp_path):
     commit_tables(path, {"rows": rows(2)}, replaced=old)
     assert [(r.n, r["__version"]) for r in read_rows(spark, path).orderBy("__version").collect()] == [(2, 2), (3, 3)]
     assert write_rows(rows(9), path, "w", 1) is None
+
+
+@pytest.mark.parametrize("file_format", ["csv", "json"])
+def test_unlike_files_are_one_table(spark, job, tmp_path, file_format):
+    job.file_format, job.coerce_numeric = file_format, True
+    job.metrics = (
+        size()
+        + on("Completeness", "press,id")
+        + on("DataType", "press")
+        + on("Mean", "id")
+        + on("Entropy", "press")
+        + compliance("p400,both", "press = 400, coalesce(id, press) > 1")
+    )
+    if file_format == "csv":
+        put(job, "a.csv", "id,press,x\n1,400,0\n2,\n")
+        put(job, "b.csv", 'press,"id"\n"7,5",1\n')
+        put(job, "c.csv", "id\n1\nid\n")
+        put(job, "d.csv", "y,press\n1,400\n")
+    else:
+        put(job, "a.json", '{"id": 1, "press": 400, "x": 0}\n{"id": 2}\n')
+        put(job, "b.json", '{"press": 7, "id": 1}\n')
+        put(job, "c.json", '{"id": 1}\n{"id": 5}\n')
+        put(job, "d.json", '{"press": 400, "y": {"z": 1}}\n')
+        put(job, "e.json", '{"press": "text", "id": 3}\n')
+
+    def measured(files, name):
+        own = Job(**{**job.__dict__, "metrics_path": str(tmp_path / f"m-{name}"), "manifest_path": str(tmp_path / f"l-{name}")})
+        own.export_path, own.listing = None, list_files(spark, job.location, job.bucket).where(F.col("file_name").isin(files))
+        run(spark, own)
+        found = read_results(spark, own.metrics_path)
+        return {(r.file_name, r.instance, r.name): (r.value, r.reason) for r in found.collect()}
+
+    files = [r.file_name for r in list_files(spark, job.location).collect()]
+    assert len(batch.groups_of(spark, job, files)) == (1 if file_format == "csv" else 2)
+    alone = {k: v for f in files for k, v in measured([f], f).items()}
+    assert measured(files, "all") == alone
+    assert alone[(f"c.{file_format}", "press", "DataType")] == (None, "unknown column press")
