@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 WINDOW = 13
 PREFIX = 5
 LOT_DOCS = 512
-MOST_LOTS = 4096
+MOST_LOTS = 64
 #: Suffixes sorted at a time; a group with more is sorted in blocks.
 BLOCK = 200_000
 BASE = 0x9E3779B97F4A7C15

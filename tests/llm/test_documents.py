@@ -181,7 +181,7 @@ def plain_substring(rows):
 
 
 @pytest.mark.parametrize("lots", [512, 7])
-@pytest.mark.parametrize("hot", [4096, 1])
+@pytest.mark.parametrize("hot", [64, 1])
 def test_substring_dedup(documents, texts, monkeypatch, lots, hot):
     monkeypatch.setattr(substring, "LOT_DOCS", lots)
     monkeypatch.setattr(substring, "MOST_LOTS", hot)
