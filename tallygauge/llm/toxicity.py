@@ -92,7 +92,8 @@ def sampled(docs: DataFrame, labels: DataFrame, training: Column) -> DataFrame:
     """``doc_id``, ``toxic`` and ``text`` of the labelled texts to learn from."""
     known = labels.where(F.col("toxic").isNotNull() & training).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_ROWS)
-    texts = documents_only(docs).join(chosen, "doc_id").groupBy("doc_id", "toxic").agg(F.max("text").alias("text"))
+    # The sample is at most MOST_ROWS ids, so they go to the texts and the texts stay where they are.
+    texts = documents_only(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.max("text").alias("text"))
     return saved(texts, "labelled")
 
 
