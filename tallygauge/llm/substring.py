@@ -9,8 +9,8 @@ make up the maximal repeats.
    hashes are lowest, so equal windows take it at the same place and one prefix serves several
    consecutive windows (about one prefix per five words). Prefixes are counted; one that is in a
    single document is a leaf, and its windows never leave their task.
-2. *Groups.* The windows of a shared prefix go to its group as one stretch of text. A prefix that more
-   than ``MOST_LOTS`` lots share is too frequent for one group's memory: it is lengthened to the whole
+2. *Groups.* The windows of a shared prefix go to its group as one stretch of text. A prefix of more
+   than ``MOST_DOCS`` documents is too frequent for one group's memory: it is lengthened to the whole
    window, so such a group has one node. Before that each lot keeps, of equal windows, only those of
    its smallest document: a passage in a third of all documents is one row per lot, not per document.
 3. *Subtrees.* A group's suffixes are sorted; neighbours with ``WINDOW`` equal words are one node,
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 WINDOW = 13
 PREFIX = 5
 LOT_DOCS = 512
-MOST_LOTS = 64
+MOST_DOCS = 4096
 #: Suffixes sorted at a time; a group with more is sorted in blocks.
 BLOCK = 200_000
 BASE = 0x9E3779B97F4A7C15
@@ -106,18 +106,19 @@ class Lot:
 
 
 def prefixes_of_lot(table: pa.Table) -> pa.Table:
-    """``h`` of each prefix, and whether several documents of the lot have it."""
+    """``h`` of each prefix and how many documents of the lot have it."""
     found = [(np.unique(h), doc_id) for _, doc_id, h, _ in Lot(table).windows()]
     if not found:
-        return pa.table({"lot": pa.array([], pa.int64()), "h": pa.array([], pa.int64()), "several": pa.array([], pa.bool_())})
+        return pa.table({n: pa.array([], t) for n, t in (("lot", pa.int64()), ("h", pa.int64()), ("docs", pa.int32()))})
     every = np.concatenate([h for h, _ in found])
     doc = np.repeat([d for _, d in found], [len(h) for h, _ in found])
     order = np.lexsort((doc, every))
     every, doc = every[order], doc[order]
     first = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
-    several = doc[np.append(first[1:], len(doc)) - 1] != doc[first]
+    another = np.append(True, (every[1:] != every[:-1]) | (doc[1:] != doc[:-1]))
+    docs = np.add.reduceat(another.astype(np.int32), first)
     lot = np.full(len(first), table["lot"][0].as_py())
-    return pa.table({"lot": lot, "h": every[first].view(np.int64), "several": several})
+    return pa.table({"lot": lot, "h": every[first].view(np.int64), "docs": pa.array(docs, pa.int32())})
 
 
 SUFFIX = "key bigint, doc_id bigint, lot bigint, row int, pos int, n int, words binary"
@@ -255,11 +256,9 @@ def in_lots(docs: DataFrame) -> DataFrame:
 
 def removed_words(lots: DataFrame) -> DataFrame:
     """``lot``, ``row``, ``pos`` and ``n``: the stretches of words that go."""
-    found = lots.groupBy("lot").applyInArrow(prefixes_of_lot, "lot bigint, h bigint, several boolean")
-    same = Window.partitionBy("h")
-    counted = found.select("lot", "h", F.count("*").over(same).alias("n_lots"), F.max("several").over(same).alias("several"))
-    shared = counted.where((F.col("n_lots") > 1) | F.col("several"))
-    shared = shared.select("lot", "h", (F.col("n_lots") > MOST_LOTS).alias("hot"))
+    found = lots.groupBy("lot").applyInArrow(prefixes_of_lot, "lot bigint, h bigint, docs int")
+    counted = found.select("lot", "h", F.sum("docs").over(Window.partitionBy("h")).alias("n"))
+    shared = counted.where("n > 1").select("lot", "h", (F.col("n") > MOST_DOCS).alias("hot"))
     suffixes = lots.groupBy("lot").cogroup(shared.groupBy("lot")).applyInArrow(suffixes_of_lot, SUFFIX)
     groups = suffixes.repartition("key").sortWithinPartitions("key", "doc_id")
     return groups.mapInArrow(removed_of_groups, "lot bigint, row int, pos int, n int")

@@ -181,10 +181,10 @@ def plain_substring(rows):
 
 
 @pytest.mark.parametrize("lots", [512, 7])
-@pytest.mark.parametrize("hot", [64, 1])
+@pytest.mark.parametrize("hot", [4096, 3])
 def test_substring_dedup(documents, texts, monkeypatch, lots, hot):
     monkeypatch.setattr(substring, "LOT_DOCS", lots)
-    monkeypatch.setattr(substring, "MOST_LOTS", hot)
+    monkeypatch.setattr(substring, "MOST_DOCS", hot)
     found = by_id(substring.substring_dedup(documents), "n_words", "n_removed", "kept_sha256")
     assert found == plain_substring(list(enumerate(texts)))
 
