@@ -18,6 +18,7 @@ from tallygauge.functions.local import local_table
 FORMATS = ("csv", "json", "parquet")
 TEXT_FORMATS = ("csv", "json")
 SOURCE_PATH = "__source_path"
+LONGEST_HEADER = 1 << 20
 MAX_PARTITION_BYTES = "spark.sql.files.maxPartitionBytes"
 
 
@@ -57,13 +58,16 @@ def first_lines(spark: SparkSession, paths: Iterable[str]) -> dict[str, str]:
 
     For this job a file is one task, whatever its size, and the task stops after its first batch
     of lines, so almost nothing is read. One line per file comes to the driver, which planned
-    the same list of files.
+    the same list of files; a line of more than ``LONGEST_HEADER`` bytes is no header to tell and comes blank.
     """
 
     def first_row(batches):
         for batch in batches:
             if batch.num_rows:
-                yield batch.slice(0, 1)
+                path, line = (batch.column(i)[:1] for i in range(2))
+                if len((line[0].as_py() or "").encode()) > LONGEST_HEADER:
+                    line = pa.array([""])
+                yield pa.RecordBatch.from_arrays([path, line], batch.schema.names)
                 return
 
     one_task_per_file = {
