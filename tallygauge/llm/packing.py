@@ -21,7 +21,6 @@ from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -166,16 +165,17 @@ def packed(parts: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
     full = parts.where(F.col("length") == sequence)
     rest = parts.where(F.col("length") != sequence)
     groups = max(1, -(-rest.count() // PIECES_PER_GROUP))
-    names = [*rest.drop("uid").columns, "sequence_id", "offset"]
     kind = ", ".join(f"{c} {t}" for c, t in rest.drop("uid").dtypes) + ", sequence_id bigint, offset bigint"
 
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("uid")
+    def pack(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("uid")
         number, offset = placed(rows["length"].to_numpy(), sequence)
-        return rows.assign(sequence_id=(int(rows["lot"].iloc[0]) << 32) + number, offset=offset)[names]
+        number += rows["lot"][0].as_py() << 32
+        own = rows.drop_columns(["uid", "lot"])
+        return own.append_column("sequence_id", pa.array(number)).append_column("offset", pa.array(offset))
 
     lot = F.pmod(F.xxhash64("uid"), F.lit(groups)).alias("lot")
-    shared = rest.select("*", lot).groupBy("lot").applyInPandas(pack, kind)
+    shared = rest.select("*", lot).groupBy("lot").applyInArrow(pack, kind)
     alone = full.withColumns({"sequence_id": -1 - F.col("uid"), "offset": F.lit(0).cast("bigint")})
     return shared.unionByName(alone.select(shared.columns))
 

@@ -271,6 +271,12 @@ def test_packing(documents, texts, tokenizer):
     assert all(list(r.ids) == ids_of[r.doc_id][r.start : r.start + r.length] for r in whole)
 
 
+def test_packing_keeps_large_ids_beside_null(spark):
+    rows = [(None, "a b"), ((1 << 60) + 1, "c d"), ((1 << 60) + 2, None)]
+    found = packing.pack_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id for r in found} == {r[0] for r in rows}
+
+
 def test_packing_odd_rows(odd_documents, no_documents):
     assert packing.pack_documents(odd_documents).count() == odd_documents.count()
     assert packing.pack_documents(no_documents).count() == 0
