@@ -10,7 +10,8 @@ size, Spark adds them up, and the top of each language is a window with a limit
 before it shuffles. Only profiles come to the driver: ``PROFILE`` rows per language.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0, and so is every
-text where nothing can be learned. Of languages at equal distance the first by name wins. Rows are
+text where nothing can be learned; ``with_language`` drops the former and keeps the latter, whose
+missing ``lang`` stays null. Of languages at equal distance the first by name wins. Rows are
 judged one by one, so repeated rows get equal results; other columns are passed over.
 """
 
@@ -81,9 +82,15 @@ class Profiles:
         return Profiles(names, values, ranks)
 
     def predict(self, text: str | None) -> tuple[str, float]:
+        return self.judged(text)[:2]
+
+    def judged(self, text: str | None) -> tuple[str, float, bool]:
+        """The language of a text, its score, and whether the text has a letter."""
         c = letters(text or "")
-        if len(c) < 3 or not self.names:
-            return UNDETERMINED, 0.0
+        if len(c) < 3:
+            return UNDETERMINED, 0.0, False
+        if not self.names:
+            return UNDETERMINED, 0.0, True
         own = ranked(grams(c))
         at = np.minimum(np.searchsorted(self.grams, own), len(self.grams) - 1)
         known = self.grams[at] == own
@@ -92,10 +99,10 @@ class Profiles:
         distance = away.sum(axis=0) + PROFILE * (len(own) - known.sum())
         best = int(distance.argmin())
         if len(self.names) == 1:
-            return self.names[best], 1.0
+            return self.names[best], 1.0, True
         second = float(np.partition(distance, 1)[1])
         total = second + float(distance[best])
-        return self.names[best], second / total if total else 0.5
+        return self.names[best], second / total if total else 0.5, True
 
 
 def counted(rows: DataFrame) -> DataFrame:
@@ -136,16 +143,16 @@ def learn(docs: DataFrame, training: Column) -> Profiles:
 
 
 def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, judged from ``text`` alone."""
+    """``docs`` with ``lang_pred``, ``score`` and ``has_letter``, judged from ``text`` alone."""
     held = F.struct(*docs.columns).alias("row")
     rows = docs.select(held, F.col("text").cast("string").alias("own"))
-    kind = f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double"
+    kind = f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double, has_letter boolean"
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [profiles.predict(t.as_py()) for t in batch.column(1)]
-            columns = [pa.array([f[0] for f in found], "string"), pa.array([f[1] for f in found], "float64")]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["row", "lang_pred", "score"])
+            found = [profiles.judged(t.as_py()) for t in batch.column(1)]
+            columns = [pa.array([f[i] for f in found], t) for i, t in enumerate(("string", "float64", "bool"))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["row", "lang_pred", "score", "has_letter"])
 
     return rows.mapInArrow(judge, kind)
 
@@ -163,7 +170,7 @@ def language_id(docs: DataFrame) -> DataFrame:
 
 
 def with_language(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose language cannot be told; a missing ``lang`` is filled in."""
-    judged = identify(docs, learn(docs, F.lit(True))).where(F.col("lang_pred") != UNDETERMINED)
-    lang = F.coalesce("row.lang", "lang_pred")
+    """``docs`` without the rows whose text has no letter; a missing ``lang`` is filled in where one can be learned."""
+    judged = identify(docs, learn(docs, F.lit(True))).where("has_letter")
+    lang = F.coalesce("row.lang", F.nullif("lang_pred", F.lit(UNDETERMINED)))
     return judged.select(*(lang.alias(c) if c == "lang" else F.col("row")[c].alias(c) for c in docs.columns))

@@ -351,6 +351,18 @@ def test_language_id(documents, no_documents, odd_documents, texts):
     assert kept.where("lang is null").count() == 0
 
 
+def test_language_stage_keeps_texts_where_nothing_is_learned(spark):
+    kind = "doc_id bigint, text string, lang string"
+    rows = [(1, "plain words", None), (2, "\u0441\u043b\u043e\u0432\u043e", None), (3, "12 !?", None), (4, "", None), (5, None, None)]
+    labelled = [(6, "12", "en"), (7, None, "de")]  # labels without a letter teach nothing
+    for own in (rows, rows + labelled):
+        kept = language_id.with_language(spark.createDataFrame(own, kind)).collect()
+        assert sorted((r.doc_id, r.text, r.lang) for r in kept) == rows[:2]
+    und = [(1, "plain words", "und"), (2, "plain words", None)]  # a label that is called so
+    kept = language_id.with_language(spark.createDataFrame(und, kind)).collect()
+    assert sorted(map(tuple, kept)) == und
+
+
 # --- mixing -------------------------------------------------------------------------------
 
 
