@@ -1,11 +1,16 @@
 """SpotSigs fingerprints: chains of content words after common words.
 
 A spot is a common word (an anchor), or the start of a line; its signature is the anchor and the next ``CHAIN``
-content words, common words passed over. A text's fingerprint is the set of its signatures, as
+content words, common words passed over. A content word that no spot's chain reaches has a signature of its own,
+it and the ``CHAIN`` content words before it; so has a common word after the last content word, with the words
+before it. So every word of a text is in a signature, in any language. A text's fingerprint is the set of its signatures, as
 sorted 32-bit hashes in base64. Two sets are compared by their Jaccard likeness. For a least
 likeness, sets are partitioned by length so that only sets of the same or the neighbouring partition
 can reach it; the comparison stops as soon as the rest of the sets cannot reach it either.
 
+Anchors are the listed words and the ``MOST_ANCHORS`` most frequent words of all documents, but no more of these than
+one in ``WORDS_AN_ANCHOR`` different words: where there are few words, being frequent does not make one common.
+
 Documents are compared with their successor by ``doc_id``. Ranges of ``doc_id`` are dealt to
 tasks, sorted, and run through in order; the first document of each range is also sent to the
 range before it, so no order over all documents goes through one task. The bounds of the ranges,
@@ -23,6 +28,7 @@ import hashlib
 import re
 from base64 import b64decode, b64encode
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,12 +37,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallygauge.llm.storage import documents_only
+from tallygauge.llm.storage import documents_only, saved
 
 CHAIN = 2
 RANGES_PER_PARTITION = 4
+#: Most frequent words that are anchors at most, and different words for each of them at least.
+MOST_ANCHORS = 256
+WORDS_AN_ANCHOR = 100
+#: Different words that a task counts at a time.
+WORDS_AT_ONCE = 200_000
 WORD = re.compile(r"\w+|\n")
-#: Common words of the languages at hand.
+#: Common words that are anchors however seldom they are.
 ANCHORS = frozenset(
     (
         "a an and are as at be by for from has he in is it of on or that the there this to was were will with "
@@ -47,29 +58,62 @@ ANCHORS = frozenset(
 )
 
 
-def signatures(text: str | None) -> set[str]:
-    """The anchor and chain at every spot of a text."""
+def signatures(text: str | None, anchors: frozenset[str] = ANCHORS) -> set[str]:
+    """The anchor and chain at every spot of a text, and the chains of the words that these do not reach."""
     own = (text or "").lower()
     tokens = WORD.findall("\n" + own)
-    content = [i for i, t in enumerate(tokens) if t != "\n" and t not in ANCHORS]
-    words = [tokens[i] for i in content]
-    found, after, lines = set(), 0, 0
+    every = [t for t in tokens if t != "\n"]
+    words = [t for t in every if t not in anchors]
+    found, after, reached, lines = set(), 0, 0, 0
     for i, token in enumerate(tokens):
-        while after < len(content) and content[after] <= i:
-            after += 1
         if token == "\n":
             lines += 1
             if i + 1 < len(tokens) and tokens[i + 1] != "\n":
                 found.add(" ".join(("^", *(words[after : after + CHAIN] or tokens[i + 1 : i + 1 + CHAIN]))))
-        elif token in ANCHORS and after < len(words):
+                reached = after + CHAIN
+        elif token not in anchors:
+            if after >= reached:
+                found.add(" ".join(words[max(0, after - CHAIN) : after + 1]))
+            after += 1
+        elif after < len(words):
             found.add(" ".join((token, *words[after : after + CHAIN])))
-    if lines == len(tokens) and own.strip():
+            reached = after + CHAIN
+        elif i > lines:
+            found.add(" ".join(every[max(0, i - lines - CHAIN) : i - lines + 1]))
+    if not every and own.strip():
         found.add(own.strip())
     return found
 
 
-def fingerprint(text: str | None) -> str:
-    hashes = {xxhash.xxh32_intdigest(s.encode("utf-8", "surrogatepass")) for s in signatures(text)}
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``word`` and ``n`` over all texts of ``docs``."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Counter()
+        for batch in batches:
+            for text in batch.column(0):
+                held.update(WORD.findall((text.as_py() or "").lower()))
+                if len(held) >= WORDS_AT_ONCE:
+                    yield counts(held)
+                    held = Counter()
+        yield counts(held)
+
+    def counts(held: Counter) -> pa.RecordBatch:
+        held.pop("\n", None)
+        return pa.RecordBatch.from_arrays([pa.array([*held], "string"), pa.array([*held.values()], "int64")], ["word", "n"])
+
+    return docs.select("text").mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def anchors_of(docs: DataFrame) -> frozenset[str]:
+    """The listed anchors and the most frequent words of ``docs``; words of equal count by name."""
+    counts = saved(word_counts(docs), "words")
+    most = min(MOST_ANCHORS, counts.count() // WORDS_AN_ANCHOR)
+    return ANCHORS.union(r.word for r in counts.orderBy(F.desc("n"), "word").limit(most).collect())
+
+
+def fingerprint(text: str | None, anchors: frozenset[str] = ANCHORS) -> str:
+    hashes = {xxhash.xxh32_intdigest(s.encode("utf-8", "surrogatepass")) for s in signatures(text, anchors)}
     return b64encode(np.array(sorted(hashes), dtype="<u4").tobytes()).decode()
 
 
@@ -115,6 +159,7 @@ def compared(docs: DataFrame, least: float = 0.0) -> DataFrame:
     own = documents_only(docs)
     bounds = range_bounds(own)
     starts = set(bounds)
+    anchors = anchors_of(own)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,7 +186,7 @@ def compared(docs: DataFrame, least: float = 0.0) -> DataFrame:
                 if to.as_py() != part:
                     part, held = to.as_py(), None
                 elif held is not None:
-                    print_ = fingerprint(new[1])
+                    print_ = fingerprint(new[1], anchors)
                     rows.append(row(held, new[1], print_))
                     new = (*new[:2], print_)
                 held = new if kind.as_py() < 2 else None
@@ -151,9 +196,9 @@ def compared(docs: DataFrame, least: float = 0.0) -> DataFrame:
 
     def row(held: tuple, following: str, next_print: str) -> tuple:
         doc_id, text, print_ = held
-        print_ = fingerprint(text) if print_ is None else print_
+        print_ = fingerprint(text, anchors) if print_ is None else print_
         changed = edited(text, following)
-        edited_print = fingerprint(changed)
+        edited_print = fingerprint(changed, anchors)
         a, b, c = map(hashes_of, (print_, edited_print, next_print))
         digest = hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest()
         return doc_id, len(text), digest, print_, edited_print, likeness(a, b, least), likeness(a, c, least)

@@ -158,6 +158,35 @@ def test_spotsigs_odd_rows(spark, odd_documents, no_documents):
     assert nulls.count() == 2
 
 
+def test_spotsigs_every_word_enters_the_fingerprint(texts):
+    other = "\u043a\u043e\u0442 \u043f\u0451\u0441 \u0434\u043e\u043c \u043b\u0435\u0441 \u0441\u043e\u043d \u043c\u0438\u0440"
+    common = "the of and is in to the of and"
+    for text in (*filter(None, texts), other, common, f"{other} {common}", f"{common}\n{common}", f"{other}\n\n{other} the"):
+        own = spotsigs.WORD.findall(text.lower())
+        in_one = {w for s in spotsigs.signatures(text) for w in s.split()}
+        assert {w for w in own if w != "\n"} <= in_one, text
+    first, second = f"{other} a1 a2 a3 a4 a5 a6", f"{other[:7]} b1 b2 b3 b4 b5 b6"
+    assert spotsigs.likeness(*(spotsigs.hashes_of(spotsigs.fingerprint(t)) for t in (first, second))) < 0.2
+    for longer in (f"z1 z2 {other} z3", f"{other} z4 z5"):  # words around a stretch leave its chains
+        assert len(spotsigs.signatures(other) & spotsigs.signatures(longer)) >= 4
+    assert spotsigs.signatures("one two three four five") == {"^ one two", "one two three", "two three four", "three four five"}
+
+
+def test_spotsigs_learns_anchors(spark, documents, texts, no_documents, monkeypatch):
+    monkeypatch.setattr(spotsigs, "WORDS_AT_ONCE", 50)
+    expected = Counter(w for t in texts for w in spotsigs.WORD.findall((t or "").lower()) if w != "\n")
+    assert {r.word: r.n for r in spotsigs.word_counts(documents).collect()} == expected
+    rows = [(i, " \u0438 ".join(f"s{i % 9}x{k}" for k in range(i, i + 30))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    anchors = spotsigs.anchors_of(docs)
+    assert "\u0438" in anchors and spotsigs.ANCHORS < anchors
+    different = len({w for _, t in rows for w in t.split()})
+    assert len(anchors - spotsigs.ANCHORS) <= different // spotsigs.WORDS_AN_ANCHOR
+    found = by_id(spotsigs.compared(docs), "fingerprint")
+    assert found == {i: (spotsigs.fingerprint(t, anchors),) for i, t in rows}
+    assert spotsigs.anchors_of(no_documents) == spotsigs.ANCHORS
+
+
 # --- substrings ---------------------------------------------------------------------------
 
 
