@@ -4,9 +4,10 @@ A spot is a common word (an anchor), or the start of a line; its signature is th
 content words, common words passed over. A content word that no spot's chain reaches has a signature of its own,
 it and the ``CHAIN`` content words before it; so has a common word after the last content word, with the words
 before it. So every word of a text is in a signature, in any language. A text's fingerprint is the set of its signatures, as
-sorted 32-bit hashes in base64. Two sets are compared by their Jaccard likeness. For a least
-likeness, sets are partitioned by length so that only sets of the same or the neighbouring partition
-can reach it; the comparison stops as soon as the rest of the sets cannot reach it either.
+sorted 32-bit hashes in base64. Two sets are compared by their Jaccard likeness. With a least
+likeness above 0, a pair whose lengths rule it out is not compared: sets that reach it are in the same or
+neighbouring partitions of length. That is a test of a pair in hand; fingerprints are not dealt by partition
+in Spark and not searched for, and two sets that pass are compared whole.
 
 Anchors are the listed words and the ``MOST_ANCHORS`` most frequent words of all documents, but no more of these than
 one in ``WORDS_AN_ANCHOR`` different words: where there are few words, being frequent does not make one common.
