@@ -119,7 +119,10 @@ def metric_values(metric: Metric) -> list[tuple[str, str, str]]:
             values.append((f"Histogram.ratio.{c}", f"try_divide({cases}, {ROWS})", "empty"))
         return values
     if kind == "ApproxCountDistinct":
-        return [(kind, f"coalesce(hll_sketch_estimate({col('sketch')}), 0)", "empty")]
+        # A sketch filled in one task is estimated by another rule than a merged one. Its union with itself
+        # is a merged one, so the estimate is the same however the rows were dealt to tasks.
+        merged = f"hll_union({col('sketch')}, {col('sketch')})"
+        return [(kind, f"coalesce(hll_sketch_estimate({merged}), 0)", "empty")]
     if kind == "ApproxQuantile":
         ranks = col("ranks")
         quantile = f"kll_sketch_get_quantile_double({ranks}, {metric.quantile}D)"

@@ -23,12 +23,21 @@ from tallygauge.sources import files as files_source
 from tallygauge.sources.listing import bucket_of, file_name, list_files, relative_name
 from tallygauge.sources.manifest import (
     KEYS,
+    compact_manifest,
     pending_files,
     read_log,
     register,
     store_processed,
 )
-from tallygauge.sources.metric_table import RESULT_DDL, export_csv, read_commit, upsert_results
+from tallygauge.sources.metric_table import (
+    RESULT_DDL,
+    compact_metrics,
+    export_csv,
+    read_commit,
+    read_results,
+    upsert_results,
+)
+from tallygauge.sources.tables import compact_when_many
 from tallygauge.sources.workspace import new_folder
 from tallygauge.spec import Metric, distinct_metrics, from_parameters
 
@@ -42,6 +51,8 @@ GROUPS_PER_QUERY = 16
 # small, but it does not split large ones, so too many is the safe side.
 BYTES_PER_PARTITION = 128 << 20
 PARTITIONS = "spark.sql.shuffle.partitions"
+# Commits of a stored table before a run replaces them by one.
+MOST_COMMITS = 64
 
 
 @dataclass
@@ -91,7 +102,10 @@ def run(spark: SparkSession, job: Job) -> int:
     waiting = waiting.join(listed.select(*KEYS, "length", "modified"), KEYS)
     place = new_folder(spark, "waiting")
     waiting.write.parquet(place)
-    return process_rounds(spark, job, spark.read.schema(waiting.schema).parquet(place))
+    done = process_rounds(spark, job, spark.read.schema(waiting.schema).parquet(place))
+    compact_when_many(spark, job.manifest_path, MOST_COMMITS, compact_manifest)
+    compact_when_many(spark, job.metrics_path, MOST_COMMITS, compact_metrics)
+    return done
 
 
 def process_rounds(spark: SparkSession, job: Job, waiting: DataFrame) -> int:
@@ -125,26 +139,53 @@ def process_files(spark: SparkSession, job: Job, sizes: dict[str, int]) -> dict[
     readable = [name for name in sizes if name not in empty and name not in failed]
     if empty:
         store(spark, job, empty_results(spark, job, empty))
-    failed |= process_or_split(spark, job, readable)
+    failed |= process_readable(spark, job, readable)
     if failed:
         rows = [(job.bucket, n, "Dataset", "*", "Size", None, reason) for n, reason in failed.items()]
-        upsert_results(local_table(spark, RESULT_DDL, rows), job.metrics_path)
+        # What a file was found to hold earlier is not replaced by a failure to read it again.
+        known = successes(read_results(spark, job.metrics_path)).where("instance = '*' AND name = 'Size'")
+        upsert_results(local_table(spark, RESULT_DDL, rows).join(known, KEYS, "left_anti"), job.metrics_path)
     return failed
 
 
-def process_or_split(spark: SparkSession, job: Job, names: list[str]) -> dict[str, str]:
-    """Measure files together; where that fails, each half by itself, down to the files that fail."""
-    if not names:
-        return {}
+def process_readable(spark: SparkSession, job: Job, names: list[str]) -> dict[str, str]:
+    """Measure files together; the names and reasons of those that cannot be read.
+
+    Only reading is isolated. If the files can all be read, what failed is computing, storing or
+    exporting (or a cluster that lost its executors): the error is raised and the files stay pending.
+    """
     try:
+        process_groups(spark, job, names)
+        return {}
+    except (PySparkException, Py4JJavaError):
+        failed = unreadable(spark, job, names)
+        if not failed:
+            raise
+        process_groups(spark, job, [n for n in names if n not in failed])
+        return failed
+
+
+def process_groups(spark: SparkSession, job: Job, names: list[str]) -> None:
+    if names:
         for some in batched(groups_of(spark, job, names), GROUPS_PER_QUERY):
             process(spark, job, some)
+
+
+def unreadable(spark: SparkSession, job: Job, names: list[str]) -> dict[str, str]:
+    """The files that cannot be read, with reasons: they are read and nothing is stored.
+
+    Halves of what fails are read by themselves, so few bad files take few reads.
+    """
+    try:
+        for group in groups_of(spark, job, names):
+            _, _, inputs = group_inputs(spark, job, group)
+            inputs.base.write.format("noop").mode("overwrite").save()
         return {}
     except (PySparkException, Py4JJavaError) as error:
         if len(names) == 1:
             return {names[0]: f"cannot be read: {problem(error)}"}
         half = len(names) // 2
-        return process_or_split(spark, job, names[:half]) | process_or_split(spark, job, names[half:])
+        return unreadable(spark, job, names[:half]) | unreadable(spark, job, names[half:])
 
 
 def problem(error: Exception) -> str:

@@ -2,9 +2,11 @@
 
 A write puts its rows into a folder of its own and then creates one small commit file, whose name is
 the next version. Creating it fails if another writer took the version, who then takes the one
-after, so versions are unique and grow. Readers read what is committed and nothing else; several
+after, so versions are unique and grow where the file system creates a file only once (HDFS, local
+disks; object stores with conditional writes). Readers read what is committed and nothing else; several
 tables that belong together are in one commit. A batch that says who writes it is stored once,
-however often it is replayed. A compaction is a commit that stands for all up to a version.
+however often it is replayed. A compaction is a commit that stands for the versions it lists, which
+end before the first one that is still being written.
 """
 
 from __future__ import annotations
@@ -30,20 +32,20 @@ ROWS = "rows"
 
 @dataclass(frozen=True)
 class Commit:
-    """``tables`` has the folder and schema per table; ``upto`` the last version it replaces.
+    """``tables`` has the folder and schema per table; ``replaced`` the versions it stands for.
 
     ``batches`` is the last batch of every writer that it or what it replaces has stored.
     """
 
     version: int
     tables: dict[str, list[str]]
-    upto: int = 0
+    replaced: list[int] = field(default_factory=list)
     batches: dict[str, int] = field(default_factory=dict)
 
     @property
     def order(self) -> int:
         """Where its rows stand: a compaction's stand before what was committed meanwhile."""
-        return self.upto or self.version
+        return max(self.replaced, default=self.version)
 
 
 def hadoop(spark: SparkSession, path: str):
@@ -79,19 +81,27 @@ def create_text(spark: SparkSession, path: str, text: str) -> bool:
 
 def committed(spark: SparkSession, path: str) -> list[Commit]:
     """The commits that count, in order. A table is compacted long before these are many."""
+    return commits_and_gap(spark, path)[0]
+
+
+def commits_and_gap(spark: SparkSession, path: str) -> tuple[list[Commit], int | None]:
+    """The commits that count and the first version whose writer has not ended."""
     place, system = hadoop(spark, f"{path.rstrip('/')}/{COMMITS}")
     if not system.exists(place):
-        return []
-    files = [s.getPath() for s in system.listStatus(place)]
-    found = []
-    for file in sorted((f for f in files if f.getName().isdigit()), key=lambda f: int(f.getName()), reverse=True):
-        text = read_text(spark, file.toString())
+        return [], None
+    files = {int(f.getName()): f for f in (s.getPath() for s in system.listStatus(place)) if f.getName().isdigit()}
+    found, gone, gap = [], set(), None
+    for version in sorted(files, reverse=True):
+        if version in gone:
+            continue
+        text = read_text(spark, files[version].toString())
         if not text.endswith("\n"):
-            continue  # its writer has not ended yet
-        commit = Commit(version=int(file.getName()), **json.loads(text))
-        if not any(commit.version <= newer.upto for newer in found):
-            found.append(commit)
-    return sorted(found, key=lambda c: (c.order, c.version))
+            gap = version
+            continue
+        commit = Commit(version=version, **json.loads(text))
+        found.append(commit)
+        gone.update(commit.replaced)
+    return sorted(found, key=lambda c: (c.order, c.version)), gap
 
 
 def stored_batches(commits: Iterable[Commit]) -> dict[str, int]:
@@ -131,9 +141,9 @@ def commit_tables(
     batches = stored_batches(replaced or [])
     if batch is not None:
         batches[writer] = batch
-    upto = max((c.version for c in replaced or []), default=0)
+    stands_for = sorted({v for c in replaced or [] for v in (c.version, *c.replaced)})
     while True:
-        commit = Commit(next_version(spark, path), written, upto, batches)
+        commit = Commit(next_version(spark, path), written, stands_for, batches)
         content = {k: v for k, v in asdict(commit).items() if k != "version"}
         if create_text(spark, f"{path}/{COMMITS}/{commit.version:012d}", json.dumps(content) + "\n"):
             return commit
@@ -175,14 +185,24 @@ def read_rows(spark: SparkSession, path: str, schema: T.StructType | None = None
 
 
 def compact_tables(spark: SparkSession, path: str, reduced: Mapping[str, Callable[[DataFrame], DataFrame]]) -> None:
-    """Replace all that is committed by one commit with the reduced rows of every table."""
-    commits = committed(spark, path)
+    """Replace what is committed by one commit with the reduced rows of every table.
+
+    Commits after one that is still being written stay as they are, so that its rows keep their place.
+    """
+    commits, gap = commits_and_gap(spark, path)
+    commits = [c for c in commits if gap is None or c.version < gap]
     have = {t for c in commits for t in c.tables}
     tables = {t: f(read_commits(spark, path, commits, t)).drop(VERSION) for t, f in reduced.items() if t in have}
     if len(commits) > 1:
         commit_tables(path, tables, replaced=commits)
 
 
+def compact_when_many(spark: SparkSession, path: str, most: int, compact: Callable[[SparkSession, str], None]) -> None:
+    """Compact a table that has more than ``most`` commits."""
+    if len(committed(spark, path)) > most:
+        compact(spark, path)
+
+
 def latest_rows(rows: DataFrame, keys: Iterable[str], version: str = VERSION) -> DataFrame:
     """The row with the highest version of every key.
 

@@ -1,3 +1,6 @@
+import gzip
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +12,7 @@ from tallygauge.sources.listing import bucket_of, list_files, relative_name
 from tallygauge.sources.manifest import read_manifest
 from tallygauge.sources.manifest import compact_manifest
 from tallygauge.sources.metric_table import compact_metrics, read_failures, read_metrics, read_results
-from tallygauge.sources.tables import commit_tables, committed, read_rows, write_rows
+from tallygauge.sources.tables import commit_tables, committed, compact_tables, latest_rows, read_rows, write_rows
 
 
 @pytest.fixture
@@ -380,6 +383,69 @@ def test_compaction_stands_before_what_came_meanwhile(spark, tmp_path):
     assert write_rows(rows(9), path, "w", 1) is None
 
 
+def test_compaction_leaves_what_is_being_written(spark, tmp_path):
+    path, unfinished = str(tmp_path / "t"), tmp_path / "t" / "_commits" / "000000000002"
+    rows = lambda k, n: spark.createDataFrame([(k, n)], "k bigint, n bigint")
+    write_rows(rows(1, 1), path)
+    write_rows(rows(1, 2), path)
+    whole = unfinished.read_text()
+    unfinished.with_name(f".{unfinished.name}.crc").unlink()
+    unfinished.write_text(whole[:-1])
+    write_rows(rows(2, 3), path)
+    compact_tables(spark, path, {"rows": lambda r: latest_rows(r, ["k"])})
+    unfinished.write_text(whole)
+    assert {tuple(r) for r in latest_rows(read_rows(spark, path), ["k"]).collect()} == {(1, 2), (2, 3)}
+    compact_tables(spark, path, {"rows": lambda r: latest_rows(r, ["k"])})
+    assert len(committed(spark, path)) == 1
+    assert {(r.k, r.n) for r in read_rows(spark, path).collect()} == {(1, 2), (2, 3)}
+
+
+def sizes(spark, job):
+    rows = read_results(spark, job.metrics_path).where("name = 'Size'").collect()
+    return {r.file_name: (r.value, r.reason) for r in rows}
+
+
+@pytest.mark.parametrize("step", ["export_path", "metrics_path", "manifest_path"])
+def test_a_failing_store_is_no_unreadable_file(spark, job, tmp_path, step):
+    for i in range(4):
+        put(job, f"f{i}.csv", "id,press\n1,400\n")
+    assert run(spark, job) == 4
+    good = sizes(spark, job)
+    assert set(good.values()) == {(1.0, None)}
+    for i in range(4):
+        put(job, f"f{i}.csv", "id,press\n1,400\n2,7\n")
+    kept = getattr(job, step)
+    (tmp_path / "blocked").write_text("no folder")
+    setattr(job, step, str(tmp_path / "blocked" / "below"))
+    with pytest.raises(Exception):
+        run(spark, job)
+    setattr(job, step, kept)
+    assert all(reason is None for _, reason in sizes(spark, job).values())
+    assert run(spark, job) == 4
+    assert set(sizes(spark, job).values()) == {(2.0, None)}
+
+
+def test_a_file_that_turns_bad_keeps_its_metrics(spark, job):
+    put(job, "good.csv", "id,press\n1,400\n")
+    path = Path(job.location) / "a.csv.gz"
+    path.write_bytes(gzip.compress(b"id,press\n1,400\n2,7\n"))
+    assert run(spark, job) == 2
+    path.write_bytes(b"not compressed at all")
+    assert run(spark, job) == 0
+    assert sizes(spark, job) == {"good.csv": (1.0, None), "a.csv.gz": (2.0, None)}
+    assert states(spark, job)["a.csv.gz"] == "N"
+
+
+def test_a_run_compacts_its_tables(spark, job, monkeypatch):
+    monkeypatch.setattr(batch, "MOST_COMMITS", 3)
+    for i in range(4):
+        put(job, f"f{i}.csv", "id,press\n" + "1,400\n" * (i + 1))
+        assert run(spark, job) == 1
+    assert len(committed(spark, job.manifest_path)) <= 3
+    assert sizes(spark, job) == {f"f{i}.csv": (i + 1.0, None) for i in range(4)}
+    assert run(spark, job) == 0
+
+
 @pytest.mark.parametrize("file_format", ["csv", "json"])
 def test_unlike_files_are_one_table(spark, job, tmp_path, file_format):
     job.file_format, job.coerce_numeric = file_format, True

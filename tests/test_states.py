@@ -66,6 +66,17 @@ def test_sketches_merge_within_their_error(spark, values):
     assert merged[("d", "ApproxQuantile-0.5")] == pytest.approx(2_500, abs=150)
 
 
+@pytest.mark.parametrize("tasks", [1, 4, 16])
+def test_estimates_do_not_depend_on_tasks_or_merging(spark, values, tasks):
+    df = spark.range(0, 60_000, numPartitions=tasks).select(
+        (F.col("id") % 7).alias("file"), (F.pmod(F.xxhash64("id"), F.lit(2_000))).alias("i")
+    )
+    spec = on("ApproxCountDistinct", "i")
+    direct = values(profile(df, spec).metrics)
+    assert direct == values(results_from_states(compute_states(df, spec, ["file"]), spec))
+    assert direct == values(profile(df.coalesce(1), spec).metrics)
+
+
 def test_sketches_of_all_null_columns(spark, values):
     df = spark.createDataFrame([(1, None), (2, None)], "file int, d double")
     spec = on("ApproxCountDistinct", "d") + approx_quantile("d", 0.5)
