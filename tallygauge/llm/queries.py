@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallygauge.llm import (
+    alignment,
     chat_format,
     language_id,
     mixing,
     packing,
     quality,
     simhash,
+    spelling,
     spotsigs,
     substring,
+    suffix_dedup,
     toxicity,
     warc_zip,
 )
@@ -66,6 +69,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -78,6 +93,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_weighted_mix": op9_weighted_mix,
         "op10_simhash": op10_simhash,
+        "op11_token_alignment": op11_token_alignment,
+        "op12_suffix_dedup": op12_suffix_dedup,
+        "op13_spelling_variants": op13_spelling_variants,
     }
 
 
