@@ -4,14 +4,15 @@ A window is ``WINDOW`` bytes of one text; every byte of a window that also stand
 
 1. *Anchors.* A window's anchor is the gram of ``GRAM`` bytes in it with the lowest hash, so equal windows have equal
    anchors. Consecutive windows with one anchor are a stretch. Lots of documents send the hash of each anchor they have to a count.
-2. *Stretches* whose anchor stands elsewhere too leave their lot, once for all copies in it. Stretches that are equal as a whole (128-bit
-   digests) are repeated as a whole. Different ones with the same anchor go on, one of each kind.
-3. *Shards.* Anchors are dealt into shards of about ``SHARD_BYTES``. A shard is one text of all its stretches, each ended by a sign below all bytes; its
+2. *Stretches* whose anchor stands elsewhere too leave their lot, once for all copies in it, to the task of the anchor. Stretches that are equal as a
+   whole (128-bit digests) are repeated as a whole. Different ones with the same anchor are sorted, one of each kind.
+3. *Shards.* What a task has to sort, about ``SHARD_BYTES``, is one text of all its stretches, each ended by a sign below all bytes; its
    suffixes are put in order with their common prefixes by induced sorting on disk (``induced``). A window is repeated where the common prefix
    with a neighbour reaches ``WINDOW`` bytes. No such window reaches over the end of a stretch.
-4. An anchor whose kinds are more than ``HOT_BYTES`` is too much for a shard. Its windows are told apart by digests of the
-   whole window, which are counted in every task before the shuffle.
-5. Lots take back what is removed.
+4. An anchor that stands in more than ``MOST_PLACES`` places is too much for one task. Its windows leave one by one, by digests of the
+   whole window, and go to a task each.
+5. Lots take back what is removed. What leaves a lot is one row for all equal stretches or windows in it, so a passage of every
+   document is a row per lot, and no more than one row of a kind is held.
 
 Defined results: a null text is empty; texts of less than ``WINDOW`` bytes stay; repeated rows repeat each other, also without ``doc_id``; an empty table gives no
 rows.
@@ -31,13 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygauge.llm.induced import decreasing, scratch_folder
-from tallygauge.llm.storage import documents_only, saved
+from tallygauge.llm.storage import documents_only
 
 WINDOW = 400
 GRAM = 128
 LOT_BYTES = 8 << 20
 SHARD_BYTES = 6 << 20
-HOT_BYTES = 64 << 20
+MOST_PLACES = 1 << 16
 #: Items a shard's sort holds in memory.
 SORTED_IN_MEMORY = 1 << 22
 #: Bytes of a text looked at together, and the bits that number them.
@@ -108,53 +109,65 @@ def rows_of(kind: str, columns: list) -> pa.Table:
 
 
 ANCHOR = "lot bigint, h bigint, times int"
-STRETCH = "lot bigint, h bigint, d binary, n int, places binary, copies bigint, text binary"
-SPAN = "lot bigint, row int, first bigint, after bigint"
+STRETCH = "lot bigint, h bigint, d binary, n int, places binary, text binary"
+#: What goes from a lot: row, first byte and the byte after the last, of any number of parts.
+SPAN = "lot bigint, parts binary"
 
 
-def in_lots(docs: DataFrame, lot_bytes: int) -> DataFrame:
+def in_lots(docs: DataFrame, lot_bytes: int, shard_bytes: int) -> tuple[DataFrame, int]:
+    """The documents with their lot, and the number of shards."""
     own = documents_only(docs)
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     lot = F.pmod(F.xxhash64("doc_id", "text"), F.lit(size // lot_bytes + 1))
-    return own.select(lot.cast("bigint").alias("lot"), "doc_id", "text")
+    return own.select(lot.cast("bigint").alias("lot"), "doc_id", "text"), size // shard_bytes + 1
 
 
-def shared_anchors(lots: DataFrame, window: int, gram: int) -> DataFrame:
-    """``lot`` and ``h``: the anchors of each lot that stand in another place as well."""
+def shared_anchors(lots: DataFrame, window: int, gram: int, most_places: int) -> DataFrame:
+    """``lot``, ``h`` and ``many``: the anchors of each lot that stand in another place as well, and in how many."""
 
     def anchors(table: pa.Table) -> pa.Table:
         found = [h for text in Lot(table).texts for h, _, _ in stretches(text, window, gram)]
         every, times = np.unique(np.concatenate(found), return_counts=True) if found else ([], [])
-        return rows_of(ANCHOR, [np.full(len(every), table["lot"][0].as_py()), every, np.minimum(times, 2)])
+        return rows_of(ANCHOR, [np.full(len(every), table["lot"][0].as_py()), every, times])
 
     own = lots.groupBy("lot").applyInArrow(anchors, ANCHOR)
     # Lots are added up before the shuffle; the join back splits an anchor that very many lots have.
-    often = own.groupBy("h").agg(F.sum("times").alias("n")).where("n > 1").select("h")
-    return own.select("lot", "h").join(often, "h")
+    often = own.groupBy("h").agg(F.sum("times").alias("n")).where("n > 1")
+    return own.select("lot", "h").join(often, "h").select("lot", "h", (F.col("n") > most_places).alias("many"))
 
 
 def leaving(lots: DataFrame, anchors: DataFrame, window: int, gram: int) -> DataFrame:
-    """The different stretches of each lot with a shared anchor, and the places (row, first window) of each."""
+    """The different stretches of each lot with a shared anchor, and the places (row, first window) of each.
+
+    Windows that leave one by one have no text: equal digests say all there is to say of them.
+    """
 
     def leave(table: pa.Table, shared: pa.Table) -> pa.Table:
-        known = np.sort(shared["h"].to_numpy())
+        shared = shared.sort_by("h")
+        known, many = shared["h"].to_numpy(), shared["many"].to_numpy()
         found: dict[tuple[int, bytes], list] = {}
         if table.num_rows and len(known):
             for row, text in enumerate(Lot(table).texts):
                 for h, first, n in stretches(text, window, gram):
-                    is_shared = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
-                    for key, start, size in zip(h[is_shared].tolist(), first[is_shared].tolist(), n[is_shared].tolist(), strict=True):
-                        own = text[start : start + size + window - 1]
-                        digest = hashlib.blake2b(own, digest_size=16).digest()
-                        found.setdefault((key, digest), [size, own, []])[2].append((row, start))
-        lot = table["lot"][0].as_py() if table.num_rows else shared["lot"][0].as_py()
+                    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                    own = np.flatnonzero(known[at] == h)
+                    columns = (h[own].tolist(), first[own].tolist(), n[own].tolist(), many[at[own]].tolist())
+                    for key, start, size, one_by_one in zip(*columns, strict=True):
+                        if one_by_one:
+                            for i in range(start, start + size):
+                                digest = digest_of(text[i : i + window])
+                                key = int.from_bytes(digest[:8], "little", signed=True)
+                                found.setdefault((key, digest), [1, None, []])[2].append((row, i))
+                        else:
+                            stretch = text[start : start + size + window - 1]
+                            found.setdefault((key, digest_of(stretch)), [size, stretch, []])[2].append((row, start))
+        lot = table["lot"][0].as_py() if table.num_rows else None
         columns = [
             [lot] * len(found),
             [h for h, _ in found],
             [d for _, d in found],
             [size for size, _, _ in found.values()],
             [np.array(places, np.int64).tobytes() for _, _, places in found.values()],
-            [len(places) for _, _, places in found.values()],
             [own for _, own, _ in found.values()],
         ]
         return rows_of(STRETCH, columns)
@@ -162,11 +175,19 @@ def leaving(lots: DataFrame, anchors: DataFrame, window: int, gram: int) -> Data
     return lots.groupBy("lot").cogroup(anchors.groupBy("lot")).applyInArrow(leave, STRETCH)
 
 
+def digest_of(text: bytes) -> bytes:
+    return hashlib.blake2b(text, digest_size=16).digest()
+
+
+#: A place as written: row and first window.
+PLACE_BYTES = 16
+
+
 def places_of(cell: bytes) -> np.ndarray:
     return np.frombuffer(cell, np.int64).reshape(-1, 2)
 
 
-def span_batches(rows: list[tuple[int, int, int, int]]) -> Iterator[pa.RecordBatch]:
+def span_batches(rows: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
     if rows:
         yield from rows_of(SPAN, [*zip(*rows, strict=True)]).combine_chunks().to_batches()
 
@@ -177,111 +198,101 @@ def runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return [*zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)]
 
 
-def repeated_windows(texts: Iterator[bytes], window: int, memory: int) -> Iterator[list[tuple[int, int]]]:
-    """For each text the runs of windows that also stand elsewhere in these texts."""
-    with scratch_folder() as name:
-        folder, sizes = Path(name), []
-        # Bytes of UTF-8 stay below 0xF6, so two more are free below them and the highest sign above.
-        with (folder / "shard").open("wb") as out:
-            for text in texts:
-                sizes.append(len(text))
-                (np.frombuffer(text, np.uint8) + np.uint8(2)).tofile(out)
-                out.write(b"\x01")
-            out.write(b"\x00")
-        if not sizes:
+class Shard:
+    """Stretches written into one text on disk, to find the windows that stand in it more than once."""
+
+    def __init__(self, folder: Path, window: int, memory: int):
+        self.folder, self.window, self.memory = folder, window, memory
+        self.sizes: list[int] = []
+        self.out = (folder / "shard").open("wb", buffering=1 << 20)
+
+    def add(self, text: bytes) -> None:
+        # Bytes of UTF-8 stay below 0xF6, so two signs are free below them and the highest one above.
+        self.sizes.append(len(text))
+        self.out.write((np.frombuffer(text, np.uint8) + np.uint8(2)).tobytes())
+        self.out.write(b"\x01")
+
+    def repeated(self) -> Iterator[list[tuple[int, int]]]:
+        """For each stretch the runs of windows that also stand elsewhere in the shard."""
+        self.out.write(b"\x00")
+        self.out.close()
+        if not self.sizes:
             return
-        shard = np.memmap(folder / "shard", np.uint8, "r")
-        repeated = np.memmap(folder / "repeated", np.uint8, "w+", shape=shard.shape)
+        shard = np.memmap(self.folder / "shard", np.uint8, "r")
+        again = np.memmap(self.folder / "again", np.uint8, "w+", shape=shard.shape)
         before = None
-        for positions, common in decreasing(shard, window, memory, folder):
-            long = common >= window
-            repeated[positions[long]] = 1
-            repeated[positions[:-1][long[1:]]] = 1
+        for positions, common in decreasing(shard, self.window, self.memory, self.folder):
+            long = common >= self.window
+            again[positions[long]] = 1
+            again[positions[:-1][long[1:]]] = 1
             if long[0]:
-                repeated[before] = 1
+                again[before] = 1
             before = positions[-1]
         at = 0
-        for size in sizes:
+        for size in self.sizes:
             # What begins later goes on over the sign at the end and is no window.
-            yield runs(np.asarray(repeated[at : at + size - window + 1]))
+            yield runs(np.asarray(again[at : at + size - self.window + 1]))
             at += size + 1
 
 
-def spans_of_shard(batches: Iterator[pa.RecordBatch], window: int, memory: int) -> Iterator[pa.RecordBatch]:
-    """The repeated parts of the stretches of a task's shards."""
-    owners: list[tuple[int, bytes]] = []
+NAMES = [c.split()[0] for c in STRETCH.split(", ")]
 
-    def texts() -> Iterator[bytes]:
-        for batch in batches:
-            for lot, places, text in zip(*(batch[c].to_pylist() for c in ("lot", "places", "text")), strict=True):
-                owners.append((lot, places))
-                yield text
-
-    rows = []
-    for number, found in enumerate(repeated_windows(texts(), window, memory)):
-        lot, places = owners[number]
-        for row, first in places_of(places).tolist():
-            rows += [(lot, row, first + s, first + e + window - 1) for s, e in found]
-        if len(rows) >= 10_000:
-            yield from span_batches(rows)
-            rows = []
-    yield from span_batches(rows)
 
+def spans_of_task(batches: Iterator[pa.RecordBatch], window: int, memory: int) -> Iterator[pa.RecordBatch]:
+    """The repeated parts of a task's stretches, which come in the order of anchor and digest: at most one row for each."""
+    rows, owners = [], []
 
-def whole_spans(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """All places of stretches that are repeated as a whole."""
-    for batch in batches:
-        rows = []
-        for lot, places, n in zip(*(batch[c].to_pylist() for c in ("lot", "places", "n")), strict=True):
-            rows += [(lot, row, first, first + n + window - 1) for row, first in places_of(places).tolist()]
-        yield from span_batches(rows)
-
+    def whole(lot: int, n: int, places: bytes) -> None:
+        own = places_of(places)
+        rows.append((lot, np.column_stack((own, own[:, 1] + n + window - 1)).tobytes()))
 
-WINDOW_ROW = "w binary, lot bigint, row int, first bigint"
+    with scratch_folder() as name:
+        shard = Shard(Path(name), window, memory)
 
+        def sort(lot: int, places: bytes, text: bytes) -> None:
+            owners.append((lot, *places_of(places)[0].tolist()))
+            shard.add(text)
 
-def windows_of(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Every window of some stretches by its digest."""
-    for batch in batches:
-        for lot, places, n, text in zip(*(batch[c].to_pylist() for c in ("lot", "places", "n", "text")), strict=True):
-            row, first = places_of(places)[0].tolist()
-            digests = [hashlib.blake2b(text[i : i + window], digest_size=16).digest() for i in range(n)]
-            yield from rows_of(WINDOW_ROW, [digests, [lot] * n, [row] * n, range(first, first + n)]).combine_chunks().to_batches()
+        anchor = digest = None
+        # The first row of a kind until there is a second, and the first kind of an anchor likewise.
+        first = single = None
+        for batch in batches:
+            for lot, h, d, n, places, text in zip(*(batch[c].to_pylist() for c in NAMES), strict=True):
+                if (h, d) == (anchor, digest):
+                    if first is not None:
+                        whole(*first)
+                        first = None
+                    whole(lot, n, places)
+                    continue
+                first = lot, n, places
+                if len(places) > PLACE_BYTES:
+                    whole(*first)
+                    first = None
+                if h != anchor:
+                    single = (lot, places, text) if text is not None else None
+                elif text is not None:
+                    if single is not None:
+                        sort(*single)
+                        single = None
+                    sort(lot, places, text)
+                anchor, digest = h, d
+            if len(rows) >= 10_000:
+                yield from span_batches(rows)
+                rows.clear()
+        for (lot, row, at), found in zip(owners, shard.repeated(), strict=True):
+            if found:
+                rows.append((lot, np.array([(row, at + s, at + e + window - 1) for s, e in found], np.int64).tobytes()))
+            if len(rows) >= 10_000:
+                yield from span_batches(rows)
+                rows.clear()
+    yield from span_batches(rows)
 
 
-def removed_spans(
-    lots: DataFrame, window: int, gram: int, shard_bytes: int, hot_bytes: int, memory: int
-) -> DataFrame:
-    """``lot``, ``row``, ``first`` and ``after``: the bytes that go."""
-    found = saved(leaving(lots, shared_anchors(lots, window, gram), window, gram), "stretches")
-    kinds = found.groupBy("h", "d").agg(F.sum("copies").alias("copies"), F.min("lot").alias("lot"), F.first("n").alias("n"))
-    anchors = kinds.groupBy("h").agg(F.count("*").alias("kinds"), F.sum(F.col("n") + window).alias("bytes"))
-    # One row of each kind goes on; its lot is the least that has it.
-    kinds = saved(kinds.select("h", "d", "lot", "copies").join(anchors, "h"), "kinds")
-    copied = kinds.where("copies > 1").select("h", "d")
-    whole = found.select("lot", "h", "d", "n", "places").join(copied, ["h", "d"])
-    parts = [whole.mapInArrow(lambda batches: whole_spans(batches, window), SPAN)]
-
-    several = kinds.where("kinds > 1")
-    is_hot = F.col("bytes") > hot_bytes
-    size = several.where(~is_hot).select("h", "bytes").distinct().agg(F.sum("bytes")).first()[0] or 0
-    chosen = found.join(several.select("h", "d", "lot", is_hot.alias("hot")), ["h", "d", "lot"])
-    shards = size // shard_bytes + 1
-    shard = F.pmod(F.xxhash64("h"), F.lit(shards))
-    dealt = chosen.where("NOT hot").select(shard.alias("shard"), "h", "d", "lot", "places", "text")
-    dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "h", "d")
-    parts.append(dealt.mapInArrow(lambda batches: spans_of_shard(batches, window, memory), SPAN))
-
-    if several.where(is_hot).limit(1).count():
-        each = chosen.where("hot").select("lot", "places", "n", "text")
-        each = saved(each.mapInArrow(lambda batches: windows_of(batches, window), WINDOW_ROW), "windows")
-        again = each.groupBy("w").agg(F.count("*").alias("times")).where("times > 1").select("w")
-        after = (F.col("first") + window).alias("after")
-        parts.append(each.join(again, "w").select("lot", "row", "first", after))
-    spans = parts[0]
-    for part in parts[1:]:
-        spans = spans.unionByName(part)
-    return spans
+def removed_spans(lots: DataFrame, shards: int, window: int, gram: int, most_places: int, memory: int) -> DataFrame:
+    """``lot`` and ``parts``: the bytes that go."""
+    found = leaving(lots, shared_anchors(lots, window, gram, most_places), window, gram)
+    dealt = found.repartition(shards, "h").sortWithinPartitions("h", "d", "lot")
+    return dealt.mapInArrow(lambda batches: spans_of_task(batches, window, memory), SPAN)
 
 
 KEPT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
@@ -294,22 +305,23 @@ def suffix_dedup(
     with_text: bool = False,
     lot_bytes: int = LOT_BYTES,
     shard_bytes: int = SHARD_BYTES,
-    hot_bytes: int = HOT_BYTES,
+    most_places: int = MOST_PLACES,
     memory: int = SORTED_IN_MEMORY,
 ) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256``; with ``with_text`` also ``kept``, the bytes that stay."""
-    lots = in_lots(docs, lot_bytes)
-    gone = removed_spans(lots, window, gram, shard_bytes, hot_bytes, memory)
+    lots, shards = in_lots(docs, lot_bytes, shard_bytes)
+    gone = removed_spans(lots, shards, window, gram, most_places, memory)
 
     def finish(table: pa.Table, removed: pa.Table) -> pa.Table:
         by_row = defaultdict(list)
-        for row, first, after in zip(*(removed[c].to_pylist() for c in ("row", "first", "after")), strict=True):
+        parts = np.frombuffer(b"".join(removed["parts"].to_pylist()), np.int64).reshape(-1, 3)
+        for row, first, after in np.unique(parts, axis=0).tolist():
             by_row[row].append((first, after))
         rows = []
         lot = Lot(table)
         for row, (doc_id, text) in enumerate(zip(lot.ids, lot.texts, strict=True)):
             kept, at, n_spans = [], 0, 0
-            for first, after in sorted(by_row[row]):
+            for first, after in by_row[row]:
                 # A span that begins where the one before ends goes on with it.
                 if first > at or not n_spans:
                     n_spans += 1

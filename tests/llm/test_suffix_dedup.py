@@ -75,7 +75,7 @@ def plain_repeats(texts, window):
         yield len(text), len(text) - len(kept), int((gone[1:] & ~gone[:-1]).sum()), hashlib.sha256(kept).hexdigest()
 
 
-SETTINGS = [{}, {"shard_bytes": 300, "memory": 50, "lot_bytes": 500}, {"hot_bytes": 300, "lot_bytes": 2_000}]
+SETTINGS = [{}, {"shard_bytes": 300, "memory": 50, "lot_bytes": 500}, {"most_places": 2, "lot_bytes": 2_000}]
 
 
 @pytest.mark.parametrize("settings", SETTINGS)
