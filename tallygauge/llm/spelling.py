@@ -2,17 +2,18 @@
 
 1. *Words.* Runs of letters of all texts are counted, in every task before the shuffle. (``word_counts`` also misspells one run in 31
    of a document, as the query asks; ``edit_one_in`` is a parameter.)
-2. *Gram dictionary.* A gram is lengthened as long as it is frequent: grams of ``SHORTEST`` to ``LONGEST - 1`` characters
+2. *Gram dictionary.* A gram is lengthened as long as it is frequent: grams of ``SHORTEST`` to ``LONGEST`` - 1 characters
    that occur more often than one in ``DICTIONARY`` places are extended by the next character, all others are
    pruned there. A length has fewer than ``DICTIONARY`` frequent grams whatever the words, so the dictionary has a bound and goes to all tasks.
 3. *Grams of a word.* At each of its characters the gram that the dictionary gives, behind the word filled up with an
    end sign. One edit changes only the grams that cover its place; the largest number of grams over one place is
    the word's bound of affected grams. A near word shares all others, at the same place or one further.
-4. *Merging lists.* Of two near words with bounds ``a`` and ``b`` the rarest shared gram is among the ``a + 1`` rarest of one and
-   the ``b + 1`` rarest of the other, so only these go into lists, by gram, place and length. Words that meet in a list are
-   looked up in each other's remaining grams, and what shares fewer than the bounds allow is dropped; the rest is verified by comparing the words.
-   A list of more than ``LONG_LIST`` words is not paired up: its words go on with what is left when one character is taken out (as
-   a hash), and near words still meet. Such a list has at most one word per letter of the alphabet, all near each other.
+4. *Merging lists.* Grams have one order, frequent ones last. Of two near words with bounds ``a`` and ``b`` the first shared gram is among
+   the ``a + 1`` first of one and the ``b + 1`` first of the other, so only these go into lists. In a list, words meet at
+   the same place or one further if they are equal without one character, which is before or after the gram. A pair has to
+   share as many grams as the bounds ask for, and counts in the first list that both words are in.
+   The list of a gram with more than ``LONG_LIST`` places is not held: its words go on with what is left when one character is taken out (as
+   a hash), and near words still meet there. Such a list has at most one word per letter of the alphabet, all near each other.
 5. *Forms.* The most frequent near word, if it is ten times as frequent. Counts grow tenfold along a chain
    of forms, which bounds its length; its end is found by doubling steps.
 
@@ -23,15 +24,17 @@ length; an empty table gives no rows.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain, combinations
 from math import ceil, log2, log10
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygauge.llm.storage import documents_only, saved
@@ -42,7 +45,7 @@ EDIT_ONE_IN = 31
 FORM_FACTOR = 10
 SHORTEST, LONGEST = 2, 6
 DICTIONARY = 1 << 14
-LONG_LIST = 256
+LONG_LIST = 4096
 #: Different words or grams that a task counts at a time.
 COUNTED_AT_ONCE = 200_000
 END = "\0"
@@ -50,8 +53,8 @@ LOWER = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
 BASE = 0x9E3779B97F4A7C15
 
 
-def counted(items: Callable[[pa.RecordBatch], Iterator[Counter]], name: str) -> Callable:
-    """A task function that sums the counters of its batches, a bounded number of keys at a time."""
+def counted(items: Callable[[pa.RecordBatch], Iterator[Counter | list[str]]], name: str) -> Callable:
+    """A task function that sums the counts of its batches, a bounded number of keys at a time."""
 
     def rows(held: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([*held], "string"), pa.array([*held.values()], "int64")], [name, "n"])
@@ -97,39 +100,75 @@ def word_counts(docs: DataFrame, least: int = LEAST_LENGTH, edit_one_in: int = 0
     return documents_only(docs).mapInArrow(counted(items, "word"), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def gram_dictionary(words: DataFrame) -> frozenset[str]:
-    """The grams that are lengthened: frequent ones of each length, fewer than ``DICTIONARY`` of a length."""
+class GramAt(dict):
+    """The gram that begins some characters, found once per worker (a bounded cache)."""
 
-    def items(batch: pa.RecordBatch) -> Iterator[Counter]:
+    def __init__(self, counts: dict[str, int]):
+        self.counts = counts
+
+    def __missing__(self, text: str) -> str:
+        if len(self) >= COUNTED_AT_ONCE:
+            self.clear()
+        end = SHORTEST
+        while end < LONGEST and text[:end] in self.counts:
+            end += 1
+        self[text] = text[:end]
+        return text[:end]
+
+    def __reduce__(self):
+        return GramAt, (self.counts,)
+
+
+class Grams:
+    """The gram dictionary: frequent grams with their counts, and the count above which a gram is frequent."""
+
+    def __init__(self, counts: dict[str, int], most: int):
+        self.counts, self.most = counts, most
+        self.longest = GramAt(counts)
+
+    def has_long_list(self, gram: str) -> bool:
+        """Grams that are not in the dictionary have ``most`` places at most."""
+        return self.counts.get(gram, self.most) > LONG_LIST
+
+    def of(self, word: str) -> list[str]:
+        """The gram at each place of a word."""
+        text = word + END * LONGEST
+        return [self.longest[text[p : p + LONGEST]] for p in range(len(word))]
+
+    def listed(self, word: str) -> tuple[list[str], int, list[tuple[str, int]]]:
+        """The grams of a word, how many of them one edit can change, and gram and place of one more than that, the first in order."""
+        grams = self.of(word)
+        bound = affected(grams)
+        counts = self.counts
+        order = sorted([(counts.get(g, 0), g, p) for p, g in enumerate(grams)])
+        return grams, bound, [(g, p) for _, g, p in order[: bound + 1]]
+
+
+def gram_dictionary(words: DataFrame) -> Grams:
+    """The frequent grams of each length, fewer than ``DICTIONARY`` of a length."""
+
+    def items(batch: pa.RecordBatch) -> Iterator[list[str]]:
         for word in batch.column(0).to_pylist():
-            text = word + END * LONGEST
-            for size in range(SHORTEST, LONGEST):
-                yield Counter(text[p : p + size] for p in range(len(word)))
+            text, n = word + END * LONGEST, len(word)
+            yield [text[p : p + size] for size in range(SHORTEST, LONGEST + 1) for p in range(n)]
 
     places = words.agg(F.sum(F.length("word"))).first()[0] or 0
+    most = places // DICTIONARY + 1
     grams = words.select("word").mapInArrow(counted(items, "gram"), "gram string, n bigint")
-    frequent = grams.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") > places // DICTIONARY + 1)
-    return frozenset(r.gram for r in frequent.select("gram").collect())
-
-
-def grams_of(word: str, dictionary: frozenset[str]) -> list[str]:
-    """The gram at each place of a word."""
-    text, found = word + END * LONGEST, []
-    for p in range(len(word)):
-        end = p + SHORTEST
-        while end - p < LONGEST and text[p:end] in dictionary:
-            end += 1
-        found.append(text[p:end])
-    return found
+    frequent = grams.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") > most)
+    return Grams({r.gram: r.n for r in frequent.collect()}, most)
 
 
 def affected(grams: list[str]) -> int:
     """How many grams one edit can change: the most that cover one place."""
-    covering = np.zeros(len(grams) + LONGEST + 1, np.int64)
-    starts = np.arange(len(grams))
-    covering[: len(grams)] += 1
-    np.subtract.at(covering, starts + np.array([*map(len, grams)], np.int64), 1)
-    return int(np.cumsum(covering)[: len(grams) + 1].max())
+    ends = [0] * (len(grams) + LONGEST + 1)
+    for p, gram in enumerate(grams):
+        ends[p + len(gram)] += 1
+    most = covering = 0
+    for p in range(len(grams)):
+        covering += 1 - ends[p]
+        most = max(most, covering)
+    return most
 
 
 def shared_grams(short: list[str], long: list[str]) -> int:
@@ -140,22 +179,53 @@ def shared_grams(short: list[str], long: list[str]) -> int:
 
 
 def one_edit(short: str, long: str) -> bool:
-    """Whether the words differ by one replaced character, or one that the longer has more."""
-    if short == long or len(long) - len(short) > 1:
-        return False
-    at, end = 0, len(short)
-    while at < end and short[at] == long[at]:
-        at += 1
-    return short[at + 1 :] == long[at + 1 :] if len(short) == len(long) else short[at:] == long[at + 1 :]
-
+    """Whether the words differ by one replaced character, or one that the longer has more.
 
-def near(a: str, b: str, grams: Callable[[str], tuple[list[str], int]]) -> bool:
-    short, long = sorted((a, b), key=len)
-    if len(long) - len(short) > 1:
+    One half is equal then, and the edit is in the other.
+    """
+    more = len(long) - len(short)
+    if more > 1 or short == long:
         return False
-    (own, own_bound), (other, other_bound) = grams(short), grams(long)
-    least = max(len(own) - own_bound, len(other) - other_bound)
-    return shared_grams(own, other) >= least and one_edit(short, long)
+    while len(short) > 1:
+        half = len(short) >> 1
+        if short[:half] == long[:half]:
+            short, long = short[half:], long[half:]
+        elif short[half:] == long[half + more :]:
+            short, long = short[:half], long[: half + more]
+        else:
+            return False
+    return not more or not short or short in (long[0], long[1])
+
+
+class Merged:
+    """Finds out whether two words are near, and in which list they meet first."""
+
+    def __init__(self, grams: Grams):
+        self.grams = grams
+        self.listed = lru_cache(maxsize=50_000)(self.with_lists)
+
+    def with_lists(self, word: str) -> tuple[list[str], int, list[tuple[str, int]], frozenset]:
+        grams, bound, lists = self.grams.listed(word)
+        return grams, bound, lists, frozenset(lists)
+
+    def first_list(self, short: str, long: str) -> tuple[str, int] | None:
+        """The first gram of the shorter word's lists that the longer one's have too, with its place."""
+        own, there, more = self.listed(short)[2], self.listed(long)[3], len(long) > len(short)
+        for entry in own:
+            if entry in there or (more and (entry[0], entry[1] + 1) in there):
+                return entry
+        return None
+
+    def share_enough(self, short: str, long: str) -> bool:
+        """Whether two words share as many grams as the bounds of both ask for."""
+        own, other = self.listed(short), self.listed(long)
+        return shared_grams(own[0], other[0]) >= max(len(own[0]) - own[1], len(other[0]) - other[1])
+
+    def meet_first(self, short: str, long: str) -> tuple[str, int] | None:
+        """Gram and place of the first list of two near words; None if they are not near."""
+        if not one_edit(short, long) or not self.share_enough(short, long):
+            return None
+        return self.first_list(short, long)
 
 
 @lru_cache(maxsize=4)
@@ -177,25 +247,134 @@ def shortened(word: str) -> tuple[int, list[int]]:
     return int(upto[n].view(np.int64)), (upto[:n] + after).view(np.int64).tolist()
 
 
-def rarest_grams(words: DataFrame, dictionary: frozenset[str]) -> DataFrame:
-    """``id``, ``size``, ``gram`` and ``at``: for each word one gram more than an edit can change, the rarest ones."""
+LISTED = "gram string, at int, n bigint, word string"
+
+
+def listed_words(words: DataFrame, grams: Grams, long: bool) -> DataFrame:
+    """``gram``, ``at``, ``n`` and ``word``: the words of the lists that are long or are not."""
 
-    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for uid, word in zip(batch["id"].to_pylist(), batch["word"].to_pylist(), strict=True):
-                own = grams_of(word, dictionary)
-                n = len(own)
-                columns = [np.full(n, uid), np.full(n, n, np.int32), np.full(n, affected(own) + 1, np.int32)]
-                columns += [pa.array(own), np.arange(n, dtype=np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["id", "size", "taken", "gram", "at"])
-
-    own = words.select("id", "word").mapInArrow(batched_rows(grams), "id bigint, size int, taken int, gram string, at int")
-    own = saved(own, "grams")
-    frequency = own.groupBy("gram").agg(F.count("*").alias("f"))
-    # A word's grams are one cell, as long as the word itself.
-    chosen = own.join(frequency, "gram").groupBy("id", "size", "taken").agg(F.collect_list(F.struct("f", "gram", "at")).alias("grams"))
-    taken = F.explode(F.slice(F.sort_array("grams"), F.lit(1), F.col("taken")))
-    return chosen.select("id", "size", taken.alias("g")).select("id", "size", "g.gram", "g.at")
+            out = [
+                (gram, at, n, word)
+                for word, n in zip(batch["word"].to_pylist(), batch["n"].to_pylist(), strict=True)
+                for gram, at in grams.listed(word)[2]
+                if grams.has_long_list(gram) == long
+            ]
+            yield batch_of(out, LISTED)
+
+    return words.select("word", "n").mapInArrow(rows, LISTED)
+
+
+def batch_of(rows: list[tuple], kind: str) -> pa.RecordBatch:
+    types = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "boolean": pa.bool_()}
+    fields = [c.split() for c in kind.split(", ")]
+    columns = [*zip(*rows, strict=True)] if rows else [[]] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, types[t]) for c, (_, t) in zip(columns, fields, strict=True)], [n for n, _ in fields])
+
+
+NEAR = "word string, less bigint, other string"
+
+
+def both_ways(a: str, n_a: int, b: str, n_b: int) -> list[tuple]:
+    return [(a, -n_b, b), (b, -n_a, a)]
+
+
+def near_in_list(gram: str, rows: list[tuple[int, int, str]], merged: Merged) -> Iterator[tuple]:
+    """Near words of one list, both ways; ``rows`` has place, count and word.
+
+    The words have the gram in common, so what they differ by is before or after it: near words are
+    equal without that character, and only characters outside of the gram are left out to look for them.
+    """
+    places: dict[tuple[int, int], set[str]] = defaultdict(set)
+    for at, _, word in rows:
+        places[at, len(word)].add(word)
+    counts = {word: n for _, n, word in rows}
+    for (at, size), short in [*places.items()]:
+        met = []
+        if len(short) > 1:
+            left = defaultdict(list)
+            for word in short:
+                for i in chain(range(at), range(at + len(gram), size)):
+                    left[word[:i] + END + word[i + 1 :]].append(word)
+            met += [(a, b) for group in left.values() if len(group) > 1 for a, b in combinations(group, 2)]
+        for p in (at, at + 1):
+            for other in places.get((p, size + 1), ()):
+                for i in chain(range(p), range(p + len(gram), size + 1)):
+                    if (word := other[:i] + other[i + 1 :]) in short:
+                        met.append((word, other))
+        for word, other in met:
+            if merged.first_list(word, other) == (gram, at) and merged.share_enough(word, other):
+                yield from both_ways(word, counts[word], other, counts[other])
+
+
+def near_in_short_lists(words: DataFrame, grams: Grams) -> DataFrame:
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merged, gram, held, out = Merged(grams), None, [], set()
+        for batch in batches:
+            for own, *entry in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if own != gram:
+                    out.update(near_in_list(gram, held, merged))
+                    gram, held = own, []
+                held.append(entry)
+            if len(out) >= 10_000:
+                yield batch_of([*out], NEAR)
+                out = set()
+        out.update(near_in_list(gram, held, merged))
+        yield batch_of([*out], NEAR)
+
+    # A list is one task's, with as many words as the dictionary's bound or LONG_LIST allow.
+    lists = listed_words(words, grams, False).repartition("gram").sortWithinPartitions("gram")
+    return lists.mapInArrow(near, NEAR)
+
+
+SPLIT = "list bigint, place int, left bigint, longer boolean, id bigint"
+
+
+def near_in_long_lists(words: DataFrame, grams: Grams) -> DataFrame:
+    ids = saved(words.select("word", "n").withColumn("id", F.monotonically_increasing_id()), "ids")
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for word, uid in zip(batch["word"].to_pylist(), batch["id"].to_pylist(), strict=True):
+                lists = [(g, at) for g, at in grams.listed(word)[2] if grams.has_long_list(g)]
+                whole, left = shortened(word) if lists else (0, [])
+                n, out = len(word), []
+                for gram, at in lists:
+                    own = list_id(gram, at, n)
+                    out += [(own, i, x, False, uid) for i, x in enumerate(left)]
+                    out.append((own, -1, whole, False, uid))
+                    # A longer word stands in the lists of the shorter ones, at the same place and one before.
+                    for p in (at, at - 1):
+                        own = list_id(gram, p, n - 1)
+                        out += [(own, -1, x, True, uid) for i, x in enumerate(left) if not i or word[i] != word[i - 1]]
+                if out:
+                    yield batch_of(out, SPLIT)
+
+    rows = ids.select("word", "id").mapInArrow(batched_rows(split), SPLIT)
+    key = ["list", "place", "left"]
+    first = rows.where("NOT longer").select(*key, F.col("id").alias("a"))
+    other = rows.where("place >= 0 OR longer").select(*key, F.col("id").alias("b"), "longer")
+    met = first.join(other, key).where("longer OR a < b").select("a", "b").distinct()
+    texts = met.join(ids.select(F.col("id").alias("a"), F.col("word").alias("own"), F.col("n").alias("n_own")), "a")
+    texts = texts.join(ids.select(F.col("id").alias("b"), F.col("word").alias("other"), F.col("n").alias("n_other")), "b")
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merged = Merged(grams)
+        for batch in batches:
+            out = []
+            for own, n, other, m in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = merged.meet_first(own, other)
+                if found is not None and grams.has_long_list(found[0]):
+                    out += both_ways(own, n, other, m)
+            yield batch_of(out, NEAR)
+
+    return texts.select("own", "n_own", "other", "n_other").mapInArrow(near, NEAR)
+
+
+def list_id(gram: str, at: int, size: int) -> int:
+    """A list as a number; words of lists that share one by chance are only compared in vain."""
+    return xxhash.xxh64_intdigest(f"{gram} {at} {size}") >> 1
 
 
 def batched_rows(make: Callable, rows: int = 20_000) -> Callable:
@@ -215,103 +394,43 @@ def batched_rows(make: Callable, rows: int = 20_000) -> Callable:
     return joined
 
 
-KEY = ["gram", "at", "size"]
-
-
-def meeting(words: DataFrame, rarest: DataFrame) -> DataFrame:
-    """``a`` and ``b``, each pair of words once that meet in a list."""
-    own = rarest.withColumn("longer", F.lit(False))
-    # A word one longer stands in the lists of the shorter ones, at the same place and one before.
-    longer = rarest.select(
-        "id", (F.col("size") - 1).alias("size"), "gram", F.explode(F.array("at", F.col("at") - 1)).alias("at"), F.lit(True).alias("longer")
-    ).where("at >= 0")
-    listed = saved(own.unionByName(longer), "lists")
-    long_lists = listed.groupBy(*KEY).agg(F.count("*").alias("n")).where(F.col("n") > LONG_LIST).select(*KEY)
-    short = pairs_in(listed.join(long_lists, KEY, "left_anti"), KEY)
-    rest = listed.join(long_lists, KEY, "left_semi").join(words.select("id", "word"), "id")
-
-    def variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for word, uid, longer, *key in zip(*(batch[c].to_pylist() for c in ("word", "id", "longer", *KEY)), strict=True):
-                whole, left = shortened(word)
-                # A shorter word is what is left of a longer one; words of one length lack the same place.
-                places = np.full(len(left), -1, np.int32) if longer else np.append(np.arange(len(left), dtype=np.int32), np.int32(-1))
-                hashes = left if longer else [*left, whole]
-                n = len(hashes)
-                columns = [*(pa.array([k] * n, t) for k, t in zip(key, ("string", "int32", "int32"), strict=True))]
-                columns += [pa.array(places), pa.array(hashes, "int64"), pa.array([uid] * n), pa.array([longer] * n)]
-                yield pa.RecordBatch.from_arrays(columns, [*KEY, "place", "hash", "id", "longer"])
-
-    kind = "gram string, at int, size int, place int, hash bigint, id bigint, longer boolean"
-    split = rest.mapInArrow(batched_rows(variants), kind)
-    long = pairs_in(split, [*KEY, "place", "hash"], (F.col("place") >= 0) | F.col("longer"))
-    return short.union(long).distinct()
-
-
-def pairs_in(listed: DataFrame, key: list[str], second: Column | None = None) -> DataFrame:
-    """A word of a list with those after it and those one longer."""
-    first = listed.where(~F.col("longer")).select(*key, F.col("id").alias("a"))
-    other = listed if second is None else listed.where(second)
-    other = other.select(*key, F.col("id").alias("b"), "longer")
-    return first.join(other, key).where(F.col("longer") | (F.col("a") < F.col("b"))).select("a", "b")
-
-
-def near_pairs(words: DataFrame, dictionary: frozenset[str]) -> DataFrame:
-    """``a`` and ``b``: ``id`` of each pair of near words, once. ``words`` has ``id`` and ``word``, of ``LONGEST`` + 1 letters at least."""
-    met = meeting(words, rarest_grams(words, dictionary))
-    texts = words.select("id", "word")
-    with_words = met.join(texts.withColumnsRenamed({"id": "a", "word": "own"}), "a")
-    with_words = with_words.join(texts.withColumnsRenamed({"id": "b", "word": "other"}), "b")
-
-    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        @lru_cache(maxsize=20_000)
-        def grams(word: str) -> tuple[list[str], int]:
-            own = grams_of(word, dictionary)
-            return own, affected(own)
-
-        for batch in batches:
-            own, other = batch["own"].to_pylist(), batch["other"].to_pylist()
-            same = [near(a, b, grams) for a, b in zip(own, other, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
-
-    return with_words.select("a", "b", "own", "other").mapInArrow(verified, "a bigint, b bigint")
+def near_words(words: DataFrame) -> DataFrame:
+    """``word``, ``less`` and ``other``: each near word of a word in ``word`` and ``n``, with its count below zero."""
+    grams = gram_dictionary(words)
+    near = near_in_short_lists(words, grams)
+    if grams.most > LONG_LIST or any(len(g) == LONGEST and grams.has_long_list(g) for g in grams.counts):
+        near = near.union(near_in_long_lists(words, grams))
+    return near
 
 
 def roots(links: DataFrame, longest: int) -> DataFrame:
-    """``id`` and ``root`` from ``id`` and ``form``; chains have at most ``longest`` steps."""
-    steps = saved(links.select("id", F.col("form").alias("root")), "roots")
+    """``word`` and ``root`` from ``word`` and ``form``; chains have at most ``longest`` steps."""
+    steps = saved(links.select("word", F.col("form").alias("root")), "roots")
     for _ in range(max(0, ceil(log2(longest)))):
-        further = steps.select(F.col("id").alias("root"), F.col("root").alias("further"))
-        steps = saved(steps.join(further, "root", "left").select("id", F.coalesce("further", "root").alias("root")), "roots")
+        further = steps.select(F.col("word").alias("root"), F.col("root").alias("further"))
+        steps = saved(steps.join(further, "root", "left").select("word", F.coalesce("further", "root").alias("root")), "roots")
     return steps
 
 
 def variants(counts: DataFrame, least_count: int = LEAST_COUNT, factor: int = FORM_FACTOR) -> DataFrame:
     """``word``, ``form``, ``root``, ``n``, ``n_near`` and ``form_n`` of the words in ``word`` and ``n``."""
-    words = saved(counts.where(F.col("n") >= least_count).withColumn("id", F.monotonically_increasing_id()), "words")
-    pairs = saved(near_pairs(words, gram_dictionary(words)), "near")
-    both = pairs.union(pairs.select("b", "a")).toDF("id", "other")
-    others = words.select(F.col("id").alias("other"), F.struct((-F.col("n")).alias("less"), "word", "id").alias("best"))
-    found = both.join(others, "other").groupBy("id").agg(F.count("*").alias("n_near"), F.min("best").alias("best"))
+    words = saved(counts.where(F.col("n") >= least_count), "words")
+    best = F.min(F.struct("less", "other")).alias("best")
+    found = near_words(words).groupBy("word").agg(F.count("*").alias("n_near"), best)
     is_form = -F.col("best.less") >= factor * F.col("n")
     rows = saved(
-        words.join(found, "id", "left").select(
-            "id",
+        words.join(found, "word", "left").select(
             "word",
             "n",
             F.coalesce("n_near", F.lit(0)).alias("n_near"),
-            F.when(is_form, F.col("best.id")).alias("form_id"),
-            F.when(is_form, F.col("best.word")).alias("form"),
+            F.when(is_form, F.col("best.other")).alias("form"),
             F.when(is_form, -F.col("best.less")).alias("form_n"),
         ),
         "forms",
     )
     most = rows.agg(F.max("n")).first()[0] or 1
-    ends = roots(rows.where("form_id IS NOT NULL").select("id", F.col("form_id").alias("form")), 1 + int(log10(most) / log10(factor)))
-    named = ends.join(words.select(F.col("id").alias("root"), F.col("word").alias("last")), "root").select("id", "last")
-    return rows.join(named, "id", "left").select(
-        "word", "form", F.coalesce("last", "word").alias("root"), "n", "n_near", F.col("form_n").cast("bigint").alias("form_n")
-    )
+    ends = roots(rows.where("form IS NOT NULL"), 1 + int(log10(most) / log10(factor)))
+    return rows.join(ends, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
 def spelling_variants(docs: DataFrame) -> DataFrame:

@@ -58,10 +58,10 @@ def similar_words(rng):
     return counts | {"abcdefgh": 3_000, "abcdefgx": 300, "abcdefxx": 30, "abcdexxx": 3, "x" * 301: 30, "x" * 300: 2}
 
 
-@pytest.mark.parametrize("long_list, dictionary", [(256, 1 << 14), (2, 1 << 14), (2, 8)])
+@pytest.mark.parametrize("long_list, dictionary", [(4096, 1 << 14), (4096, 8), (5, 1 << 14), (2, 8)])
 def test_variants_equal_all_pairs(spark, monkeypatch, long_list, dictionary):
-    monkeypatch.setattr(spelling, "LONG_LIST", long_list)
-    monkeypatch.setattr(spelling, "DICTIONARY", dictionary)
+    for name, value in (("LONG_LIST", long_list), ("DICTIONARY", dictionary)):
+        monkeypatch.setattr(spelling, name, value)
     counts = similar_words(random.Random(1))
     df = spark.createDataFrame([*counts.items()], "word string, n bigint").repartition(3)
     found = spelling.variants(df)
@@ -95,11 +95,13 @@ def test_the_query(spark, no_documents):
 def test_bound_of_affected_grams():
     rng = random.Random(5)
     for _ in range(300):
-        dictionary = frozenset("".join(rng.choice("ab") for _ in range(rng.randrange(2, 6))) for _ in range(rng.randrange(30)))
+        own = ["".join(rng.choice("ab") for _ in range(rng.randrange(2, 6))) for _ in range(rng.randrange(30))]
+        grams = spelling.Grams(dict.fromkeys(own, 9), 5)
         word = "".join(rng.choice("ab") for _ in range(rng.randrange(7, 12)))
         at, letter = rng.randrange(len(word) + 1), rng.choice("abc")
         other = rng.choice([word[:at] + letter + word[at:], word[:at] + letter + word[at + 1 :]])
         if other != word:
-            short, long = (spelling.grams_of(w, dictionary) for w in sorted((word, other), key=len))
+            short, long = (grams.of(w) for w in sorted((word, other), key=len))
             least = max(len(g) - spelling.affected(g) for g in (short, long))
             assert spelling.shared_grams(short, long) >= least > 0
+            assert spelling.Merged(grams).meet_first(*sorted((word, other), key=len)) is not None
