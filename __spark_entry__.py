@@ -29,9 +29,17 @@ from tallygauge import (
     size,
 )
 from tallygauge.operators.checks import Constraint, check_status, verify
+from tallygauge.operators.file_states import (
+    read_file_states,
+    read_window,
+    tree_of_days,
+    write_file_states,
+    write_tree,
+)
 from tallygauge.operators.history import append_run, read_history, with_change
 from tallygauge.operators.keyed import METRIC_COLUMNS, with_keys
 from tallygauge.operators.states import compute_states, results_from_states
+from tallygauge.operators.verdicts import write_split
 from tallygauge.plans.batch import Job, run
 from tallygauge.plans.profile import successes
 from tallygauge.sources.files import SOURCE_PATH, read_files
@@ -53,6 +61,7 @@ from tallygauge.sources.metric_table import (
     read_results,
     upsert_results,
 )
+from tallygauge.sources.tables import read_rows
 from tallygauge.sources.workspace import new_folder
 from tallygauge.streaming.incremental import (
     compact_states,
@@ -818,6 +827,82 @@ def q_two_streams_one_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.unionByName(states.drop("entity").withColumn("stored", F.lit("states")))
 
 
+def q_file_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file of events per day; a third of the files are rewritten, the last one goes. All days, and two weeks of them."""
+    rows = events_with_gaps(spark, sf_dir).withColumn("day", F.col("ts").cast("date"))
+    rows = rows.withColumn("file_name", F.col("day").cast("string"))
+    spec = (
+        size()
+        + on("Mean", "user_id")
+        + on("CountDistinct", "user_id")
+        + on("Entropy", "event_type")
+        + pairs("MutualInformation", "event_type", "user_id")
+    )
+    by, path = ["file_name", "day"], new_folder(spark, "states")
+    files = stored(rows.groupBy("file_name", "day").count())
+    write_file_states(compute_states(rows, spec, by), files, path)
+    gone = files.agg(F.max("file_name").alias("file_name"))
+    changed = files.where(F.dayofmonth("day") % 3 == 1).join(gone, "file_name", "left_anti")
+    again = rows.where("user_id % 2 = 0").join(changed.select("file_name"), "file_name", "left_semi")
+    write_file_states(compute_states(again, spec, by), changed, path, gone)
+
+    states = read_file_states(spark, path)
+    whole = successes(results_from_states(states, spec)).withColumn("part", F.lit("all"))
+    tree = new_folder(spark, "tree")
+    write_tree(tree_of_days(states, "day"), tree)
+    first = files.agg(F.min(F.unix_date("day"))).first()[0]
+    window = read_window(spark, tree, first + 4, first + 17)
+    weeks = successes(results_from_states(window, spec)).withColumn("part", F.lit("days 4-17"))
+    return rounded(whole.unionByName(weeks))
+
+
+def q_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON and CSV text with broken lines and surplus cells: what is read, and what is kept aside."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value", (F.col("event_id") % 3).alias("part"))
+    cells = ("event_id", "user_id", "value")
+    lines = {
+        "json": F.when(F.col("event_id") % 7 == 0, F.expr("left(to_json(struct(event_id, user_id, value)), 12)")).otherwise(
+            F.to_json(F.struct(*cells))
+        ),
+        "csv": F.concat_ws(",", *cells, F.when(F.col("event_id") % 5 == 0, F.lit("one more"))),
+    }
+    parts = []
+    for file_format, line in lines.items():
+        root = new_folder(spark, "bad")
+        events.select(line.alias("line"), "part").write.partitionBy("part").text(f"{root}/in")
+        job = Job(
+            location=f"{root}/in",
+            metrics=size() + on("Sum", "user_id"),
+            manifest_path=f"{root}/manifest",
+            metrics_path=f"{root}/metrics",
+            bad_rows_path=f"{root}/bad",
+            file_format=file_format,
+            schema="event_id bigint, user_id bigint, value double",
+            options={"header": False} if file_format == "csv" else None,
+            pattern="*.txt",
+        )
+        run(spark, job)
+        found = read_metrics(spark, job.metrics_path).select("name", "value")
+        aside = read_rows(spark, job.bad_rows_path).select(F.lit("KeptAside").alias("name"), F.lit(1.0).alias("value"))
+        parts.append(found.union(aside).groupBy("name").agg(F.sum("value").alias("value")).withColumn("part", F.lit(file_format)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_row_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events that break a rule, with the rules, and the Compliance of the rules from the same pass."""
+    rules = compliance(["large", "known", "no click"], ["value >= 50", "user_id IS NOT NULL", "event_type <> 'click'"])
+    path = new_folder(spark, "verdicts")
+    kept = write_split(events_with_gaps(spark, sf_dir), rules, path)
+    broken = spark.read.parquet(path).where("broken = 'true'").select(
+        "event_id",
+        F.array_join("broken_rules", ",").alias("instance"),
+        F.lit("broken").alias("name"),
+        F.lit(None).cast("double").alias("value"),
+    )
+    shares = kept.select(F.lit(None).cast("bigint").alias("event_id"), "instance", "name", F.round("value", 9).alias("value"))
+    return broken.unionByName(shares)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: every metric family on all lineitem columns, per ship month, in three passes."""
     return flagship(spark, SMOKE_DIR)
@@ -906,6 +991,9 @@ def metric_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "two_streams_one_table": q_two_streams_one_table,
         "ingest_files": q_ingest_files,
         "incremental_ingest": q_incremental_ingest,
+        "file_states": q_file_states,
+        "bad_rows": q_bad_rows,
+        "row_verdicts": q_row_verdicts,
     }
 
 

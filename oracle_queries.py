@@ -365,8 +365,34 @@ FROM orders GROUP BY ALL
 """
 
 
+FINAL_FILES = """(SELECT *, CAST(ts AS DATE) AS d, min(CAST(ts AS DATE)) OVER () AS first, max(CAST(ts AS DATE)) OVER () AS last
+FROM (SELECT ts, nullif(event_type, 'error') AS event_type, nullif(user_id, 1) AS user_id FROM events) e)"""
+KEPT_FILES = f"""(SELECT 'all' AS part, * FROM {FINAL_FILES} a WHERE d < last AND (day(d) % 3 <> 1 OR user_id % 2 = 0)
+UNION ALL SELECT 'days 4-17' AS part, * FROM {FINAL_FILES} b
+WHERE d < last AND (day(d) % 3 <> 1 OR user_id % 2 = 0) AND d BETWEEN first + 4 AND first + 17)"""
+BAD_ROWS = union(
+    f"SELECT '{part}' AS part, name, CAST(value AS DOUBLE) AS value FROM (SELECT count(*) FILTER (WHERE NOT bad) AS \"Size\", "
+    'count(*) FILTER (WHERE bad) AS "BadRows", count(*) FILTER (WHERE bad) AS "KeptAside", sum(user_id) FILTER (WHERE NOT bad) AS "Sum" '
+    f"FROM (SELECT *, event_id % {n} = 0 AS bad FROM events) e) UNPIVOT (value FOR name IN (\"Size\", \"BadRows\", \"KeptAside\", \"Sum\"))"
+    for part, n in (("json", 7), ("csv", 5))
+)
+RULES = {"large": "value >= 50", "known": "user_id IS NOT NULL", "no click": "event_type <> 'click'"}
+VERDICTS = union(
+    [
+        "SELECT event_id, instance, 'broken' AS name, CAST(NULL AS DOUBLE) AS value FROM (SELECT event_id, concat_ws(',', "
+        + ", ".join(f"CASE WHEN coalesce({rule}, false) THEN NULL ELSE '{name}' END" for name, rule in RULES.items())
+        + f") AS instance FROM {EVENTS} e) b WHERE instance <> ''",
+        *(
+            f"SELECT CAST(NULL AS BIGINT) AS event_id, '{name}' AS instance, 'Compliance' AS name, "
+            f"round(count(*) FILTER (WHERE {rule}) / count(*)::DOUBLE, 9) AS value FROM {EVENTS} e"
+            for name, rule in RULES.items()
+        ),
+    ]
+)
+
+
 def statements() -> dict[str, str]:
-    flags, status, days = Source(FLAGS), Source(STATUS), Source(DAYS)
+    flags, status, days, files = Source(FLAGS), Source(STATUS), Source(DAYS), Source(KEPT_FILES)
     daily = Source("(SELECT *, part AS file_name FROM " + EVENTS + " e)", digits=6)
     daily_rows = union(
         daily.size()
@@ -510,6 +536,15 @@ def statements() -> dict[str, str]:
                 ("l_quantity", "ApproxQuantile-0.5"),
             )
         ),
+        "file_states": union(
+            files.size()
+            + files.each("Mean", "user_id", "avg($)")
+            + files.frequency("CountDistinct", "user_id")
+            + files.frequency("Entropy", "event_type")
+            + files.mutual_information("event_type", "user_id")
+        ),
+        "bad_rows": BAD_ROWS,
+        "row_verdicts": VERDICTS,
         "profile_groups": GROUPS,
         "verify_checks": VERIFY,
         "check_status": CHECK_STATUS,

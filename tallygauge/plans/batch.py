@@ -6,7 +6,7 @@ from collections import defaultdict
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
-from itertools import accumulate, batched
+from itertools import accumulate, batched, zip_longest
 
 from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
@@ -37,7 +37,7 @@ from tallygauge.sources.metric_table import (
     read_results,
     upsert_results,
 )
-from tallygauge.sources.tables import compact_when_many
+from tallygauge.sources.tables import compact_when_many, read_commits, write_rows
 from tallygauge.sources.workspace import new_folder
 from tallygauge.spec import Metric, distinct_metrics, from_parameters
 
@@ -61,6 +61,9 @@ class Job:
 
     ``listing`` may give the files in place of listing the location, for example from an inventory:
     ``bucket_name``, ``file_name``, ``length`` and ``modified``.
+
+    With ``bad_rows_path``, CSV and JSON rows that do not parse are kept there with their file, are no rows of the data, and
+    their number is a metric of the file, ``BadRows``. Without it they count as rows, read as far as they go.
     """
 
     location: str
@@ -77,6 +80,11 @@ class Job:
     files_per_round: int = FILES_PER_ROUND
     bytes_per_round: int = BYTES_PER_ROUND
     listing: DataFrame | None = None
+    bad_rows_path: str | None = None
+
+    @property
+    def checks_rows(self) -> bool:
+        return self.bad_rows_path is not None and self.file_format in files_source.TEXT_FORMATS
 
     @classmethod
     def from_parameters(cls, parameters: Mapping[str, object], **settings) -> Job:
@@ -215,14 +223,19 @@ def shuffle_partitions(input_bytes: int, configured: int) -> int:
 
 def process(spark: SparkSession, job: Job, some: Iterable[Group]) -> None:
     """Measure, store and export the files of some groups."""
-    read = [group_inputs(spark, job, group) for group in some]
+    some = list(some)
+    checked = [read_checked_group(spark, job, group) for group in some] if job.checks_rows else []
+    read = [group_inputs(spark, job, group, rows) for group, rows in zip_longest(some, checked)]
     # Text is parsed again by every pass, so the few columns in use are kept after the first.
-    kept = [i.base for _, _, i in read if job.file_format in files_source.TEXT_FORMATS and passes(i) > 1]
+    is_text = job.file_format in files_source.TEXT_FORMATS and not checked
+    kept = [i.base for _, _, i in read if is_text and passes(i) > 1]
     for base in kept:
         base.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         name = {"file_name": file_name(F.col(files_source.SOURCE_PATH), job.location)}
         parts = []
+        if checked:
+            parts.append(kept_aside(spark, job, checked, [n for group in some for n in group.names]))
         for group, data, inputs in read:
             listed = local_table(spark, "file_name string", [(n,) for n in group.names])
             results = profile_inputs(inputs, listed, name).results
@@ -233,6 +246,40 @@ def process(spark: SparkSession, job: Job, some: Iterable[Group]) -> None:
             base.unpersist()
 
 
+def read_checked_group(spark: SparkSession, job: Job, group: Group) -> DataFrame:
+    """The rows of a group's files, parsed once and stored with the text of those that do not parse."""
+    paths, schema = paths_of(job, group.names), group.schema
+    if schema is None:
+        found = files_source.read_files(spark, paths, job.file_format, None, job.options)
+        schema = found.drop(files_source.SOURCE_PATH).schema
+    rows = files_source.read_checked(spark, paths, job.file_format, schema, job.options)
+    # Which rows parse is told by all columns of the text; a reader that is asked for a few would tell otherwise.
+    place = new_folder(spark, "checked")
+    rows.write.parquet(place)
+    return spark.read.schema(rows.schema).parquet(place)
+
+
+def kept_aside(spark: SparkSession, job: Job, checked: list[DataFrame], names: list[str]) -> DataFrame:
+    """Store the rows of some files that do not parse; how many each file has, as results."""
+    bad = reduce(DataFrame.unionByName, map(files_source.bad_rows, checked))
+    rows = bad.select(
+        F.lit(job.bucket).alias("bucket_name"),
+        file_name(F.col(files_source.SOURCE_PATH), job.location).alias("file_name"),
+        F.col(files_source.BAD_ROW).alias("row"),
+    )
+    commit = write_rows(rows, job.bad_rows_path)
+    counts = read_commits(spark, job.bad_rows_path, [commit]).groupBy("file_name").agg(F.count("*").alias("n"))
+    listed = local_table(spark, "file_name string", [(n,) for n in names])
+    return listed.join(counts, "file_name", "left").select(
+        "file_name",
+        F.lit("Dataset").alias("entity"),
+        F.lit("*").alias("instance"),
+        F.lit("BadRows").alias("name"),
+        F.coalesce("n", F.lit(0)).cast("double").alias("value"),
+        F.lit(None).cast("string").alias("reason"),
+    )
+
+
 def store(spark: SparkSession, job: Job, results: DataFrame) -> None:
     """Keep and export the results of some files."""
     commit = upsert_results(results.withColumn("bucket_name", F.lit(job.bucket)), job.metrics_path)
@@ -276,6 +323,10 @@ def groups_of(spark: SparkSession, job: Job, names: list[str]) -> list[Group]:
             groups.append(Group(list(paths), None if is_csv or not key.startswith("STRUCT<") else key))
         else:
             layouts.append(Layout(paths, columns))
+    if job.checks_rows:
+        # Whether a row has the cells of its header is told file by file, so layouts are not mixed.
+        groups += [Group(list(layout.paths), layout.columns) for layout in layouts]
+        layouts = []
     for members in compatible(layouts):
         own = [n for layout in members for n in layout.paths]
         groups.append(Group(own, layouts=members))
@@ -305,10 +356,14 @@ def paths_of(job: Job, names: Iterable[str]) -> list[str]:
     return [f"{job.location.rstrip('/')}/{name}" for name in names]
 
 
-def group_inputs(spark: SparkSession, job: Job, group: Group) -> tuple[Group, DataFrame, Inputs]:
+def group_inputs(
+    spark: SparkSession, job: Job, group: Group, checked: DataFrame | None = None
+) -> tuple[Group, DataFrame, Inputs]:
     """The rows of a group's files, and what its metrics need of them."""
     paths = paths_of(job, group.names)
-    if group.layouts:
+    if checked is not None:
+        data = files_source.good_rows(checked)
+    elif group.layouts:
         data = read_together(spark, group.layouts, paths, job.file_format, job.options or {})
     else:
         data = files_source.read_files(spark, paths, job.file_format, group.schema, job.options)

@@ -18,6 +18,7 @@ from tallygauge.functions.local import local_table
 FORMATS = ("csv", "json", "parquet")
 TEXT_FORMATS = ("csv", "json")
 SOURCE_PATH = "__source_path"
+BAD_ROW = "__bad_row"
 LONGEST_HEADER = 1 << 20
 MAX_PARTITION_BYTES = "spark.sql.files.maxPartitionBytes"
 
@@ -48,6 +49,40 @@ def read_files(
     return data.select("*", F.col("_metadata.file_path").alias(SOURCE_PATH))
 
 
+def read_checked(
+    spark: SparkSession,
+    paths: str | Iterable[str],
+    file_format: str,
+    schema: T.StructType | str,
+    options: Mapping[str, object] | None = None,
+) -> DataFrame:
+    """Like ``read_files`` for CSV or JSON of a given schema, with the text of rows that do not parse in ``__bad_row``.
+
+    Such a row is broken JSON, has more or fewer cells than the header, or a cell that is not of its type. Its other
+    columns are as far as they could be read; ``__bad_row`` is null for all other rows. Write the rows before
+    asking for some of their columns: a reader that is asked for a few does not look at the others.
+    """
+    if file_format not in TEXT_FORMATS:
+        raise ValueError(f"rows are checked in {TEXT_FORMATS}, got {file_format!r}")
+    schema = T.DataType.fromDDL(schema) if isinstance(schema, str) else schema
+    wide = T.StructType([*schema.fields, T.StructField(BAD_ROW, T.StringType())])
+    reader = spark.read.format(file_format).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_ROW)
+    if file_format == "csv":
+        reader = reader.option("header", True).option("enforceSchema", False)
+    paths = [paths] if isinstance(paths, str) else [literal_path(p) for p in paths]
+    data = reader.schema(wide).options(**dict(options or {})).load(paths)
+    return data.select("*", F.col("_metadata.file_path").alias(SOURCE_PATH))
+
+
+def good_rows(checked: DataFrame) -> DataFrame:
+    return checked.where(F.col(BAD_ROW).isNull()).drop(BAD_ROW)
+
+
+def bad_rows(checked: DataFrame) -> DataFrame:
+    """``__source_path`` and ``__bad_row`` of the rows that do not parse."""
+    return checked.where(F.col(BAD_ROW).isNotNull()).select(SOURCE_PATH, BAD_ROW)
+
+
 def literal_path(path: str) -> str:
     """A path in which no character is taken as a glob."""
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
