@@ -112,6 +112,9 @@ class Words(dict):
         self.b_bytes = [
             bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(own)
         ]
+        # A byte-level vocabulary with all bytes keeps every text; the other one is compared word by word.
+        if self.a.normalizer is not None or not {bytes([b]) for b in range(256)} <= {*self.a_bytes}:
+            raise ValueError("the first vocabulary does not keep the bytes of texts")
         if joins_words(self.a_bytes) or joins_words(self.b_bytes):
             raise ValueError("a vocabulary with tokens over several words")
         if max(size, len(own)) > 1 << 16:
@@ -133,11 +136,11 @@ class Words(dict):
         a = self.a.encode_batch_fast(new, add_special_tokens=False)
         # The second tokenizer puts the space before a text itself, but not before an empty one.
         b = self.b.encode([w[1:] for w in new], num_threads=1)
-        a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+        b_bytes = self.b_bytes.__getitem__
         for word, encoded, other in zip(new, a, b, strict=True):
-            own, other, text = encoded.ids, other or self.space, word.encode()
-            if b"".join(map(a_bytes, own)) == text == b"".join(map(b_bytes, other)):
-                self[word] = array("H", own).tobytes(), array("H", other).tobytes()
+            other = other or self.space
+            if b"".join(map(b_bytes, other)) == word.encode():
+                self[word] = array("H", encoded.ids).tobytes(), array("H", other).tobytes()
             else:
                 self[word] = None
 
@@ -204,18 +207,18 @@ class Aligned:
 def align_stretch(words: list[str], parts: list[tuple[Aligned, int]], known: Words) -> None:
     """Align words, which belong to some documents; ``parts`` has each with the number of its words."""
     known.learn(words)
-    found, counts, docs, at = [], [], [], 0
-    for doc, n in parts:
-        own = [known[w] for w in words[at : at + n]]
-        at += n
-        if None in own:
-            doc.whole = False
-        elif doc.whole:
-            found += own
-            counts.append(n)
-            docs.append(doc)
-    if not docs:
+    found = list(map(known.__getitem__, words))
+    if None in found:
+        kept, at = [], 0
+        for doc, n in parts:
+            doc.whole &= None not in found[at : at + n]
+            kept.append((doc, n, found[at : at + n]))
+            at += n
+        parts = [(doc, n) for doc, n, _ in kept if doc.whole]
+        found = [cells for doc, _, own in kept if doc.whole for cells in own]
+    if not parts:
         return
+    docs, counts = zip(*parts, strict=True)
     a_cells, b_cells = zip(*found, strict=True)
     a, b = (np.frombuffer(b"".join(c), np.uint16).astype(np.int64) for c in (a_cells, b_cells))
     words_end = np.cumsum(counts)
