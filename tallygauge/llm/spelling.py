@@ -351,7 +351,7 @@ def near_in_long_lists(words: DataFrame, grams: Grams) -> DataFrame:
                 if out:
                     yield batch_of(out, SPLIT)
 
-    rows = ids.select("word", "id").mapInArrow(batched_rows(split), SPLIT)
+    rows = saved(ids.select("word", "id").mapInArrow(batched_rows(split), SPLIT), "split")
     key = ["list", "place", "left"]
     first = rows.where("NOT longer").select(*key, F.col("id").alias("a"))
     other = rows.where("place >= 0 OR longer").select(*key, F.col("id").alias("b"), "longer")
