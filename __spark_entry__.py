@@ -63,6 +63,7 @@ from tallygauge.sources.metric_table import (
 )
 from tallygauge.sources.tables import read_rows
 from tallygauge.sources.workspace import new_folder
+from tallygauge.streaming.event_time import WINDOW, ingest_windows, late_rows, read_windows
 from tallygauge.streaming.incremental import (
     compact_states,
     file_stream,
@@ -738,6 +739,41 @@ def q_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(successes(results_from_states(states, spec, ["part"])))
 
 
+def q_event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of six hours of events that come in three runs, many of them late; some have no time."""
+    root = new_folder(spark, "windows")
+    delayed = F.col("event_id") % 7 == 3
+    run_of = F.when(delayed, F.when(F.col("user_id") % 2 == 0, 2).otherwise(3)).when(F.dayofmonth("ts") < 15, 1).otherwise(2)
+    events = table(spark, sf_dir, "events").withColumn("run", run_of)
+    events = events.withColumn("ts", F.when(F.col("event_id") % 101 != 0, F.col("ts")))
+    spec = (
+        size()
+        + on("Mean", "user_id")
+        + on("CountDistinct", "user_id")
+        + on("Entropy", "event_type")
+        + pairs("MutualInformation", "event_type", "user_id")
+    )
+    length, delay = "6 hours", "3 hours"
+    arriving = events.drop("run")
+    for step in (1, 2, 3):
+        events.where(F.col("run") == step).drop("run").write.mode("append").parquet(f"{root}/in")
+        stream = file_stream(spark, f"{root}/in", "parquet", arriving.schema)
+        paths = (f"{root}/out", f"{root}/checkpoint")
+        ingest_windows(stream, spec, "ts", length, delay, *paths).awaitTermination()
+    part = F.date_format(F.to_utc_timestamp(WINDOW, F.current_timezone()), "yyyy-MM-dd HH").alias("part")
+    found = successes(results_from_states(read_windows(spark, f"{root}/out"), spec, [WINDOW]))
+    came = late_rows(spark, f"{root}/out", length, delay)
+    counts = {"Late": F.col("over"), "Untimed": F.col(WINDOW).isNull()}
+    shown = F.array(
+        *[
+            F.struct(F.lit(name).alias("name"), F.when(holds, F.col("late" if name == "Late" else "arrived")).cast("double").alias("value"))
+            for name, holds in counts.items()
+        ]
+    )
+    came = came.select(part, F.lit("Dataset").alias("entity"), F.lit("*").alias("instance"), F.inline(shown))
+    return rounded(found.select(part, "entity", "instance", "name", "value").unionByName(came.where("value IS NOT NULL")))
+
+
 def q_run_job_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every metric of every file of orders, a CSV file per status, from the export of the job."""
     root = new_folder(spark, "job")
@@ -991,6 +1027,7 @@ def metric_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "two_streams_one_table": q_two_streams_one_table,
         "ingest_files": q_ingest_files,
         "incremental_ingest": q_incremental_ingest,
+        "event_windows": q_event_windows,
         "file_states": q_file_states,
         "bad_rows": q_bad_rows,
         "row_verdicts": q_row_verdicts,

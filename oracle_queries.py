@@ -16,6 +16,21 @@ MONTHS = "(SELECT *, strftime(l_shipdate, '%Y-%m') AS part FROM lineitem)"
 STATUS = "(SELECT *, o_orderstatus AS part FROM orders)"
 DAYS = "(SELECT *, strftime(ts, '%Y-%m-%d') AS part FROM events)"
 
+# Events by the run they come in. A row is late if the watermark has passed its window after the runs before; the
+# window is over if the watermark has passed it after all runs.
+ARRIVING = (
+    "(SELECT event_type, user_id, if(event_id % 101 != 0, ts, NULL) AS came, CASE WHEN event_id % 7 = 3 THEN "
+    "if(user_id % 2 = 0, 2, 3) WHEN day(ts) < 15 THEN 1 ELSE 2 END AS run FROM events)"
+)
+MARKED = (
+    f"(SELECT *, strftime(start, '%Y-%m-%d %H') AS part, start + INTERVAL 6 HOUR <= mark AS late, "
+    f"start + INTERVAL 6 HOUR <= (SELECT max(came) - INTERVAL 3 HOUR FROM {ARRIVING} x) AS done FROM ("
+    f"SELECT a.*, time_bucket(INTERVAL 6 HOUR, came, TIMESTAMP '2000-01-01') AS start, m.mark FROM {ARRIVING} a JOIN ("
+    f"SELECT r.run, max(b.came) - INTERVAL 3 HOUR AS mark FROM (VALUES (1), (2), (3)) r(run) "
+    f"LEFT JOIN {ARRIVING} b ON b.run < r.run GROUP BY r.run) m ON a.run = m.run) w)"
+)
+IN_TIME = f"(SELECT * FROM {MARKED} k WHERE done AND NOT coalesce(late, false))"
+
 
 def union(statements) -> str:
     return "\nUNION ALL\n".join(f"({s})" for s in statements)
@@ -393,6 +408,7 @@ VERDICTS = union(
 
 def statements() -> dict[str, str]:
     flags, status, days, files = Source(FLAGS), Source(STATUS), Source(DAYS), Source(KEPT_FILES)
+    in_time = Source(IN_TIME)
     daily = Source("(SELECT *, part AS file_name FROM " + EVENTS + " e)", digits=6)
     daily_rows = union(
         daily.size()
@@ -536,6 +552,15 @@ def statements() -> dict[str, str]:
                 ("l_quantity", "ApproxQuantile-0.5"),
             )
         ),
+        "event_windows": union(
+            in_time.size()
+            + in_time.each("Mean", "user_id", "avg($)")
+            + in_time.frequency("CountDistinct", "user_id")
+            + in_time.frequency("Entropy", "event_type")
+            + in_time.mutual_information("event_type", "user_id")
+            + Source(f"(SELECT * FROM {MARKED} k WHERE done)").scan("Dataset", "*", "Late", "count(*) FILTER (WHERE late)")
+            + Source(f"(SELECT * FROM {MARKED} k WHERE came IS NULL)").scan("Dataset", "*", "Untimed", "count(*)")
+        ),
         "file_states": union(
             files.size()
             + files.each("Mean", "user_id", "avg($)")

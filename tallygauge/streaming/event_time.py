@@ -15,7 +15,7 @@ from contextlib import contextmanager
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -56,10 +56,7 @@ def ingest_windows(
     metrics, by = list(metrics), list(by)
     if WINDOW in by:
         raise ValueError(f"a grouping column cannot be named {WINDOW}")
-    timed = stream.withColumn("__time", F.col(C.quoted(time)))
-    kind = timed.schema["__time"].dataType
-    if not isinstance(kind, T.TimestampType | T.TimestampNTZType):
-        raise ValueError(f"column {time} is {kind.simpleString()}, not a timestamp")
+    timed = stream.withColumn("__time", event_time(stream, time))
     start = F.window("__time", length).getField("start").alias(WINDOW)
     marked = timed.withWatermark("__time", delay)
     window = F.window("__time", length).alias(WINDOW)
@@ -70,7 +67,7 @@ def ingest_windows(
     tables = {"scan": scan_states(inputs, mergeable=True), **count_tables(inputs)}
     parts = [as_part(name, table.withColumn(WINDOW, F.col(WINDOW)["start"])) for name, table in tables.items()]
     # F.window leaves rows without a time out, so these come from the same stream beside it.
-    untimed = timed.where("__time IS NULL").withColumn(WINDOW, F.lit(None).cast(kind))
+    untimed = timed.where("__time IS NULL").withColumn(WINDOW, F.lit(None).cast("timestamp"))
     keys = [WINDOW, *map(C.quoted, by)]
     arrivals = timed.where("__time IS NOT NULL").select(start, *keys[1:], "__time")
     arrivals = arrivals.unionByName(untimed.select(*keys, "__time"))
@@ -88,6 +85,18 @@ def ingest_windows(
         )
 
 
+def event_time(stream: DataFrame, time: str) -> Column:
+    """The time as a point in time, which watermarks need; a time without a zone is taken as UTC in every session."""
+    kind = stream.select(C.quoted(time)).schema[0].dataType
+    if isinstance(kind, T.TimestampType):
+        return F.col(C.quoted(time))
+    if not isinstance(kind, T.TimestampNTZType):
+        raise ValueError(f"column {time} is {kind.simpleString()}, not a timestamp")
+    t = C.quoted(time)
+    minutes = f"unix_date(CAST({t} AS DATE)) * 1440L + hour({t}) * 60L + minute({t})"
+    return F.expr(f"timestamp_micros(({minutes}) * 60000000L + CAST(extract(SECOND FROM {t}) * 1000000 AS BIGINT))")
+
+
 def count_tables(inputs: Inputs) -> dict[str, DataFrame]:
     tables = {"frequency": frequency_states(inputs), "joint": joint_states(inputs)}
     return {kind: table for kind, table in tables.items() if table is not None}
@@ -104,7 +113,7 @@ def counted_by_task(rows: DataFrame, keys: list[str]) -> DataFrame:
     Nothing is kept from batch to batch: the partial counts are rows of the output and added up when they are read.
     """
     fields = [rows.schema[k] for k in keys]
-    kept = [T.StructField(ROWS, T.LongType()), T.StructField(LATEST, rows.schema["__time"].dataType)]
+    kept = [T.StructField(ROWS, T.LongType()), T.StructField(LATEST, T.TimestampType())]
     schema = T.StructType([*(T.StructField(f"k{i}", f.dataType) for i, f in enumerate(fields)), *kept])
     names = [f"k{i}" for i in range(len(keys))]
     plain = rows.select(*[F.col(C.quoted(k)).alias(n) for k, n in zip(keys, names)], F.col("__time").alias(LATEST))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallygauge import on, pairs, size
 from tallygauge.operators.states import results_from_states
 from tallygauge.plans.profile import profile
-from tallygauge.streaming.event_time import STATE_STORE, WINDOW, ingest_windows, late_rows, read_windows
+from tallygauge.streaming.event_time import STATE_STORE, WINDOW, event_time, ingest_windows, late_rows, read_windows
 from tallygauge.streaming.incremental import file_stream
 
 SCHEMA = "id int, at timestamp, kind string, state string"
@@ -116,3 +116,15 @@ def test_what_cannot_be_measured_is_refused_at_the_start(spark, folder):
         ingest_windows(stream, on("Mean", "kind"), "at", "1 hour", "1 hour", "o", "c")
     with pytest.raises(ValueError, match="not a timestamp"):
         ingest_windows(stream, SPEC, "id", "1 hour", "1 hour", "o", "c")
+
+
+def test_times_without_a_zone_are_utc_in_every_session(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        texts = ["2024-03-10 02:30:00.123456", "1969-12-31 23:59:59.999999", "2024-11-03 01:30:00"]
+        times = spark.createDataFrame([(t,) for t in texts], "t string").select(F.col("t").cast("timestamp_ntz").alias("at"))
+        found = times.select(F.unix_micros(event_time(times, "at"))).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert [r[0] for r in found] == [1710037800123456, -1, 1730597400000000]
