@@ -38,6 +38,7 @@ from tallygauge.operators.file_states import (
 )
 from tallygauge.operators.history import append_run, read_history, with_change
 from tallygauge.operators.keyed import METRIC_COLUMNS, with_keys
+from tallygauge.operators.samples import SAMPLED, sample_results, sample_states
 from tallygauge.operators.states import compute_states, results_from_states
 from tallygauge.operators.verdicts import write_split
 from tallygauge.plans.batch import Job, run
@@ -739,6 +740,27 @@ def q_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(successes(results_from_states(states, spec, ["part"])))
 
 
+def q_sampled_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact values, whether the bounds of a sample hold them, and whether samples of months merge to the same."""
+    columns, k = "l_partkey,l_orderkey,l_extendedprice,l_quantity", 256
+    spec = [m for kind in SAMPLED for m in on(kind, columns)]
+    rows = table(spark, sf_dir, "lineitem").withColumn("part", F.col("l_returnflag")).withColumn("month", month("l_shipdate"))
+    exact = profile(rows, spec, ["part"]).metrics
+    direct = sample_results(sample_states(rows, spec, ["part"], k), spec, ["part"], k)
+    months = stored(sample_states(rows, spec, ["part", "month"], k))
+    merged = sample_results(months, spec, ["part"], k)
+    keys = ["part", "instance", "name"]
+    bounds = [c for c in direct.columns if c not in (*keys, "entity")]
+    twice = direct.drop("entity").join(merged.select(*keys, F.struct(*bounds).alias("again")), keys)
+    both = twice.join(exact.select(*keys, F.col("value").alias("exact")), keys, "full")
+    return both.select(
+        *keys,
+        F.round("exact", 9).alias("exact"),
+        F.col("exact").between(F.col("low"), F.col("high")).alias("within_bounds"),
+        (F.struct(*bounds) == F.col("again")).alias("same_merged"),
+    )
+
+
 def q_event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of six hours of events that come in three runs, many of them late; some have no time."""
     root = new_folder(spark, "windows")
@@ -1028,6 +1050,7 @@ def metric_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_files": q_ingest_files,
         "incremental_ingest": q_incremental_ingest,
         "event_windows": q_event_windows,
+        "sampled_distinct": q_sampled_distinct,
         "file_states": q_file_states,
         "bad_rows": q_bad_rows,
         "row_verdicts": q_row_verdicts,

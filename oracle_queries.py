@@ -561,6 +561,13 @@ def statements() -> dict[str, str]:
             + Source(f"(SELECT * FROM {MARKED} k WHERE done)").scan("Dataset", "*", "Late", "count(*) FILTER (WHERE late)")
             + Source(f"(SELECT * FROM {MARKED} k WHERE came IS NULL)").scan("Dataset", "*", "Untimed", "count(*)")
         ),
+        "sampled_distinct": "SELECT part, instance, name, value AS exact, true AS within_bounds, true AS same_merged FROM ("
+        + union(
+            s
+            for kind in ("CountDistinct", "Distinctness", "Uniqueness", "UniqueValueRatio")
+            for s in Source(FLAGS, digits=9).frequency(kind, "l_partkey,l_orderkey,l_extendedprice,l_quantity")
+        )
+        + ") x",
         "file_states": union(
             files.size()
             + files.each("Mean", "user_id", "avg($)")
