@@ -3,7 +3,8 @@
 The vocabulary cuts a text into words by a fixed pattern and merges bytes within each word, so the
 ids of a text are those of its words in a row. Words are cut here with numpy over code point classes,
 equal words of many texts are found together, and each distinct word is encoded once per worker (a
-bounded cache). ``tests/llm`` compares the ids with those of the ``tokenizers`` library.
+bounded cache). A text with a code point that Python's Unicode tables do not know, and the library's may, is
+encoded by the ``tokenizers`` library. ``tests/llm`` compares all ids with those of that library.
 """
 
 from __future__ import annotations
@@ -12,10 +13,12 @@ import base64
 import unicodedata
 from array import array
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import tiktoken
+from tokenizers import Tokenizer
 
 #: The same vocabulary as ``byte_bpe_50k.json``, as ranks of byte strings.
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -36,6 +39,11 @@ def class_table() -> np.ndarray:
     return table
 
 
+@lru_cache(maxsize=1)
+def unassigned() -> np.ndarray:
+    return np.fromiter((unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)), dtype=bool)
+
+
 def word_starts(text: str, codes: np.ndarray, begins: np.ndarray) -> np.ndarray:
     """Where the words of the pattern begin in texts that stand one after the other.
 
@@ -87,6 +95,12 @@ def words_of(path: str) -> Words:
     return Words(path)
 
 
+@lru_cache(maxsize=2)
+def library_of(path: str) -> Tokenizer:
+    """The same vocabulary in the library's own format, which lies beside the ranks."""
+    return Tokenizer.from_file(str(Path(path).with_suffix(".json")))
+
+
 def default_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
@@ -128,6 +142,13 @@ def encode_many(texts: list[str], path: str) -> list[np.ndarray]:
         return [np.empty(0, dtype="<u4") for _ in texts]
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
     begins = np.cumsum([0, *map(len, texts)])
+    unknown = np.flatnonzero(unassigned()[codes])
+    if len(unknown):
+        strange = set((np.searchsorted(begins, unknown, side="right") - 1).tolist())
+        ids = encode_many(["" if i in strange else t for i, t in enumerate(texts)], path)
+        for i in strange:
+            ids[i] = np.array(library_of(path).encode(texts[i], add_special_tokens=False).ids, dtype="<u4")
+        return ids
     starts = word_starts(text, codes, begins[:-1][begins[:-1] < len(codes)])
     lengths = np.diff(np.append(starts, len(codes)))
     first, which = same_words(codes, starts, lengths)

@@ -264,7 +264,11 @@ def test_token_ids(texts, tokenizer):
     own = [t or "" for t in texts] + ["".join(rng.choices(letters, k=rng.randrange(15))) for _ in range(3000)]
     found = tokens.encode_many(own, tokens.default_path())
     assert [f.tolist() for f in found] == [e.ids for e in tokenizer.encode_batch(own, add_special_tokens=False)]
-    special = ["a <|endoftext|> b", "<|endoftext|>", "", "x'll"]
+    newer = letters + "\u1c89\ua7da\U00010d40\U00010d6f\U0001e5f7"
+    own = ["".join(rng.choices(newer, k=rng.randrange(12))) for _ in range(20000)] + ["\U00010d6f 'd", "", "\U00010d6f'd"]
+    found = tokens.encode_many(own, tokens.default_path())
+    assert [f.tolist() for f in found] == [e.ids for e in tokenizer.encode_batch(own, add_special_tokens=False)]
+    special = ["a <|endoftext|> b", "<|endoftext|>", "", "x'll", "\U00010d6f 'd<|endoftext|>\U00010d6f'd"]
     found = tokens.encode_many(special, tokens.default_path())
     assert [f.tolist() for f in found] == [e.ids for e in tokenizer.encode_batch(special, add_special_tokens=False)]
 
