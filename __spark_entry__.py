@@ -38,6 +38,7 @@ from tallygauge.operators.file_states import (
 )
 from tallygauge.operators.history import append_run, read_history, with_change
 from tallygauge.operators.keyed import METRIC_COLUMNS, with_keys
+from tallygauge.operators.learned import Learning, check_run, last_states, learned_bounds
 from tallygauge.operators.samples import SAMPLED, sample_results, sample_states
 from tallygauge.operators.states import compute_states, results_from_states
 from tallygauge.operators.verdicts import write_split
@@ -761,6 +762,25 @@ def q_sampled_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_learned_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly metrics against bounds learned from the months before, and from the same months of years before.
+
+    The last month is checked against stored states, without the history.
+    """
+    spec = size() + on("Mean", "l_quantity") + on("CountDistinct", "l_partkey")
+    runs = stored(profile(table(spark, sf_dir, "lineitem"), spec, [month("l_shipdate").alias("part")]).metrics)
+    last = runs.agg(F.max("part")).first()[0]
+    found = []
+    for name, learning in (("plain", Learning(spread=2.0)), ("season", Learning(spread=1.0, season=12))):
+        before = stored(learned_bounds(runs.where(F.col("part") < last), learning, "part"))
+        newest = check_run(last_states(before, "part"), runs.where(F.col("part") == last), learning)
+        found.append(before.unionByName(newest).withColumn("learning", F.lit(name)))
+    shown = ("value", "expected", "low", "high")
+    return found[0].unionByName(found[1]).select(
+        "learning", "part", "instance", "name", *[F.round(c, 5).alias(c) for c in shown], "broken"
+    )
+
+
 def q_event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of six hours of events that come in three runs, many of them late; some have no time."""
     root = new_folder(spark, "windows")
@@ -1050,6 +1070,7 @@ def metric_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_files": q_ingest_files,
         "incremental_ingest": q_incremental_ingest,
         "event_windows": q_event_windows,
+        "learned_checks": q_learned_checks,
         "sampled_distinct": q_sampled_distinct,
         "file_states": q_file_states,
         "bad_rows": q_bad_rows,

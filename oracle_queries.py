@@ -356,6 +356,44 @@ SELECT part, instance, name, round(value, 6) AS value, round(previous, 6) AS pre
 FROM p
 """
 
+# A row per run and way of learning, with the state after it: seen, mean and variance of the differences.
+LEARNED = """
+WITH RECURSIVE m AS (
+  SELECT strftime(l_shipdate, '%Y-%m') AS part, count(*)::DOUBLE AS rows, avg(l_quantity) AS mean,
+         count(DISTINCT l_partkey)::DOUBLE AS parts
+  FROM lineitem GROUP BY ALL),
+r AS (
+  SELECT part, '*' AS instance, 'Size' AS name, rows AS value FROM m
+  UNION ALL SELECT part, 'l_quantity', 'Mean', mean FROM m
+  UNION ALL SELECT part, 'l_partkey', 'CountDistinct', parts FROM m),
+w AS (SELECT * FROM (VALUES ('plain', 2.0::DOUBLE), ('season', 1.0::DOUBLE)) v(learning, spread)),
+n AS (
+  SELECT learning, spread, part, instance, name, value,
+         row_number() OVER (PARTITION BY learning, instance, name ORDER BY part) AS i,
+         CASE WHEN learning = 'plain' THEN 0.0::DOUBLE
+              ELSE lag(value, 12) OVER (PARTITION BY learning, instance, name ORDER BY part) END AS base
+  FROM r CROSS JOIN w),
+s AS (
+  SELECT learning, instance, name, 0::BIGINT AS i, 0::BIGINT AS seen, 0.0::DOUBLE AS mean, 0.0::DOUBLE AS variance
+  FROM n WHERE i = 1
+  UNION ALL
+  SELECT s.learning, s.instance, s.name, n.i,
+         CASE WHEN n.base IS NULL THEN s.seen ELSE s.seen + 1 END,
+         CASE WHEN n.base IS NULL THEN s.mean WHEN s.seen = 0 THEN n.value - n.base
+              ELSE s.mean + 0.3::DOUBLE * (n.value - n.base - s.mean) END,
+         CASE WHEN n.base IS NULL OR s.seen = 0 THEN s.variance
+              ELSE 0.7::DOUBLE * (s.variance + 0.3::DOUBLE * (n.value - n.base - s.mean) * (n.value - n.base - s.mean)) END
+  FROM s JOIN n ON n.learning = s.learning AND n.instance = s.instance AND n.name = s.name AND n.i = s.i + 1),
+b AS (
+  SELECT n.*, CASE WHEN s.seen >= 5 THEN n.base + s.mean END AS expected,
+         n.spread * sqrt(s.variance) + 1e-9::DOUBLE * abs(n.base + s.mean) AS width
+  FROM n JOIN s ON n.learning = s.learning AND n.instance = s.instance AND n.name = s.name AND n.i = s.i + 1)
+SELECT learning, part, instance, name, round(value, 5) AS value, round(expected, 5) AS expected,
+       round(expected - width, 5) AS low, round(expected + width, 5) AS high,
+       value < expected - width OR value > expected + width AS broken
+FROM b
+"""
+
 RUNS = """
 WITH o AS (
   SELECT '2024-01-01' AS run_date, * FROM orders WHERE o_orderstatus <> 'O'
@@ -581,6 +619,7 @@ def statements() -> dict[str, str]:
         "verify_checks": VERIFY,
         "check_status": CHECK_STATUS,
         "metric_history": HISTORY,
+        "learned_checks": LEARNED,
         "run_history": RUNS,
         "run_job": JOB,
         "ingest_files": (
