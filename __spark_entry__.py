@@ -36,7 +36,7 @@ from tallygauge.operators.file_states import (
     write_file_states,
     write_tree,
 )
-from tallygauge.operators.history import append_run, read_history, with_change
+from tallygauge.operators.history import append_run, as_of, keep_runs, read_history, with_change
 from tallygauge.operators.keyed import METRIC_COLUMNS, with_keys
 from tallygauge.operators.learned import Learning, check_run, last_states, learned_bounds
 from tallygauge.operators.samples import SAMPLED, sample_results, sample_states
@@ -762,6 +762,35 @@ def q_sampled_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_tagged_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs over the orders of a year with gaps, all orders and closed ones as two series: each against its last run of at
+    most 400 days ago, and against the other series; only the newest three of each are kept then."""
+    path = new_folder(spark, "runs")
+    orders = table(spark, sf_dir, "orders")
+    spec = size() + on("Mean", "o_custkey")
+    closed = F.col("o_orderstatus") == "F"
+    for tag, years, chosen in (("all", (1995, 1996, 1998, 1999, 2000), F.lit(True)), ("closed", (1995, 1997, 1998, 2001), closed)):
+        for year in years:
+            rows = orders.where((F.year("o_orderdate") == year) & chosen)
+            append_run(profile(rows, spec).metrics, path, f"{year}-12-31", {"orders": tag})
+    runs = read_history(spark, path)
+    own = as_of(runs, runs, within=400, same_date=False, by=["tags"]).withColumn("against", F.lit("own"))
+    other = as_of(read_history(spark, path, {"orders": "all"}), read_history(spark, path, {"orders": "closed"}))
+    both = stored(own.unionByName(other.withColumn("against", F.lit("closed"))))
+    keep_runs(spark, path, 3)
+    kept = read_history(spark, path).select("run_date", "tags").distinct().withColumn("kept", F.lit(True))
+    return both.join(kept, ["run_date", "tags"], "left").select(
+        "against",
+        F.get_json_object("tags", "$.orders").alias("part"),
+        F.year("run_date").alias("run"),
+        "instance",
+        "name",
+        *[F.round(c, 6).alias(c) for c in ("value", "baseline", "ratio")],
+        F.year("baseline_run").alias("baseline_run"),
+        F.coalesce("kept", F.lit(False)).alias("kept"),
+    )
+
+
 def q_learned_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly metrics against bounds learned from the months before, and from the same months of years before.
 
@@ -1071,6 +1100,7 @@ def metric_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_ingest": q_incremental_ingest,
         "event_windows": q_event_windows,
         "learned_checks": q_learned_checks,
+        "tagged_runs": q_tagged_runs,
         "sampled_distinct": q_sampled_distinct,
         "file_states": q_file_states,
         "bad_rows": q_bad_rows,

@@ -356,6 +356,28 @@ SELECT part, instance, name, round(value, 6) AS value, round(previous, 6) AS pre
 FROM p
 """
 
+TAGGED = """
+WITH o AS (
+  SELECT t.part, year(o_orderdate)::INTEGER AS run, count(*)::DOUBLE AS rows, avg(o_custkey) AS mean
+  FROM orders JOIN (VALUES ('all', [1995, 1996, 1998, 1999, 2000]), ('closed', [1995, 1997, 1998, 2001])) t(part, years)
+    ON list_contains(t.years, year(o_orderdate)) AND (t.part = 'all' OR o_orderstatus = 'F')
+  GROUP BY ALL),
+r AS (
+  SELECT part, run, make_date(run, 12, 31) AS d, '*' AS instance, 'Size' AS name, rows AS value FROM o
+  UNION ALL SELECT part, run, make_date(run, 12, 31), 'o_custkey', 'Mean', mean FROM o),
+b AS (
+  SELECT 'own' AS against, r.*, x.value AS found, x.run AS found_run, datediff('day', x.d, r.d) <= 400 AS near
+  FROM r ASOF LEFT JOIN r x ON r.part = x.part AND r.instance = x.instance AND r.name = x.name AND r.d > x.d
+  UNION ALL
+  SELECT 'closed', a.*, x.value, x.run, true
+  FROM (SELECT * FROM r WHERE part = 'all') a
+  ASOF LEFT JOIN (SELECT * FROM r WHERE part = 'closed') x ON a.instance = x.instance AND a.name = x.name AND a.d >= x.d)
+SELECT against, part, run, instance, name, round(value, 6) AS value, round(if(near, found, NULL), 6) AS baseline,
+       round(value / if(near, found, NULL), 6) AS ratio, if(near, found_run, NULL) AS baseline_run,
+       dense_rank() OVER (PARTITION BY part ORDER BY run DESC) <= 3 AS kept
+FROM b
+"""
+
 # A row per run and way of learning, with the state after it: seen, mean and variance of the differences.
 LEARNED = """
 WITH RECURSIVE m AS (
@@ -620,6 +642,7 @@ def statements() -> dict[str, str]:
         "check_status": CHECK_STATUS,
         "metric_history": HISTORY,
         "learned_checks": LEARNED,
+        "tagged_runs": TAGGED,
         "run_history": RUNS,
         "run_job": JOB,
         "ingest_files": (

@@ -21,9 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallygauge.functions.columns import quoted
-from tallygauge.operators.history import RUN
+from tallygauge.operators.history import RUN, SERIES
 
-SERIES = ("entity", "instance", "name")
 STATE = ("seen", "mean", "variance", "recent")
 ADDED = T.StructType(
     [

@@ -1,8 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tallygauge import on, profile, size
 from tallygauge.operators.checks import Constraint, check_status, verify
-from tallygauge.operators.history import append_run, read_history, with_change
+from tallygauge.operators.history import append_run, as_of, keep_runs, read_history, with_change
 
 
 @pytest.fixture
@@ -61,6 +62,55 @@ def test_history_keeps_runs_and_shows_changes(spark, tmp_path):
     ]
 
 
+def run(spark, value, instance="v"):
+    return spark.createDataFrame([("Column", instance, "Mean", value)], "entity string, instance string, name string, value double")
+
+
+def test_runs_are_kept_by_tags_and_replaced_as_a_whole(spark, tmp_path):
+    path = str(tmp_path / "history")
+    prod, test = {"env": "prod", "team": 'a"b'}, {"env": "test"}
+    for date, tags, value in (("2024-01-01", prod, 1.0), ("2024-01-01", test, 9.0), ("2024-01-03", dict(reversed(prod.items())), 3.0)):
+        append_run(run(spark, value), path, date, tags)
+    changed = {(str(r.run_date), r.value): r.previous for r in with_change(read_history(spark, path)).collect()}
+    assert changed == {("2024-01-01", 1.0): None, ("2024-01-01", 9.0): None, ("2024-01-03", 3.0): 1.0}
+    assert [r.value for r in read_history(spark, path, {"team": 'a"b'}).orderBy("run_date").collect()] == [1.0, 3.0]
+    # Replaced by a run without rows, which hides the old rows too, before and after the old are let go.
+    append_run(run(spark, 0.0).limit(0), path, "2024-01-03", prod)
+    append_run(run(spark, 8.0, "w"), path, "2024-01-02", test)
+    for _ in range(2):
+        found = {(str(r.run_date), r.instance, r.value) for r in read_history(spark, path).collect()}
+        assert found == {("2024-01-01", "v", 1.0), ("2024-01-01", "v", 9.0), ("2024-01-02", "w", 8.0)}
+        keep_runs(spark, path, 2)
+    keep_runs(spark, path, 1)
+    append_run(run(spark, 7.0), path, "2024-01-04", test)
+    keep_runs(spark, path, 1)
+    assert [(str(r.run_date), r.value) for r in read_history(spark, path).collect()] == [("2024-01-04", 7.0)]
+
+
+def test_values_as_of_another_series(spark):
+    schema = "run_date date, entity string, instance string, name string, value double, extra int"
+
+    def series(*days):
+        rows = [(f"2024-01-{d:02}", "Column", i, "Mean", v, 5) for d, i, v in days]
+        return spark.createDataFrame(rows, schema.replace("date date", "date string")).withColumn("run_date", F.col("run_date").cast("date"))
+
+    own = series((2, "a", 10.0), (5, "a", None), (9, "a", 30.0), (9, "b", 1.0), (1, None, 4.0))
+    other = series((2, "a", 1.0), (2, "a", 2.0), (4, "a", None), (8, "b", 7.0), (9, "a", 5.0), (1, None, 2.0))
+
+    def found(**more):
+        rows = as_of(own, other, **more).collect()
+        assert {r.extra for r in rows} == {5}
+        return {(r.run_date.day, r.instance): (r.baseline, r.baseline_run and r.baseline_run.day, r.ratio) for r in rows}
+
+    assert found() == {
+        (2, "a"): (2.0, 2, 5.0), (5, "a"): (2.0, 2, None), (9, "a"): (5.0, 9, 6.0), (9, "b"): (7.0, 8, 1 / 7), (1, None): (2.0, 1, 2.0)
+    }
+    nothing = (None, None, None)
+    assert found(same_date=False, within=3) == {
+        (2, "a"): nothing, (5, "a"): (2.0, 2, None), (9, "a"): nothing, (9, "b"): (7.0, 8, 1 / 7), (1, None): nothing
+    }
+
+
 def test_constraints_travel_to_the_results(results):
     frame, spec = results
     found = verify(frame, [Constraint("*", "Size", low=2)], ["g"], spec)
