@@ -7,9 +7,10 @@ is shared. The interval is split there and both halves are searched, without the
 up already, so each is looked up once. An interval without a cut is a leaf, and the leaves are the groups. The tokens that
 end at a cut are linked.
 
-Texts are encoded word by word, a word with the space before it, and each distinct word once per worker (a bounded cache):
-neither vocabulary has a token that goes on over a space after other characters (``joins_words`` tells, and a vocabulary that has one is
-refused). So a text of any length is encoded and aligned in stretches of at most ``WORDS_AT_ONCE`` words.
+Texts are encoded word by word, a word with the space before it: neither vocabulary has a token that goes on over a space after
+other characters (``joins_words`` tells, and a vocabulary that has one is refused). So the end of a word is always a shared cut, where
+texts are split first. The interval of each distinct word is searched once per worker (a bounded cache), those of all new words together;
+a text's groups and links are those of its words, one after the other, in stretches of at most ``WORDS_AT_ONCE`` words.
 
 Links are counted over all documents. Rows are written once, in lots of about ``LOT_LINKS`` links; a lot sends each of its
 pairs once to the count and gets the count back, so a pair that stands in every document is one row per lot.
@@ -21,10 +22,11 @@ has no tokens: zeros, and an empty digest. Rows without ``doc_id`` and repeated
 from __future__ import annotations
 
 import hashlib
+import os
 import re
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, compress
 
 import numpy as np
 import public_tokenizers
@@ -41,6 +43,8 @@ from tallygauge.llm.storage import documents_only, saved
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 MARK = "▁"
 WORDS_KEPT = 300_000
+#: Of groups and links of the kept words.
+BYTES_KEPT = 64 << 20
 WORDS_AT_ONCE = 100_000
 #: Different links of the documents of a lot, at least.
 LOT_LINKS = 1 << 20
@@ -99,10 +103,15 @@ def joins_words(pieces: list[bytes]) -> bool:
     return any(re.search(r"\S ", p.decode("utf-8", "replace")) for p in pieces)
 
 
-class Words(dict):
-    """By word: both tokenizers' ids, or None if one of them changes the word."""
+class Words:
+    """By word: the number of tokens of both sides (A's in the high half), the groups, and the links.
+
+    A word that one of the tokenizers changes has None. Words are written without the space before them.
+    """
 
     def __init__(self, byte_bpe: str, piece_bpe: str):
+        # A task has a core; without this, each would deal its words to threads for all cores.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.a = Tokenizer.from_file(byte_bpe)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_bpe)
@@ -124,25 +133,56 @@ class Words(dict):
         self.a_texts = [b"%d%s" % (i, s) for i in range(size) for s in (b",", b"|")]
         self.b_texts = [b"%d%s" % (i, s) for i in range(len(own)) for s in (b",", b";")]
         self.texts = self.a_texts + self.b_texts
+        self.text_sizes = np.array([*map(len, self.texts)])
         self.space = [self.b.piece_to_id(MARK)]
-
-    def learn(self, words: list[str]) -> None:
-        new = [w for w in dict.fromkeys(words) if w not in self]
-        if len(self) + len(new) > WORDS_KEPT:
-            self.clear()
-            new = list(dict.fromkeys(words))
+        self.cells: dict[str, tuple[int, bytes, bytes] | None] = {}
+        self.held = 0
+
+    def of(self, words: list[str]) -> list[tuple[int, bytes, bytes] | None]:
+        distinct = set(words)
+        new = distinct.difference(self.cells)
+        if self.cells and (len(self.cells) + len(new) > WORDS_KEPT or self.held > BYTES_KEPT):
+            self.cells.clear()
+            self.held, new = 0, distinct
+        if new:
+            self.learn([*new])
+        return list(map(self.cells.__getitem__, words))
+
+    def learn(self, new: list[str]) -> None:
+        self.cells.update(dict.fromkeys(new))
+        # The second tokenizer puts the space before a text itself, but not before an empty one.
+        b = [ids or self.space for ids in self.b.encode(new, num_threads=1)]
+        spaced = [" " + w for w in new]
+        b_text = b"".join(map(self.b_bytes.__getitem__, chain.from_iterable(b)))
+        ends = np.cumsum(self.b_lengths[flat(b)])[upto(b) - 1].tolist()
+        same = [b_text[i:j] == w.encode() for i, j, w in zip([0, *ends], ends, spaced)]
+        new, spaced, b = ([*compress(x, same)] for x in (new, spaced, b))
         if not new:
             return
-        a = self.a.encode_batch_fast(new, add_special_tokens=False)
-        # The second tokenizer puts the space before a text itself, but not before an empty one.
-        b = self.b.encode([w[1:] for w in new], num_threads=1)
-        b_bytes = self.b_bytes.__getitem__
-        for word, encoded, other in zip(new, a, b, strict=True):
-            other = other or self.space
-            if b"".join(map(b_bytes, other)) == word.encode():
-                self[word] = array("H", encoded.ids).tobytes(), array("H", other).tobytes()
-            else:
-                self[word] = None
+        a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        a_ids, b_ids, a_upto, b_upto = flat(a), flat(b), upto(a), upto(b)
+        a_ends, b_ends = np.cumsum(self.a_lengths[a_ids]), np.cumsum(self.b_lengths[b_ids])
+        partner = shared_cuts(a_ends, b_ends, a_upto - 1, b_upto - 1)
+        text, sizes = group_text(a_ids, b_ids, partner, self)
+        text_upto = np.cumsum(sizes)[a_upto + b_upto - 1].tolist()
+        cut = partner >= 0
+        links = (a_ids[cut] << 16 | b_ids[partner[cut]]).astype(np.uint32).tobytes()
+        links_upto = (np.cumsum(cut)[a_upto - 1] * 4).tolist()
+        counts = (np.diff(a_upto, prepend=0) << 32 | np.diff(b_upto, prepend=0)).tolist()
+        i = j = 0
+        for word, count, m, n in zip(new, counts, text_upto, links_upto, strict=True):
+            self.cells[word] = count, text[i:m], links[j:n]
+            i, j = m, n
+        self.held += len(text) + len(links)
+
+
+def flat(ids: list[list[int]]) -> np.ndarray:
+    return np.array([*chain.from_iterable(ids)], np.int64)
+
+
+def upto(ids: list[list[int]]) -> np.ndarray:
+    """The number of ids up to the end of each list."""
+    return np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
 
 
 @lru_cache(maxsize=2)
@@ -151,21 +191,21 @@ def words_of(byte_bpe: str, piece_bpe: str) -> Words:
 
 
 def words_in(text: str) -> list[str]:
-    """The words of a text, each with the space before it; together they are a space and the text."""
+    """The words of a text, each without the space before it; put before each, those spaces make them a space and the text."""
     parts = text.split(" ")
     if not SPACES.search(text):
-        return [" " + p for p in parts]
-    words, open_word = [], ""
+        return parts
+    words, open_word = [], None
     for part in parts:
-        open_word += " " + part
+        open_word = part if open_word is None else open_word + " " + part
         if part and not part[-1].isspace():
             words.append(open_word)
-            open_word = ""
-    return [*words, open_word] if open_word else words
+            open_word = None
+    return words if open_word is None else [*words, open_word]
 
 
-def group_text(a: np.ndarray, b: np.ndarray, partner: np.ndarray, known: Words) -> list[bytes]:
-    """The ids of both sides in the order of the groups, each with the sign that follows it."""
+def group_text(a: np.ndarray, b: np.ndarray, partner: np.ndarray, known: Words) -> tuple[bytes, np.ndarray]:
+    """The ids of both sides in the order of the groups, each with the sign that follows it, and how long each is with its sign."""
     cut = partner >= 0
     group_of_a = np.cumsum(cut) - cut
     group_of_b = np.zeros(len(b), np.int64)
@@ -177,7 +217,7 @@ def group_text(a: np.ndarray, b: np.ndarray, partner: np.ndarray, known: Words)
     order = np.empty(len(a) + len(b), np.int64)
     order[np.arange(len(a)) + b_sizes[group_of_a]] = a * 2 + cut
     order[np.arange(len(b)) + a_sizes[group_of_b]] = (b * 2 + is_end) + len(known.a_texts)
-    return list(map(known.texts.__getitem__, order.tolist()))
+    return b"".join(map(known.texts.__getitem__, order.tolist())), known.text_sizes[order]
 
 
 class Aligned:
@@ -185,52 +225,36 @@ class Aligned:
 
     def __init__(self) -> None:
         self.whole = True
-        self.n_a = self.n_b = 0
+        self.tokens = 0
         self.digest = hashlib.sha256()
-        self.links: list[np.ndarray] = []
+        self.links: list[bytes] = []
         self.sign = b""
 
-    def add(self, n_a: int, n_b: int, text: bytes, links: np.ndarray) -> None:
-        self.n_a, self.n_b = self.n_a + n_a, self.n_b + n_b
+    def add(self, cells: list[tuple[int, bytes, bytes]]) -> None:
+        counts, groups, links = zip(*cells, strict=True)
+        self.tokens += sum(counts)
+        text = b"".join(groups)
         # The sign after the last group is written only when there is another one.
         self.digest.update(self.sign + text[:-1])
         self.sign = text[-1:]
-        self.links.append(links)
+        self.links.append(b"".join(links))
 
     def row(self) -> tuple[int, int, int, str, np.ndarray]:
         if not self.whole or not self.links:
             return 0, 0, 0, "", np.empty(0, np.uint32)
-        links = np.concatenate(self.links)
-        return self.n_a, self.n_b, len(links), self.digest.hexdigest(), links
+        links = np.frombuffer(b"".join(self.links), np.uint32)
+        return self.tokens >> 32, self.tokens & 0xFFFFFFFF, len(links), self.digest.hexdigest(), links
 
 
 def align_stretch(words: list[str], parts: list[tuple[Aligned, int]], known: Words) -> None:
     """Align words, which belong to some documents; ``parts`` has each with the number of its words."""
-    known.learn(words)
-    found = list(map(known.__getitem__, words))
-    if None in found:
-        kept, at = [], 0
-        for doc, n in parts:
-            doc.whole &= None not in found[at : at + n]
-            kept.append((doc, n, found[at : at + n]))
-            at += n
-        parts = [(doc, n) for doc, n, _ in kept if doc.whole]
-        found = [cells for doc, _, own in kept if doc.whole for cells in own]
-    if not parts:
-        return
-    docs, counts = zip(*parts, strict=True)
-    a_cells, b_cells = zip(*found, strict=True)
-    a, b = (np.frombuffer(b"".join(c), np.uint16).astype(np.int64) for c in (a_cells, b_cells))
-    words_end = np.cumsum(counts)
-    a_upto, b_upto = (np.cumsum(np.fromiter(map(len, c), np.int64, len(c)) // 2)[words_end - 1] for c in (a_cells, b_cells))
-    partner = shared_cuts(np.cumsum(known.a_lengths[a]), np.cumsum(known.b_lengths[b]), a_upto - 1, b_upto - 1)
-    text = group_text(a, b, partner, known)
-    i = j = 0
-    for doc, m, n in zip(docs, a_upto.tolist(), b_upto.tolist(), strict=True):
-        own = partner[i:m]
-        links = (a[i:m][own >= 0] << 16 | b[own[own >= 0]]).astype(np.uint32)
-        doc.add(m - i, n - j, b"".join(text[i + j : m + n]), links)
-        i, j = m, n
+    found, at = known.of(words), 0
+    for doc, n in parts:
+        own = found[at : at + n]
+        at += n
+        doc.whole &= None not in own
+        if doc.whole:
+            doc.add(own)
 
 
 def align_many(texts: list[str | None], known: Words) -> list[tuple[int, int, int, str, np.ndarray]]:

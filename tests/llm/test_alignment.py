@@ -70,6 +70,31 @@ def test_aligned_texts(plain, known, monkeypatch, at_once):
         assert (*row, [(x >> 16, x & 0xFFFF) for x in links.tolist()]) == want, text
 
 
+def test_a_word_is_searched_once(plain, monkeypatch):
+    searched, search = [], alignment.shared_cuts
+    monkeypatch.setattr(alignment, "shared_cuts", lambda a, *rest: searched.append(len(a)) or search(a, *rest))
+    known = alignment.Words(public_tokenizers.path(alignment.BYTE_BPE), public_tokenizers.path(alignment.PIECE_BPE))
+    words = ["unlikeliest", "ofthhaingen,", "naïveté", "x\ty", "日本語"]
+    texts = [" ".join(words * 40), " ".join(words[::-1] * 30), *words]
+    for _ in range(2):
+        for text, (*row, links) in zip(texts, alignment.align_many(texts, known), strict=True):
+            assert (*row, [(x >> 16, x & 0xFFFF) for x in links.tolist()]) == plain(text)
+    assert sum(searched) == sum(plain(w)[0] for w in words)
+
+
+@pytest.mark.parametrize(("name", "limit"), [("BYTES_KEPT", 40), ("WORDS_KEPT", 3)])
+def test_few_words_are_kept(plain, known, monkeypatch, name, limit):
+    monkeypatch.setattr(alignment, name, limit)
+    known.cells.clear()
+    rng = random.Random(5)
+    for _ in range(50):
+        texts = [" ".join(rng.choice(ODD) + rng.choice("abc") for _ in range(rng.randrange(1, 5))) for _ in range(3)]
+        for text, (*row, links) in zip(texts, alignment.align_many(texts, known), strict=True):
+            assert (*row, [(x >> 16, x & 0xFFFF) for x in links.tolist()]) == plain(text), text
+        # Never more than what came before the limit and the words of one call.
+        assert len(known.cells) < 20
+
+
 def expected(plain, rows):
     found = [(i, plain(t)) for i, t in rows]
     counts = Counter(link for _, own in found for link in own[4])
